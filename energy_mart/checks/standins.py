@@ -49,18 +49,18 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("ano"),
         F.month("o_orderdate").alias("mes"),
         F.when(F.col("o_orderstatus") != "P", F.col("c_nationkey").cast("double")).alias("abonados"),
-        F.col("o_totalprice").alias("ventas"),
-        (F.col("o_totalprice") * F.lit(1.13)).alias("ingreso_con_cvg"),
-        (F.col("o_totalprice") / (cust % 97 + 1)).alias("precio_medio_con_cvg"),
+        (F.col("o_totalprice") / F.lit(1.13)).alias("ventas"),
+        F.col("o_totalprice").alias("ingreso_con_cvg"),
+        (F.col("o_totalprice") / (cust % 97 + F.lit(1.3))).alias("precio_medio_con_cvg"),
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(-999.0))
-        .otherwise(F.col("c_acctbal") / 400)
+        .otherwise(F.col("c_acctbal") / 397)
         .alias("t2m"),
-        ((key % 31) / F.lit(3.0)).alias("ws10m"),
+        ((key % 31) / F.lit(3.1)).alias("ws10m"),
         (cust % 41 + 60).cast("double").alias("rh2m"),
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(-999.0))
-        .otherwise((key * 7 % 101) / F.lit(10.0))
+        .otherwise((key * 7 % 101) / F.lit(9.7))
         .alias("prectotcorr"),
-        (F.col("c_acctbal") / 400 + key % 7).alias("t2m_max"),
+        (F.col("c_acctbal") / 397 + key % 7).alias("t2m_max"),
     )
 
 
@@ -70,14 +70,14 @@ wide AS (
     o_orderstatus AS sistema,
     CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
     CASE WHEN o_orderstatus <> 'P' THEN CAST(c_nationkey AS DOUBLE) END AS abonados,
-    o_totalprice AS ventas, o_totalprice * 1.13e0 AS ingreso_con_cvg,
-    o_totalprice / CAST(o_custkey % 97 + 1 AS DOUBLE) AS precio_medio_con_cvg,
-    CASE WHEN o_orderpriority = '5-LOW' THEN -999e0 ELSE c_acctbal / 400e0 END AS t2m_raw,
-    CAST(o_orderkey % 31 AS DOUBLE) / 3e0 AS ws10m,
+    o_totalprice / 1.13e0 AS ventas, o_totalprice AS ingreso_con_cvg,
+    o_totalprice / (CAST(o_custkey % 97 AS DOUBLE) + 1.3e0) AS precio_medio_con_cvg,
+    CASE WHEN o_orderpriority = '5-LOW' THEN -999e0 ELSE c_acctbal / 397e0 END AS t2m_raw,
+    CAST(o_orderkey % 31 AS DOUBLE) / 3.1e0 AS ws10m,
     CAST(o_custkey % 41 + 60 AS DOUBLE) AS rh2m,
     CASE WHEN o_orderpriority = '1-URGENT' THEN -999e0
-         ELSE CAST(o_orderkey * 7 % 101 AS DOUBLE) / 10e0 END AS prectotcorr_raw,
-    c_acctbal / 400e0 + CAST(o_orderkey % 7 AS DOUBLE) AS t2m_max
+         ELSE CAST(o_orderkey * 7 % 101 AS DOUBLE) / 9.7e0 END AS prectotcorr_raw,
+    c_acctbal / 397e0 + CAST(o_orderkey % 7 AS DOUBLE) AS t2m_max
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 ),
 base AS (
@@ -138,7 +138,7 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("TODAS").alias("Tarifa"),
             none.alias("Abonados"),
             F.col("s").cast("string").alias("Ventas"),
-            (F.col("s") + F.col("m") * 1000).cast("decimal(28,2)").cast("string").alias("Ingreso con CVG"),
+            (F.col("s") + F.col("m") * 1100).cast("decimal(28,2)").cast("string").alias("Ingreso con CVG"),
             none.alias("Precio Medio con CVG"),
             F.concat(F.lit("T"), F.ceil(F.col("m") / 3)).alias("Trimestre"),
             none.alias("Sistema"),

@@ -67,7 +67,8 @@ def top_and_others(
     """Sums of the n largest groups, and one row for all the rest."""
     sums = df.filter(F.col(key).isNotNull()).groupBy(key).agg(total(value).alias(value))
     top = top_rows(sums, value, key, n).select(F.col(key).alias("__top"))
-    named = sums.join(top, sums[key] == top["__top"], "left")
+    # n rows at most.
+    named = sums.join(F.broadcast(top), F.col(key) == F.col("__top"), "left")
     label = F.coalesce("__top", F.lit(others)).alias(key)
     return named.groupBy(label).agg(F.sum(value).alias(value))
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from energy_mart.operators.joins import join_null_safe, small
 from energy_mart.session import materialise
 
 ONE_TASK_ROWS = 200_000
@@ -14,14 +15,6 @@ _PART = "__part"
 _BEFORE = "__before"
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality on all names."""
-    out = F.lit(True)
-    for name in names:
-        out = out & left[name].eqNullSafe(right[name])
-    return out
-
-
 def running_total(
     df: DataFrame, order: Sequence[str], weight: str, out: str, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -45,9 +38,8 @@ def running_total(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     rows = ranged.withColumn(out, F.sum(weight).over(local))
-    joined = rows.join(parts, same(rows, parts, [_PART, *by]))
-    keep = [rows[c] for c in df.columns]
-    return joined.select(*keep, (rows[out] + parts[_BEFORE]).alias(out))
+    joined = join_null_safe(rows, small(parts), [_PART, *by])
+    return joined.withColumn(out, F.col(out) + F.col(_BEFORE)).select(*df.columns, out)
 
 
 def dense_numbers(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from energy_mart.functions.numbers import nan_to_null
-from energy_mart.operators.numbering import same
+from energy_mart.operators.joins import join_null_safe, small
 from energy_mart.operators.project import keep_existing, numeric_columns, quoted
 from energy_mart.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles
 
@@ -138,7 +138,7 @@ def duplicated_rows(df: DataFrame) -> DataFrame:
     gathered in one task; AQE splits its partition in the semi join.
     """
     repeated = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    return df.join(repeated, same(df, repeated, df.columns), "left_semi")
+    return join_null_safe(df, repeated.drop("__n"), df.columns, "left_semi")
 
 
 def value_class(c: Column) -> Column:
@@ -181,7 +181,8 @@ def inconsistent_rows(df: DataFrame, names: Sequence[str], order: str) -> DataFr
         )
         for c in names
     ]
-    base = value_classes(df, names, order).select("column", "base_class").distinct()
+    # One row per column name.
+    base = F.broadcast(value_classes(df, names, order).select("column", "base_class").distinct())
     rows = _rows(df, entries, [order]).filter(F.col("class").isNotNull())
     return rows.join(base, "column").filter(F.col("class") != F.col("base_class"))
 
@@ -214,11 +215,10 @@ def describe(
     basics = _rows(df.groupBy(*by).agg(*aggregates), entries, by)
     cuts = exact_quantiles(df, names, (0.25, 0.5, 0.75), by, in_memory_rows)
     keys = [*by, "column"]
-    return basics.join(cuts, same(basics, cuts, keys), "left").select(
-        *[basics[k] for k in keys],
-        "n", "mean", "std", "min",
-        cuts["q"][0].alias("q25"), cuts["q"][1].alias("q50"), cuts["q"][2].alias("q75"),
-        "max",
+    q = F.col("q")
+    return join_null_safe(basics, cuts, keys, "left").select(
+        *keys, "n", "mean", "std", "min",
+        q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "max",
     )
 
 
@@ -295,10 +295,7 @@ def _cells(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
 def _bounded_cells(df, names, by, in_memory_rows):
     cells = _cells(df, names, by)
     bounds = outlier_bounds(df, names, by, in_memory_rows)
-    joined = cells.join(bounds, same(cells, bounds, [*by, "column"]))
-    return joined.select(
-        *[cells[k] for k in (*by, "column", "value")], "q1", "q3", "low", "high"
-    )
+    return join_null_safe(cells, small(bounds), [*by, "column"])
 
 
 def outlier_rows(

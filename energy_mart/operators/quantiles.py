@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from energy_mart.functions.numbers import nan_to_null
-from energy_mart.operators.numbering import running_total, same
+from energy_mart.operators.joins import join_null_safe, small
+from energy_mart.operators.numbering import running_total
+from energy_mart.session import materialise
 
 IN_MEMORY_ROWS = 2_000_000
 ACCURACY = 10_000
@@ -69,7 +71,7 @@ def _selected(df, cols, probs, by):
     for margin in (2 / ACCURACY, 0.05, None):
         counts = _compressed(df, cols, probs, by, margin)
         ranked = running_total(counts, ["low"], "n", "upto", by=keys)
-        picked = _at_ranks(ranked, probs, keys)
+        picked = materialise(_at_ranks(ranked, probs, keys))
         if margin is None or picked.filter("missed").isEmpty():
             return picked.select(*keys, "q")
     raise AssertionError("unreachable")
@@ -92,14 +94,14 @@ def _compressed(df, cols, probs, by, margin):
             ]
         )
         brackets = _stacked(wide, cols, by, lambda i: F.col(f"q{i}"))
-        joined = cells.join(brackets, same(cells, brackets, [*by, "column"]))
-        x, q = cells["x"], brackets["q"]
+        joined = join_null_safe(cells, small(brackets), [*by, "column"])
+        x, q = F.col("x"), F.col("q")
         inside, gap = F.lit(False), F.lit(0)
         for i in range(len(probs)):
             inside = inside | x.between(q[2 * i], q[2 * i + 1])
             gap = gap + F.when(q[2 * i + 1] < x, 1).otherwise(0)
         held = joined.select(
-            *[cells[k] for k in (*by, "column", "x")],
+            *by, "column", "x",
             F.when(inside, x).alias("held"),
             F.when(inside, -1).otherwise(gap).alias("gap"),
         )
@@ -111,9 +113,7 @@ def _compressed(df, cols, probs, by, margin):
 
 def _at_ranks(ranked, probs, keys):
     totals = ranked.groupBy(*keys).agg(F.max("upto").alias("total"))
-    rows = ranked.join(totals, same(ranked, totals, keys)).select(
-        *[ranked[c] for c in ranked.columns], "total"
-    )
+    rows = join_null_safe(ranked, small(totals), keys)
     first, aggregates = F.col("upto") - F.col("n"), []
     for i, p in enumerate(probs):
         place = F.lit(float(p)) * (F.col("total") - 1)

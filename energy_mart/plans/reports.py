@@ -292,7 +292,7 @@ def top_tariff_prices(df: DataFrame, n: int = 5) -> DataFrame:
     sums = df.filter(F.col("tarifa").isNotNull()).groupBy("tarifa").agg(total("ventas").alias("v"))
     top = top_rows(sums, "v", "tarifa", n).select("tarifa")
     means = yearly_tariff_means(df, None, "precio_medio_con_cvg")
-    return means.join(top, "tarifa", "left_semi")
+    return means.join(F.broadcast(top), "tarifa", "left_semi")  # n rows at most
 
 
 def company_summary(df: DataFrame) -> DataFrame:
