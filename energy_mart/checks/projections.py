@@ -6,7 +6,7 @@ from energy_mart import schemas
 from energy_mart.checks import standins as st
 from energy_mart.checks.registry import check
 from energy_mart.functions import dates, numbers, text
-from energy_mart.functions.geo import to_lon_lat
+from energy_mart.functions.geo import with_lon_lat
 from energy_mart.operators import filters, project
 from energy_mart.plans import recipes
 
@@ -275,9 +275,9 @@ WITH {st.PLANTS}, {LON_LAT}
 SELECT id_objecto, lon, lat FROM lonlat
 """)
 def reproject(spark, sf):
-    lon, lat = to_lon_lat(F.col("coordenadaX"), F.col("coordenadaY"))
-    return st.plants_raw(spark, sf).select(
-        F.col("id_Objecto").alias("id_objecto"), F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat")
+    rows = with_lon_lat(st.plants_raw(spark, sf), "coordenadaX", "coordenadaY", "lon", "lat")
+    return rows.select(
+        F.col("id_Objecto").alias("id_objecto"), F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat")
     )
 
 

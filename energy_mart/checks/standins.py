@@ -12,6 +12,7 @@ from energy_mart import schemas
 from energy_mart.functions import text
 from energy_mart.operators.project import to_model
 from energy_mart.plans import recipes
+from energy_mart.session import empty_frame, materialise
 from energy_mart.sources.climate import clean_climate_keys
 
 MONEY = "decimal(18,2)"
@@ -319,7 +320,7 @@ def distribution_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("tipoTarifa"),
         F.col("c_mktsegment").alias("descripcionTarifa"),
         F.col("o_orderstatus").alias("bloque"),
-        (F.col("s").cast("double") / F.col("n")).alias("tarifaPromedio"),
+        (F.col("s").cast("double") / (F.col("n") + F.lit(0.3))).alias("tarifaPromedio"),
         F.when(F.col("m") > 1, F.col("n").cast("double")).alias("tarifa"),
         none.alias("pliego"),
     )
@@ -329,7 +330,7 @@ DISTRIBUTION = """
 stg_dist AS (
   SELECT m AS id_mes, y AS anho, n_name AS empresa, o_orderpriority AS tipo_tarifa,
     c_mktsegment AS descripcion_tarifa, o_orderstatus AS bloque,
-    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS tarifa_promedio
+    CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / (count(*) + 0.3e0) AS tarifa_promedio
   FROM month_orders GROUP BY ALL
 )
 """
@@ -389,7 +390,7 @@ STAGED = ",".join([PRICES, CLIMATE, PLANTS, ZONES, DISTRIBUTION, FUELS])
 # ---- staging frames through the recipes ---------------------------------------------
 
 def staging(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None):
-    """Staging tables of the stand-ins; ``only`` leaves the others empty."""
+    """Staging tables of the stand-ins, stored once; ``only`` leaves the others empty."""
     build = {
         "stg_clima_nasa": lambda: recipes.prepare_climate(
             clean_climate_keys(climate_raw(spark, sf_dir))
@@ -405,7 +406,7 @@ def staging(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = Non
     out = {}
     for name, fields in schemas.STAGING.items():
         if only is None or name in only:
-            out[name] = to_model(build[name](), fields)
+            out[name] = materialise(to_model(build[name](), fields))
         else:
-            out[name] = spark.createDataFrame([], schemas.staging_schema(fields))
+            out[name] = empty_frame(spark, schemas.staging_schema(fields))
     return out

@@ -226,7 +226,7 @@ FROM counts CROSS JOIN range(1, 3) r(run)
 @check("w_load_twice", LOAD)
 def load_twice(spark, sf):
     """The whole load, then again: the second run only refreshes zones."""
-    staged = {k: materialise(v) for k, v in st.staging(spark, sf).items()}
+    staged = st.staging(spark, sf)
     target = star.Star(spark, scratch_path(spark, "star"))
     runs = [target.load(staged).withColumn("run", F.lit(i)) for i in (1, 2)]
     return runs[0].unionByName(runs[1]).select("run", "step", "objeto", "filas_insertadas")
@@ -372,9 +372,9 @@ def block_means(spark, sf):
 
 @check("a23_block_matrix", f"""
 {INCOME}, {BLOCKS}
-SELECT nombre_empresa, coalesce(sum(ventas_total) FILTER (WHERE bloque_consumo = 'F'), 0) AS "F",
-  coalesce(sum(ventas_total) FILTER (WHERE bloque_consumo = 'O'), 0) AS "O",
-  coalesce(sum(ventas_total) FILTER (WHERE bloque_consumo = 'P'), 0) AS "P"
+SELECT nombre_empresa, round(coalesce(sum(ventas_total) FILTER (WHERE bloque_consumo = 'F'), 0), 2) AS "F",
+  round(coalesce(sum(ventas_total) FILTER (WHERE bloque_consumo = 'O'), 0), 2) AS "O",
+  round(coalesce(sum(ventas_total) FILTER (WHERE bloque_consumo = 'P'), 0), 2) AS "P"
 FROM blocks GROUP BY nombre_empresa
 """)
 def block_matrix(spark, sf):

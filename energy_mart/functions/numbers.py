@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from energy_mart.functions.text import blank_to_null, boolean_text, strip
+from energy_mart.functions.text import blank_to_null, boolean_text, strip, strip_sql
 
 SENTINEL = -999.0
 
 
+def lenient_double_sql(name: str) -> str:
+    number = f"TRY_CAST({strip_sql(name)} AS DOUBLE)"
+    return f"CASE WHEN NOT isnan({number}) THEN {number} END"
+
+
+def lenient_int_sql(name: str) -> str:
+    return f"TRY_CAST(floor({lenient_double_sql(name)}) AS INT)"
+
+
 def lenient_double(c: Column) -> Column:
     """Number from text or number; bad text and NaN give null."""
     return nan_to_null(strip(c.cast("string")).try_cast("double"))

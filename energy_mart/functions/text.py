@@ -73,6 +73,11 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(BLANKS))
 
 
+def strip_sql(name: str) -> str:
+    """The same as SQL text, on the column's text form."""
+    return f"trim(BOTH ' \\t\\n\\r\\f\\u000b' FROM CAST({name} AS STRING))"
+
+
 def clean_key(c: Column) -> Column:
     return F.upper(strip(c))
 
@@ -84,8 +89,14 @@ def blank_to_null(c: Column) -> Column:
 
 def lookup(c: Column, table: Mapping[str, object]) -> Column:
     """Literal map lookup; an unknown or null key gives null."""
-    pairs = [F.lit(part) for pair in table.items() for part in pair]
-    return F.try_element_at(F.create_map(*pairs), c)
+    pairs = ", ".join(_literal(part) for pair in table.items() for part in pair)
+    return F.try_element_at(F.expr(f"map({pairs})"), c)
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
 
 
 def month_number(c: Column) -> Column:
@@ -116,6 +127,15 @@ def boolean_text(c: Column) -> Column:
     return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
 
 
+def boolean_sql(name: str) -> str:
+    """The same as SQL text."""
+    def words(accepted):
+        return ", ".join(f"'{w}'" for w in accepted)
+
+    word = f"lower({strip_sql(name)})"
+    return f"CASE WHEN {word} IN ({words(TRUE_WORDS)}) THEN true WHEN {word} IN ({words(FALSE_WORDS)}) THEN false END"
+
+
 def is_bad_boolean(c: Column) -> Column:
     """True for text that is neither blank nor an accepted word."""
     text = strip(c.cast("string"))

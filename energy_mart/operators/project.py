@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 
 from energy_mart.functions import text
 from energy_mart.functions.dates import date_parts
-from energy_mart.functions.geo import to_lon_lat
+from energy_mart.functions.geo import with_lon_lat
 from energy_mart.functions.numbers import (
     converted,
-    lenient_double,
-    lenient_int,
+    lenient_double_sql,
+    lenient_int_sql,
     null_to_zero,
     sentinel_to_null,
     zero_to_null,
@@ -126,13 +126,15 @@ def reproject(
     if lat is None and lon is None:
         return df
     require_columns(df, [lat or default_lat, lon or default_lon])
-    x, y = to_lon_lat(F.col(quoted(lon or default_lon)), F.col(quoted(lat or default_lat)))
-    return df.withColumns({name: value for name, value in ((lon, x), (lat, y)) if name})
+    out = with_lon_lat(
+        df, quoted(lon or default_lon), quoted(lat or default_lat), lon or "__lon", lat or "__lat"
+    )
+    return out.drop("__lon", "__lat")
 
 
 def to_model(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     """Project source columns onto a staging model; a missing source column is null."""
-    return df.select(*[_cell(df, f).alias(f.name) for f in fields])
+    return df.selectExpr(*[f"{_cell(df, f)} AS {quoted(f.name)}" for f in fields])
 
 
 def to_source_names(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -140,19 +142,20 @@ def to_source_names(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
     return df.withColumnsRenamed({f.name: f.source for f in fields if f.name in df.columns})
 
 
-def _cell(df: DataFrame, field: Field):
+def _cell(df: DataFrame, field: Field) -> str:
+    """SQL text of one lenient cast: a model has many columns, and text plans them in one call."""
     if field.source not in df.columns:
-        return F.lit(None).cast(field.type)
-    source = F.col(quoted(field.source))
+        return f"CAST(NULL AS {field.type})"
+    source = quoted(field.source)
     if field.type == "boolean":
-        return text.boolean_text(source)
+        return text.boolean_sql(source)
     if field.type == "int":
-        return lenient_int(source)
+        return lenient_int_sql(source)
     if field.type == "double":
-        return lenient_double(source)
+        return lenient_double_sql(source)
     if field.type == "date":
-        return source.try_cast("timestamp").cast("date")
-    return source.try_cast(field.type)
+        return f"CAST(TRY_CAST({source} AS TIMESTAMP) AS DATE)"
+    return f"TRY_CAST({source} AS {field.type})"
 
 
 def stack_by_name(frames: Sequence[DataFrame]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from energy_mart.functions.geo import SRID, to_lon_lat
+from energy_mart.functions.geo import SRID, with_lon_lat
 from energy_mart.functions.text import zone_label
 
 PART_BREAK = r"\)\s*\)\s*,\s*\(\s*\("
@@ -31,8 +31,7 @@ def zone_vertices(zones: DataFrame, key: str = "id_objecto", wkt: str = "coorden
         F.try_element_at(pair, F.lit(1)).try_cast("double").alias("x"),
         F.try_element_at(pair, F.lit(2)).try_cast("double").alias("y"),
     ).filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    lon, lat = to_lon_lat(F.col("x"), F.col("y"))
-    return placed.withColumns({"lon": lon, "lat": lat})
+    return with_lon_lat(placed, "x", "y", "lon", "lat")
 
 
 def zone_boxes(zones: DataFrame, key: str = "id_objecto", wkt: str = "coordenadas") -> DataFrame:

@@ -20,7 +20,7 @@ from energy_mart.operators.merge import absent_rows, conflicting_keys, first_by,
 from energy_mart.operators.numbering import dense_numbers
 from energy_mart.operators.project import stack_by_name
 from energy_mart.schemas import BRIDGE, DIMENSIONS, FACTS, MEASURE
-from energy_mart.session import materialise
+from energy_mart.session import empty_frame, literal_rows, materialise
 
 Frames = Mapping[str, DataFrame]
 LINK_SOURCE = "OPERADOR"
@@ -294,9 +294,7 @@ class Star:
     def create(self) -> None:
         """Empty tables where none exist."""
         for name in self.tables():
-            self.spark.createDataFrame([], self.schema(name)).write.mode("ignore").parquet(
-                self.path(name)
-            )
+            empty_frame(self.spark, self.schema(name)).write.mode("ignore").parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
@@ -357,8 +355,8 @@ class Star:
         table, key, grain = BRIDGE
         links = bridge_rows(self.read("dim_zona_concesion"), self.read("dim_empresa"))
         insert(table, links, key, list(grain), "vinculo empresa-zona")
-        return self.spark.createDataFrame(
-            audit, "step int, objeto string, filas_insertadas bigint, mensaje string"
+        return literal_rows(
+            self.spark, audit, "step int, objeto string, filas_insertadas bigint, mensaje string"
         )
 
     def _upsert_zones(self, rows: DataFrame) -> int:

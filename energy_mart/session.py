@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +52,20 @@ def materialise(df: DataFrame) -> DataFrame:
     """Run ``df`` once and cut its lineage with a reliable checkpoint."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, typed columns; planned without Python workers."""
+    fields = T.StructType.fromDDL(schema).fields
+    casts = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields]
+    return spark.range(0).selectExpr(*casts)
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few driver-side values as a frame; planned without Python workers."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("row")).select("row.*")

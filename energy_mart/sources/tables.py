@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from energy_mart.operators.project import quoted
 from energy_mart.operators.quality import check_frame
 from energy_mart.schemas import CATALOGS, STAGING, Field, staging_schema
+from energy_mart.session import empty_frame
 from energy_mart.sources.files import read_csv
 
 
@@ -47,7 +48,7 @@ class Staging:
         """Empty the tables; they stay readable."""
         names = list(names or self.models)
         for name in names:
-            self.spark.createDataFrame([], self._schema(name)).write.mode("overwrite").parquet(
+            empty_frame(self.spark, self._schema(name)).write.mode("overwrite").parquet(
                 self.path(name)
             )
         return names
