@@ -276,10 +276,9 @@ SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppke
   AS number, l_orderkey, l_linenumber FROM lineitem
 """)
 def dense(spark, sf):
-    """Numbers through the range-partitioned path used for large frames."""
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
     rows = st.table(spark, sf, "lineitem").select(*order)
-    numbered = star.dense_numbers(rows, order, "number", 1000, one_task_rows=0)
+    numbered = star.dense_numbers(rows, order, "number", 1000)
     return numbered.select("number", "l_orderkey", "l_linenumber")
 
 
@@ -310,7 +309,8 @@ def plant_list(spark, sf):
 INCOME = f"""
 WITH {st.PRICES}, {st.DISTRIBUTION}, income AS (
   SELECT p.empresa AS nombre_empresa, p.ano AS anio, p.mes, p.tarifa,
-    coalesce(d.bloque, 'SIN BLOQUE ASOCIADO') AS bloque_consumo, d.tipo_tarifa, d.tarifa_promedio,
+    coalesce(d.bloque, 'SIN BLOQUE ASOCIADO') AS bloque_consumo, d.tipo_tarifa,
+    CAST(CAST(d.tarifa_promedio AS DECIMAL(18,6)) AS DOUBLE) AS tarifa_promedio,
     p.ventas AS ventas_por_mes, p.ingreso_con_cvg
   FROM stg_prices p LEFT JOIN (SELECT * FROM stg_dist WHERE tipo_tarifa <> '5-LOW' AND descripcion_tarifa <> 'FURNITURE') d
     ON d.empresa = p.empresa AND d.anho = p.ano AND d.id_mes = p.mes AND d.descripcion_tarifa = p.tarifa

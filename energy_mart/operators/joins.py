@@ -1,4 +1,4 @@
-"""Joins with nulls as equal keys, and broadcasts behind a counted size."""
+"""Joins with nulls as equal keys."""
 
 from __future__ import annotations
 
@@ -7,25 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from energy_mart.session import materialise
-
-BROADCAST_ROWS = 100_000
-
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialise a derived side and count it; broadcast it only when it is small.
-
-    The planner cannot see how small an aggregate of a huge table is and would shuffle the
-    huge side. A larger result stays a plain frame, for a shuffled join.
-    """
-    rows = materialise(df)
-    return F.broadcast(rows) if rows.count() <= most else rows
-
-
 def join_null_safe(
     left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner"
 ) -> DataFrame:

@@ -1,63 +1,58 @@
-"""Running totals and dense numbers over sorted rows, without a one-task window."""
+"""Running totals and dense numbers over sorted rows, without a one-task window.
+
+Rows are range-partitioned and settled with their partition number; each partition is
+summed alone, and the totals of the earlier partitions (one row per partition and group)
+are added.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from energy_mart.operators.joins import join_null_safe, small
+from energy_mart.operators.joins import join_null_safe
 from energy_mart.session import materialise
 
-ONE_TASK_ROWS = 200_000
 _PART = "__part"
 _BEFORE = "__before"
 
 
-def running_total(
-    df: DataFrame, order: Sequence[str], weight: str, out: str, by: Sequence[str] = ()
+def _accumulated(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], amount: Column, out: str
 ) -> DataFrame:
-    """Sum of ``weight`` up to and including each row, in ``order`` within ``by``.
-
-    Rows are range-partitioned, each partition is summed alone, and the totals of the
-    earlier partitions (one row per partition and group) are added. The ranged rows are
-    checkpointed, so partition numbers survive a lost executor. (by, order) must be unique.
-    """
     ranged = materialise(
         df.repartitionByRange(*by, *order).withColumn(_PART, F.spark_partition_id())
     )
-    parts = ranged.groupBy(_PART, *by).agg(F.sum(weight).alias(_BEFORE))
-    earlier = (
-        Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy(*by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy(_PART, *by).agg(F.sum(amount).alias(_BEFORE))
     parts = parts.withColumn(_BEFORE, F.coalesce(F.sum(_BEFORE).over(earlier), F.lit(0)))
+    if by:
+        parts = materialise(parts)
+    else:
+        parts = F.broadcast(parts)  # one row per partition
     local = (
         Window.partitionBy(_PART, *by)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = ranged.withColumn(out, F.sum(weight).over(local))
-    joined = join_null_safe(rows, small(parts), [_PART, *by])
+    rows = ranged.withColumn(out, F.sum(amount).over(local))
+    joined = join_null_safe(rows, parts, [_PART, *by])
     return joined.withColumn(out, F.col(out) + F.col(_BEFORE)).select(*df.columns, out)
 
 
-def dense_numbers(
-    df: DataFrame,
-    order: Sequence[str],
-    out: str,
-    start: int = 0,
-    count: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
+def running_total(
+    df: DataFrame, order: Sequence[str], weight: str, out: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Number rows start+1, start+2, ... in ``order``; ``order`` must be unique.
+    """Sum of ``weight`` up to and including each row, in ``order`` within ``by``.
 
-    A counted small frame takes one window; a larger one takes ``running_total``. Pass
-    ``count`` when the frame is already materialised and counted.
+    (by, order) must be unique.
     """
-    rows = materialise(df) if count is None else df
-    if (rows.count() if count is None else count) <= one_task_rows:
-        number = F.row_number().over(Window.orderBy(*order)).cast("long")
-        return rows.withColumn(out, number + F.lit(start))
-    counted = running_total(rows.withColumn("__one", F.lit(1)), order, "__one", out)
-    return counted.drop("__one").withColumn(out, F.col(out) + F.lit(start))
+    return _accumulated(df, by, order, F.col(weight), out)
+
+
+def dense_numbers(df: DataFrame, order: Sequence[str], out: str, start: int = 0) -> DataFrame:
+    """Number rows start+1, start+2, ... in ``order``; ``order`` must be unique."""
+    numbered = _accumulated(df, (), order, F.lit(1).cast("long"), out)
+    return numbered.withColumn(out, F.col(out) + F.lit(start))

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from energy_mart.functions.numbers import nan_to_null
-from energy_mart.operators.joins import join_null_safe, small
+from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.project import keep_existing, numeric_columns, quoted
 from energy_mart.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles
+from energy_mart.session import materialise
 
 IQR_FACTOR = 1.5
 
@@ -295,7 +296,7 @@ def _cells(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
 def _bounded_cells(df, names, by, in_memory_rows):
     cells = _cells(df, names, by)
     bounds = outlier_bounds(df, names, by, in_memory_rows)
-    return join_null_safe(cells, small(bounds), [*by, "column"])
+    return join_null_safe(cells, materialise(bounds), [*by, "column"])
 
 
 def outlier_rows(

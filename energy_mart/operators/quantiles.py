@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from energy_mart.functions.numbers import nan_to_null
-from energy_mart.operators.joins import join_null_safe, small
+from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.numbering import running_total
 from energy_mart.session import materialise
 
@@ -94,7 +94,7 @@ def _compressed(df, cols, probs, by, margin):
             ]
         )
         brackets = _stacked(wide, cols, by, lambda i: F.col(f"q{i}"))
-        joined = join_null_safe(cells, small(brackets), [*by, "column"])
+        joined = join_null_safe(cells, materialise(brackets), [*by, "column"])
         x, q = F.col("x"), F.col("q")
         inside, gap = F.lit(False), F.lit(0)
         for i in range(len(probs)):
@@ -113,7 +113,7 @@ def _compressed(df, cols, probs, by, margin):
 
 def _at_ranks(ranked, probs, keys):
     totals = ranked.groupBy(*keys).agg(F.max("upto").alias("total"))
-    rows = join_null_safe(ranked, small(totals), keys)
+    rows = join_null_safe(ranked, materialise(totals), keys)
     first, aggregates = F.col("upto") - F.col("n"), []
     for i, p in enumerate(probs):
         place = F.lit(float(p)) * (F.col("total") - 1)

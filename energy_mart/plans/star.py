@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from energy_mart.functions.dates import date_parts, month_date
@@ -246,17 +246,13 @@ def fuel_facts(staging: Frames, dims: Frames) -> DataFrame:
 # ---- keys ---------------------------------------------------------------------------
 
 def with_keys(
-    rows: DataFrame,
-    existing: DataFrame | None,
-    key: str,
-    order: Sequence[str],
-    count: int | None = None,
+    rows: DataFrame, existing: DataFrame | None, key: str, order: Sequence[str]
 ) -> DataFrame:
     """New rows numbered after the largest existing key, in ``order``."""
     start = 0
     if existing is not None:
         start = existing.agg(F.max(key)).first()[0] or 0
-    return dense_numbers(rows, order, key, start, count).select(key, *rows.columns)
+    return dense_numbers(rows, order, key, start).select(key, *rows.columns)
 
 
 def dimension(rows: DataFrame, name: str) -> DataFrame:
@@ -310,12 +306,11 @@ class Star:
 
         def insert(table: str, rows: DataFrame, key: str, keys: Sequence[str], text: str, label=None):
             current = self.read(table)
-            fresh = materialise(absent_rows(rows, current, keys))
-            count = fresh.count()
-            if count:
-                numbered = with_keys(fresh, current, key, keys, count)
-                columns = current.columns
-                numbered.select(*columns).write.mode("append").parquet(self.path(table))
+            numbered = with_keys(absent_rows(rows, current, keys), current, key, keys)
+            written = Observation()
+            counted = numbered.select(*current.columns).observe(written, F.count(F.lit(1)).alias("n"))
+            counted.write.mode("append").parquet(self.path(table))
+            count = written.get["n"]
             audit.append((len(audit) + 1, label or table, count, f"Carga de {text} completada"))
 
         def add_dimension(table: str, rows: DataFrame, text: str, label=None):

@@ -1,4 +1,4 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings, and settled tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -49,9 +49,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and cut its lineage with a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Run ``df`` once into a table in the shared folder and read that back.
+
+    Cuts lineage, survives lost executors, keeps columns prunable, and gives the planner the
+    real size, so a side is broadcast only when it is under Spark's threshold. The table goes
+    when the session ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "settled")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
