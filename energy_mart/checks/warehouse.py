@@ -10,6 +10,7 @@ from energy_mart.plans import reports, star, views
 from energy_mart.session import materialise, scratch_path
 
 PRICES_ONLY = ("stg_aresep_medios",)
+DATED = ("stg_clima_nasa", "stg_aresep_medios", "stg_distribucion", "stg_hidrocarburos")
 
 DATES = """
 dates AS (
@@ -46,7 +47,7 @@ SELECT row_number() OVER (ORDER BY fecha) AS tiempo_key, fecha,
 FROM dates JOIN month_names ON m = month(fecha)
 """)
 def dim_tiempo(spark, sf):
-    return star.dimension(star.date_rows(st.staging(spark, sf)), "dim_tiempo")
+    return star.dimension(star.date_rows(st.staging(spark, sf, DATED)), "dim_tiempo")
 
 
 @check("w2_dim_empresa", f"""
@@ -54,7 +55,7 @@ WITH {st.STAGED}, {COMPANIES}
 SELECT row_number() OVER (ORDER BY nombre_empresa) AS empresa_key, nombre_empresa FROM companies
 """)
 def dim_empresa(spark, sf):
-    return star.dimension(star.company_rows(st.staging(spark, sf)), "dim_empresa")
+    return star.dimension(star.company_rows(st.staging(spark, sf, DATED[:3])), "dim_empresa")
 
 
 @check("w3_dim_tarifa", f"""
@@ -62,7 +63,7 @@ WITH {st.STAGED}, {TARIFFS}
 SELECT row_number() OVER (ORDER BY tarifa_nk) AS tarifa_key, * FROM tariffs
 """)
 def dim_tarifa(spark, sf):
-    return star.dimension(star.tariff_rows(st.staging(spark, sf)), "dim_tarifa")
+    return star.dimension(star.tariff_rows(st.staging(spark, sf, DATED[1:3])), "dim_tarifa")
 
 
 @check("w4_w5_plants", f"""

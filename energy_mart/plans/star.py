@@ -8,7 +8,9 @@ failure half-way, adds only what is missing.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -300,60 +302,73 @@ class Star:
             self.read(name).createOrReplaceTempView(prefix + name)
 
     def load(self, staging: Frames) -> DataFrame:
-        """All fourteen steps in order; audit rows (step, objeto, filas_insertadas, mensaje)."""
+        """All fourteen steps; audit rows (step, objeto, filas_insertadas, mensaje).
+
+        Steps that do not need each other's rows run side by side, so small dimensions do
+        not leave the cluster idle.
+        """
         self.create()
-        audit: list[tuple[int, str, int, str]] = []
-
-        def insert(table: str, rows: DataFrame, key: str, keys: Sequence[str], text: str, label=None):
-            current = self.read(table)
-            numbered = with_keys(absent_rows(rows, current, keys), current, key, keys)
-            written = Observation()
-            counted = numbered.select(*current.columns).observe(written, F.count(F.lit(1)).alias("n"))
-            counted.write.mode("append").parquet(self.path(table))
-            count = written.get["n"]
-            audit.append((len(audit) + 1, label or table, count, f"Carga de {text} completada"))
-
-        def add_dimension(table: str, rows: DataFrame, text: str, label=None):
-            key, natural, _ = DIMENSIONS[table]
-            insert(table, rows, key, [natural], text, label)
-
-        add_dimension("dim_tiempo", date_rows(staging), "dimension tiempo")
-        add_dimension("dim_empresa", company_rows(staging), "dimension empresa")
-        add_dimension("dim_tarifa", tariff_rows(staging), "dimension tarifa")
-        add_dimension("dim_ubicacion", location_rows(staging), "dimension ubicacion")
-        add_dimension(
-            "dim_central_electrica",
-            plant_rows(staging, self.read("dim_ubicacion")),
-            "dimension central electrica",
-        )
-        add_dimension("dim_producto_hidrocarburo", product_rows(staging), "dimension producto")
-        add_dimension(
-            "dim_resolucion_hidrocarburo", resolution_rows(staging), "dimension resolucion"
+        audit = []
+        audit += self._together(
+            (1, "dim_tiempo", lambda: self._dimension("dim_tiempo", date_rows(staging))),
+            (2, "dim_empresa", lambda: self._dimension("dim_empresa", company_rows(staging))),
+            (3, "dim_tarifa", lambda: self._dimension("dim_tarifa", tariff_rows(staging))),
+            (4, "dim_ubicacion", lambda: self._dimension("dim_ubicacion", location_rows(staging))),
+            (6, "dim_producto_hidrocarburo",
+             lambda: self._dimension("dim_producto_hidrocarburo", product_rows(staging))),
+            (7, "dim_resolucion_hidrocarburo",
+             lambda: self._dimension("dim_resolucion_hidrocarburo", resolution_rows(staging))),
         )
-
-        facts: dict[str, tuple[Callable[[Frames, Frames], DataFrame], str]] = {
-            "fact_clima_mensual": (climate_facts, "hecho clima"),
-            "fact_tarifa_electricidad": (price_facts, "hecho tarifa electricidad"),
-            "fact_distribucion_tarifaria": (distribution_facts, "hecho distribucion"),
-            "fact_hidrocarburos": (fuel_facts, "hecho hidrocarburos"),
-        }
         dims = {name: self.read(name) for name in DIMENSIONS}
-        for table, (build, text) in facts.items():
-            key, grain, _ = FACTS[table]
-            insert(table, build(staging, dims), key, grain, text)
-
-        add_dimension(
-            "dim_empresa", zone_company_rows(staging), "operadores de zonas", "dim_empresa_zonas"
+        audit += self._together(
+            (5, "dim_central_electrica",
+             lambda: self._dimension("dim_central_electrica", plant_rows(staging, dims["dim_ubicacion"]))),
+            (8, "fact_clima_mensual",
+             lambda: self._fact("fact_clima_mensual", climate_facts(staging, dims))),
+            (9, "fact_tarifa_electricidad",
+             lambda: self._fact("fact_tarifa_electricidad", price_facts(staging, dims))),
+            (10, "fact_distribucion_tarifaria",
+             lambda: self._fact("fact_distribucion_tarifaria", distribution_facts(staging, dims))),
+            (11, "fact_hidrocarburos",
+             lambda: self._fact("fact_hidrocarburos", fuel_facts(staging, dims))),
+        )
+        audit += self._together(
+            (12, "dim_empresa_zonas", lambda: self._dimension("dim_empresa", zone_company_rows(staging))),
+            (13, "dim_zona_concesion", lambda: self._upsert_zones(zone_rows(staging))),
         )
-        count = self._upsert_zones(zone_rows(staging))
-        audit.append((len(audit) + 1, "dim_zona_concesion", count, "Carga de zonas completada"))
         table, key, grain = BRIDGE
         links = bridge_rows(self.read("dim_zona_concesion"), self.read("dim_empresa"))
-        insert(table, links, key, list(grain), "vinculo empresa-zona")
+        audit += self._together((14, table, lambda: self._insert(table, links, key, grain)))
+        rows = [(step, name, n, f"Carga de {name} completada") for step, name, n in sorted(audit)]
         return literal_rows(
-            self.spark, audit, "step int, objeto string, filas_insertadas bigint, mensaje string"
+            self.spark, rows, "step int, objeto string, filas_insertadas bigint, mensaje string"
         )
 
+    def _together(self, *steps: tuple[int, str, Callable[[], int]]) -> list[tuple[int, str, int]]:
+        with ThreadPoolExecutor(len(steps)) as pool:
+            running = [
+                (step, name, pool.submit(inheritable_thread_target(self.spark)(run)))
+                for step, name, run in steps
+            ]
+            return [(step, name, future.result()) for step, name, future in running]
+
+    def _dimension(self, table: str, rows: DataFrame) -> int:
+        key, natural, _ = DIMENSIONS[table]
+        return self._insert(table, rows, key, [natural])
+
+    def _fact(self, table: str, rows: DataFrame) -> int:
+        key, grain, _ = FACTS[table]
+        return self._insert(table, rows, key, grain)
+
+    def _insert(self, table: str, rows: DataFrame, key: str, keys: Sequence[str]) -> int:
+        """Append the rows whose key is new; the count is observed while writing."""
+        current = self.read(table)
+        numbered = with_keys(absent_rows(rows, current, keys), current, key, keys)
+        written = Observation()
+        counted = numbered.select(*current.columns).observe(written, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("append").parquet(self.path(table))
+        return written.get["n"]
+
     def _upsert_zones(self, rows: DataFrame) -> int:
         """Update or add zones, keeping their keys; two different rows for one id are an error."""
         name = "dim_zona_concesion"
