@@ -11,8 +11,7 @@ SENTINEL = -999.0
 
 
 def lenient_double_sql(name: str) -> str:
-    number = f"TRY_CAST({strip_sql(name)} AS DOUBLE)"
-    return f"CASE WHEN NOT isnan({number}) THEN {number} END"
+    return f"nullif(TRY_CAST({strip_sql(name)} AS DOUBLE), double('NaN'))"
 
 
 def lenient_int_sql(name: str) -> str:
@@ -30,7 +29,8 @@ def lenient_int(c: Column) -> Column:
 
 
 def nan_to_null(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    """NaN equals NaN in Spark, so one comparison does; the value is evaluated once."""
+    return F.nullif(c, F.lit(float("nan")))
 
 
 def sentinel_to_null(c: Column, sentinel: float = SENTINEL) -> Column:
