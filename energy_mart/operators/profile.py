@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from energy_mart.functions.numbers import nan_to_null
 from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.project import keep_existing, numeric_columns, quoted
-from energy_mart.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles
+from energy_mart.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles, first_scan
 from energy_mart.session import materialise
 
 IQR_FACTOR = 1.5
@@ -213,8 +213,10 @@ def describe(
         )
         for i, c in enumerate(names)
     ]
-    basics = _rows(df.groupBy(*by).agg(*aggregates), entries, by)
-    cuts = exact_quantiles(df, names, (0.25, 0.5, 0.75), by, in_memory_rows)
+    probs = (0.25, 0.5, 0.75)
+    first = first_scan(df, names, probs, by, aggregates)
+    basics = _rows(first, entries, by)
+    cuts = exact_quantiles(df, names, probs, by, in_memory_rows, first)
     keys = [*by, "column"]
     q = F.col("q")
     return join_null_safe(basics, cuts, keys, "left").select(
@@ -305,10 +307,29 @@ def outlier_rows(
     by: Sequence[str] = (),
     in_memory_rows: int = IN_MEMORY_ROWS,
 ) -> DataFrame:
-    """Rows (*by, column, value) strictly outside the bounds."""
-    rows = _bounded_cells(df, names, by, in_memory_rows)
-    out = rows.filter((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
-    return out.select(*by, "column", "value")
+    """Rows (*by, column, value) strictly outside the bounds.
+
+    Without groups the bounds are one row per column: they become literals, and the filter
+    reaches the scan.
+    """
+    if by:
+        rows = _bounded_cells(df, names, by, in_memory_rows)
+        out = rows.filter((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
+        return out.select(*by, "column", "value")
+    found = {r["column"]: r for r in outlier_bounds(df, names, (), in_memory_rows).collect()}
+    outside = {
+        c: (_col(c) < F.lit(found[c]["low"])) | (_col(c) > F.lit(found[c]["high"])) for c in names
+    }
+    anywhere = F.lit(False)
+    for test in outside.values():
+        anywhere = anywhere | test
+    entries = [
+        F.struct(F.lit(c).alias("column"), F.when(test, _col(c).cast("double")).alias("value"))
+        for c, test in outside.items()
+    ]
+    return _rows(df.filter(anywhere), entries).filter(
+        F.col("value").isNotNull() & ~F.isnan("value")
+    )
 
 
 def outlier_summary(

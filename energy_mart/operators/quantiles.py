@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from energy_mart.functions.numbers import nan_to_null
@@ -20,28 +20,46 @@ def _double(name: str):
     return nan_to_null(F.col(name).cast("double"))
 
 
+def first_scan(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    extra: Sequence[Column] = (),
+    margin: float = 2 / ACCURACY,
+) -> DataFrame:
+    """One settled row per group: size, fixed-size sketches around each quantile, extras."""
+    edges = [min(max(p + side, 0.0), 1.0) for p in sorted(probs) for side in (-margin, margin)]
+    wanted = F.array(*[F.lit(e) for e in edges])
+    sketches = [
+        F.percentile_approx(_double(c), wanted, F.lit(ACCURACY)).alias(f"__edges{i}")
+        for i, c in enumerate(cols)
+    ]
+    return materialise(
+        df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"), *sketches, *extra)
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
     in_memory_rows: int = IN_MEMORY_ROWS,
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """Rows (*by, column, q) with ``q`` the values at ``probs``.
 
-    Spark's exact ``percentile`` keeps every distinct value of a group in one buffer, so it
-    is used only when the largest group is counted and small. Beyond that the quantiles are
-    selected in two scans (see ``_selected``), which is exact too.
+    Two scans. The first counts the groups and sketches. When the largest group is small,
+    the second uses Spark's exact ``percentile``, which keeps a group's distinct values in
+    one buffer. Beyond that it selects by rank around the sketches (see ``_selected``),
+    which is exact too.
     """
     probs = sorted(probs)
-    if _largest_group(df, by) <= in_memory_rows:
+    first = first_scan(df, cols, probs, by) if first is None else first
+    if (first.agg(F.max("__rows")).first()[0] or 0) <= in_memory_rows:
         return _aggregated(df, cols, probs, by)
-    return _selected(df, cols, probs, by)
-
-
-def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+    return _selected(df, cols, probs, by, first)
 
 
 def _aggregated(df, cols, probs, by):
@@ -59,41 +77,34 @@ def _stacked(wide, cols, by, value):
     return wide.select(*by, F.explode(F.array(*entries)).alias("e")).select(*by, "e.column", "e.q")
 
 
-def _selected(df, cols, probs, by):
-    """Approximate brackets first, then exact ranks of the few values inside them.
+def _selected(df, cols, probs, by, first):
+    """Exact ranks of the few values near the sketched quantiles.
 
-    Scan 1 sketches a narrow bracket around each quantile (fixed-size summaries). Scan 2
-    counts: values inside a bracket by value, all others only by the gap they fall into, so
-    both shuffles carry partial counts. Ranks come from a distributed running total. When a
-    sketch missed, the bracket is widened; the last try keeps every value.
+    Values inside a bracket are counted by value, all others only by the gap they fall into,
+    so the shuffle carries partial counts. Ranks come from a distributed running total. When
+    a sketch missed, the bracket is widened; the last try keeps every value.
     """
     keys = [*by, "column"]
-    for margin in (2 / ACCURACY, 0.05, None):
-        counts = _compressed(df, cols, probs, by, margin)
+    for sketches in (
+        lambda: first, lambda: first_scan(df, cols, probs, by, margin=0.05), lambda: None
+    ):
+        counts = _compressed(df, cols, probs, by, sketches())
         ranked = running_total(counts, ["low"], "n", "upto", by=keys)
         picked = materialise(_at_ranks(ranked, probs, keys))
-        if margin is None or picked.filter("missed").isEmpty():
+        if picked.filter("missed").isEmpty():
             return picked.select(*keys, "q")
-    raise AssertionError("unreachable")
+    raise AssertionError("every value was kept, so no rank can be missed")
 
 
-def _compressed(df, cols, probs, by, margin):
-    """Rows (*by, column, low, high, n, total): counted values and counted gaps."""
+def _compressed(df, cols, probs, by, sketches):
+    """Rows (*by, column, low, high, n): counted values and counted gaps."""
     entries = [F.struct(F.lit(c).alias("column"), _double(c).alias("x")) for c in cols]
     cells = df.select(*by, F.explode(F.array(*entries)).alias("e")).select(*by, "e.column", "e.x")
     cells = cells.filter(F.col("x").isNotNull())
-    if margin is None:
+    if sketches is None:
         held = cells.withColumn("held", F.col("x")).withColumn("gap", F.lit(0))
     else:
-        edges = [min(max(p + side, 0.0), 1.0) for p in probs for side in (-margin, margin)]
-        wanted = F.array(*[F.lit(e) for e in edges])
-        wide = df.groupBy(*by).agg(
-            *[
-                F.percentile_approx(_double(c), wanted, F.lit(ACCURACY)).alias(f"q{i}")
-                for i, c in enumerate(cols)
-            ]
-        )
-        brackets = _stacked(wide, cols, by, lambda i: F.col(f"q{i}"))
+        brackets = _stacked(sketches, cols, by, lambda i: F.col(f"__edges{i}"))
         joined = join_null_safe(cells, materialise(brackets), [*by, "column"])
         x, q = F.col("x"), F.col("q")
         inside, gap = F.lit(False), F.lit(0)

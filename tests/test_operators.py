@@ -37,19 +37,19 @@ def test_ranked_quantiles_with_one_hot_value(spark):
     np.testing.assert_allclose(q, expected)
 
 
-def test_a_missed_bracket_is_widened(spark, monkeypatch):
+def test_missed_brackets_are_widened(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
-    real = quantiles._compressed
-    margins = []
+    wrong = quantiles.first_scan(df, ["x"], (0.9,), margin=0.0)
+    q = quantiles.exact_quantiles(df, ["x"], (0.5,), in_memory_rows=0, first=wrong).first()["q"]
+    assert q == [499.5]
 
-    def narrow(df, cols, probs, by, margin):
-        margins.append(margin)
-        # A bracket of no width around the wrong place, then the real ones.
-        return real(df, cols, [0.9], by, 0.0) if len(margins) == 1 else real(df, cols, probs, by, margin)
 
-    monkeypatch.setattr(quantiles, "_compressed", narrow)
+def test_every_value_kept_as_the_last_try(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    wrong = quantiles.first_scan(df, ["x"], (0.9,), margin=0.0)
+    monkeypatch.setattr(quantiles, "first_scan", lambda *a, **k: wrong)
     q = quantiles.exact_quantiles(df, ["x"], (0.5,), in_memory_rows=0).first()["q"]
-    assert q == [499.5] and len(margins) == 2
+    assert q == [499.5]
 
 
 def test_dense_numbers_and_running_totals(spark):
