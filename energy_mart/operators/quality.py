@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from energy_mart.functions.text import blank_to_null, is_bad_boolean
+from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.profile import null_counts
 from energy_mart.operators.project import quoted
 from energy_mart.schemas import Field
@@ -59,6 +60,21 @@ def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame
     )
 
 
+def split_repeated(
+    df: DataFrame, keys: Sequence[str], order: str
+) -> tuple[DataFrame, DataFrame]:
+    """(first row of each key by ``order``, the later ones with a reason); ``order`` is unique.
+
+    A minimum per key combines before the shuffle, so one very frequent key is no hot task.
+    """
+    first = df.groupBy(*keys).agg(F.min(order).alias("__first"))
+    marked = join_null_safe(df, first, keys)
+    kept = marked.filter(F.col(order) == F.col("__first")).drop("__first")
+    later = marked.filter(F.col(order) != F.col("__first")).drop("__first")
+    reason = F.array(F.lit(f"repeated {', '.join(keys)}"))
+    return kept, later.withColumn(REASONS, reason)
+
+
 def load_summary(df: DataFrame, rules: Mapping[str, Column], table: str) -> DataFrame:
     """One row: table, total, accepted, rejected."""
     good = F.size(REASONS) == 0

@@ -19,6 +19,7 @@ from energy_mart.operators.project import (
     quoted,
     reproject,
     swap_zero_null,
+    to_model,
     trim_names,
 )
 
@@ -72,6 +73,12 @@ def wide_table(prices: DataFrame, climate: DataFrame) -> DataFrame:
     return prices.join(climate, KEYS, "left")
 
 
+def report_table(wide: DataFrame) -> DataFrame:
+    """The wide table with typed staging names, as the reports take it."""
+    measures = [f for f in schemas.CLIMATE if f.type == "double"]
+    return to_model(wide, (*schemas.PRICES, *measures))
+
+
 def prepare_prices(cleaned: DataFrame) -> DataFrame:
     return keep_existing(cleaned, schemas.layout(schemas.PRICES))
 

@@ -130,6 +130,11 @@ STAGING = {
     "stg_hidrocarburos": FUELS,
 }
 
+# Staging columns filled at load time: table -> column -> (type, SQL default).
+STAGING_DEFAULTS = {
+    "stg_zonas": {"srid": ("int", "5367"), "fecha_carga": ("timestamp", "current_timestamp()")},
+}
+
 # Source columns a recipe keeps, where it keeps fewer than the model has.
 DISTRIBUTION_LAYOUT = (
     "id_Mes", "mes", "anho", "empresa", "tipoTarifa", "descripcionTarifa", "bloque",

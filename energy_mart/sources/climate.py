@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from energy_mart.functions.dates import is_yearly_key
-from energy_mart.functions.numbers import lenient_int, sentinel_to_null
+from energy_mart.functions.numbers import lenient_double, lenient_int, sentinel_to_null
 from energy_mart.functions.text import clean_key
 from energy_mart.operators.project import trim_names
 from energy_mart.schemas import CLIMATE_VARIABLES
@@ -18,18 +18,18 @@ PAYLOAD = "struct<properties:struct<parameter:map<string,map<string,double>>>>"
 
 
 def clean_climate_keys(df: DataFrame) -> DataFrame:
-    """Trimmed upper-case company, whole year and month; rows missing one of them go."""
-    return (
-        trim_names(df)
-        .withColumns(
-            {
-                "Empresa": clean_key(F.col("Empresa").cast("string")),
-                "Año": lenient_int(F.col("Año")),
-                "Mes": lenient_int(F.col("Mes")),
-            }
-        )
-        .dropna(subset=["Empresa", "Año", "Mes"])
-    )
+    """Trimmed upper-case company, whole year and month, numeric measures.
+
+    Rows missing one of the keys go.
+    """
+    rows = trim_names(df)
+    changes = {
+        "Empresa": clean_key(F.col("Empresa").cast("string")),
+        "Año": lenient_int(F.col("Año")),
+        "Mes": lenient_int(F.col("Mes")),
+    }
+    changes |= {v: lenient_double(F.col(v)) for v in CLIMATE_VARIABLES if v in rows.columns}
+    return rows.withColumns(changes).dropna(subset=["Empresa", "Año", "Mes"])
 
 
 def read_climate(spark: SparkSession, path: str) -> DataFrame:

@@ -7,10 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from energy_mart.operators.merge import upsert
 from energy_mart.operators.project import quoted
 from energy_mart.operators.quality import check_frame
-from energy_mart.schemas import CATALOGS, STAGING, Field, staging_schema
-from energy_mart.session import empty_frame
+from energy_mart.schemas import CATALOGS, STAGING, STAGING_DEFAULTS, Field, staging_schema
+from energy_mart.session import empty_frame, materialise
 from energy_mart.sources.files import read_csv
 
 
@@ -42,7 +43,20 @@ class Staging:
         return f"{self.root}/{name}"
 
     def _schema(self, name: str) -> str:
-        return staging_schema(self.models[name])
+        filled = STAGING_DEFAULTS.get(name, {})
+        return ", ".join(
+            [staging_schema(self.models[name]), *(f"{c} {kind}" for c, (kind, _) in filled.items())]
+        )
+
+    def _typed(self, name: str, df: DataFrame) -> DataFrame:
+        """Model columns in order and type, then the columns filled at load time."""
+        fields: Sequence[Field] = self.models[name]
+        out = [F.col(f.name).cast(f.type) for f in fields]
+        for column, (kind, default) in STAGING_DEFAULTS.get(name, {}).items():
+            value = F.expr(default).cast(kind)
+            given = F.coalesce(F.col(column).cast(kind), value) if column in df.columns else value
+            out.append(given.alias(column))
+        return check_frame(df).select(*out)
 
     def clear(self, names: Sequence[str] | None = None) -> list[str]:
         """Empty the tables; they stay readable."""
@@ -54,11 +68,16 @@ class Staging:
         return names
 
     def append(self, name: str, df: DataFrame) -> None:
-        """Append rows in the model's column order and types."""
-        fields: Sequence[Field] = self.models[name]
-        check_frame(df).select(*[F.col(f.name).cast(f.type) for f in fields]).write.mode(
-            "append"
-        ).parquet(self.path(name))
+        """Append rows; nothing is deduplicated."""
+        self._typed(name, check_frame(df)).write.mode("append").parquet(self.path(name))
+
+    def merge(self, name: str, df: DataFrame, keys: Sequence[str]) -> None:
+        """Update rows with a known key and add the others; ``df`` must be unique on ``keys``.
+
+        The old files are an input, so the new version is settled before it replaces them.
+        """
+        merged = upsert(self.read(name), self._typed(name, check_frame(df)), keys)
+        materialise(merged).write.mode("overwrite").parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.schema(self._schema(name)).parquet(self.path(name))

@@ -226,3 +226,11 @@ def test_constraint_checks(spark):
     assert rows(quality.orphan_rows(fact, "k", dim, "key")) == [(3, 1)]
     assert rows(quality.lookup_losses(fact, dim, {"k": "key"})) == [(2,)]
     assert bag(quality.missing_values(fact, ["k", "v"])) == [("k", 1), ("v", 0)]
+
+
+def test_repeated_keys_keep_the_first(spark):
+    df = frame(spark, "i int, k int", (1, 7), (2, 7), (3, None), (4, None), (5, 8))
+    kept, later = quality.split_repeated(df, ["k"], "i")
+    assert bag(kept.select("i", "k")) == [(1, 7), (3, None), (5, 8)]
+    assert sorted(r["i"] for r in later.collect()) == [2, 4]
+    assert later.first()[quality.REASONS] == ["repeated k"]

@@ -156,3 +156,19 @@ def test_csv_sink_round_trip(spark, tmp_path):
     assert bag(files.read_csv(spark, str(tmp_path / "o"), multiline=True)) == bag(df)
     files.write_parquet(df.withColumn("n", F.lit(1)), str(tmp_path / "p"))
     assert spark.read.parquet(str(tmp_path / "p")).columns == ["a", "b", "n"]
+
+
+def test_staging_merge_updates_and_stamps(spark, tmp_path):
+    area = tables.Staging(spark, str(tmp_path / "m"))
+    area.clear(["stg_zonas"])
+
+    def zones(*data):
+        raw = frame(spark, "id_Objecto int, operador string", *data)
+        return project.to_model(raw, schemas.ZONES)
+
+    area.append("stg_zonas", zones((1, "a"), (2, "b")))
+    before = {r["id_objecto"]: r["fecha_carga"] for r in area.read("stg_zonas").collect()}
+    area.merge("stg_zonas", zones((2, None), (3, "c")), ["id_objecto"])
+    after = {r["id_objecto"]: (r["operador"], r["srid"], r["fecha_carga"]) for r in area.read("stg_zonas").collect()}
+    assert {k: v[:2] for k, v in after.items()} == {1: ("a", 5367), 2: (None, 5367), 3: ("c", 5367)}
+    assert after[1][2] == before[1] and after[2][2] > before[2]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from energy_mart import schemas
 from energy_mart.operators import project, quality
-from energy_mart.plans import geo, reports, star, views
+from energy_mart.plans import geo, jobs, recipes, reports, star, views
 from energy_mart.session import empty_frame
 
 
@@ -192,3 +192,46 @@ def test_report_base_and_filters(spark):
     assert change["var_pct"] == 100.0
     assert reports.filtered(df, years=[2020, 2022], companies=["ICE"]).count() == 2
     assert rows(reports.choices(df, "empresa")) == [("CNFL",), ("ICE",)]
+
+
+def test_full_load_from_landed_frames(spark, tmp_path):
+    header = [f.source for f in schemas.PRICES]
+    row = dict.fromkeys(header)
+
+    def price(**given):
+        return tuple({**row, **given}.get(h) for h in header)
+
+    prices = spark.createDataFrame(
+        [
+            price(Mes="ENERO", **{"Año": "2020"}, Empresa="ice", Tarifa="RESIDENCIAL", Ventas="10"),
+            price(Mes="ENERO", **{"Año": "2020"}, Empresa="x" * 30, Tarifa="RESIDENCIAL", Ventas="10"),
+            price(Mes="ENERO", **{"Año": "2020"}, Empresa="TOTAL NACIONAL", Tarifa="T", Ventas="10"),
+        ],
+        schemas.text_schema(header),
+    )
+    zones = frame(
+        spark, "id_Objecto int, operador string, descripcion string, area double, coordenadas string",
+        (1, "ice", "d", 1.0, SQUARE),
+    )
+    root = str(tmp_path / "dw")
+    summary, audit = jobs.full_load(spark, {"stg_aresep_medios": prices, "stg_zonas": zones}, root)
+    assert bag(summary) == [("stg_aresep_medios", 2, 1, 1), ("stg_zonas", 1, 1, 0)]
+    rejected = spark.read.parquet(f"{root}/staging/_rejects/stg_aresep_medios").first()
+    assert rejected[quality.REASONS] == ["empresa longer than 25"]
+    found = counts(audit)
+    assert (found["fact_tarifa_electricidad"], found["dim_zona_concesion"], found["bridge_empresa_zona"]) == (1, 1, 2)
+    staged_zone = spark.read.parquet(f"{root}/staging/stg_zonas").first()
+    assert staged_zone["srid"] == 5367 and staged_zone["fecha_carga"] is not None
+
+
+def test_wide_dataset_files(spark, tmp_path):
+    (tmp_path / "p1.csv").write_text("Mes,Año,Empresa,Tarifa,Ventas,Ingreso con CVG\nENERO,2020,ice,RES,1,2\n")
+    (tmp_path / "p2.csv").write_text("Mes,Año,Empresa,Tarifa,Ventas,Ingreso con CVG\nENERO,2020,Total Nacional,,1,3\n")
+    (tmp_path / "c.csv").write_text("Empresa,Año,Mes,T2M\nICE,2020,1,25.5\n")
+    out = jobs.wide_dataset(spark, str(tmp_path / "p*.csv"), str(tmp_path / "c.csv"), str(tmp_path / "out"))
+    assert rows(out.wide.select("Empresa", "Mes", "T2M")) == [("ICE", 1, 25.5)]
+    df = reports.base(recipes.report_table(out.wide))
+    assert rows(df.select("empresa", "ano", "ventas", "t2m", "estacion")) == [("ICE", 2020, 1.0, 25.5, "Verano (Dic-Abr)")]
+    assert rows(out.reconciliation.select("parts", "published")) == [(2.0, 3.0)]
+    stored = spark.read.option("header", True).csv(str(tmp_path / "out" / jobs.WIDE_FILE))
+    assert stored.count() == 1 and "Ingreso con CVG" in stored.columns
