@@ -120,17 +120,15 @@ def _with_names(facts, dims):
 
 @check("w8_fact_climate", f"""
 WITH {st.STAGED}
-SELECT make_date(ano, mes, 1) AS fecha, empresa AS nombre_empresa, round(t2m, 4) AS t2m, ws10m,
-  cloud_amt, t2m_max, ps FROM stg_climate
+SELECT make_date(ano, mes, 1) AS fecha, empresa AS nombre_empresa,
+  CAST(CAST(t2m AS DECIMAL(18,6)) AS DOUBLE) AS t2m, ws10m, cloud_amt, t2m_max, ps FROM stg_climate
 """)
 def fact_climate(spark, sf):
     staged = st.staging(spark, sf, ("stg_clima_nasa",))
     dims = _dims(staged, "dim_tiempo", "dim_empresa")
     rows = _with_names(star.climate_facts(staged, dims), dims)
-    measures = [F.col(m).cast("double").alias(m) for m in ("ws10m", "cloud_amt", "t2m_max", "ps")]
-    return rows.select(
-        "fecha", "nombre_empresa", F.round(F.col("t2m").cast("double"), 4).alias("t2m"), *measures
-    )
+    measures = ("t2m", "ws10m", "cloud_amt", "t2m_max", "ps")
+    return rows.select("fecha", "nombre_empresa", *[F.col(m).cast("double").alias(m) for m in measures])
 
 
 FACT_PRICES = f"""
@@ -166,7 +164,7 @@ def fact_tariff(spark, sf):
 @check("w10_fact_distribution", f"""
 WITH {st.STAGED}
 SELECT make_date(anho, id_mes, 1) AS fecha, empresa AS nombre_empresa, tipo_tarifa, descripcion_tarifa,
-  bloque, round(tarifa_promedio, 3) AS tarifa_promedio FROM stg_dist
+  bloque, CAST(CAST(tarifa_promedio AS DECIMAL(18,6)) AS DOUBLE) AS tarifa_promedio FROM stg_dist
 """)
 def fact_distribution(spark, sf):
     staged = st.staging(spark, sf, ("stg_distribucion",))
@@ -174,7 +172,7 @@ def fact_distribution(spark, sf):
     rows = _with_names(star.distribution_facts(staged, dims), dims).join(dims["dim_tarifa"], "tarifa_key")
     return rows.select(
         "fecha", "nombre_empresa", "tipo_tarifa", "descripcion_tarifa", "bloque",
-        F.round(F.col("tarifa_promedio").cast("double"), 3).alias("tarifa_promedio"),
+        F.col("tarifa_promedio").cast("double").alias("tarifa_promedio"),
     )
 
 
@@ -333,12 +331,12 @@ def _income(spark, sf):
 @check("v2_monthly_income", f"""
 {INCOME}
 SELECT nombre_empresa, anio, mes, tarifa, bloque_consumo, tipo_tarifa,
-  round(tarifa_promedio, 3) AS tarifa_promedio, ventas_por_mes, ingreso_con_cvg FROM income
+  tarifa_promedio, ventas_por_mes, ingreso_con_cvg FROM income
 """)
 def monthly_income(spark, sf):
     doubles = ("tarifa_promedio", "ventas_por_mes", "ingreso_con_cvg")
     rows = _income(spark, sf)
-    return rounded(rows.withColumns({c: F.col(c).cast("double") for c in doubles}), 3, "tarifa_promedio")
+    return rows.withColumns({c: F.col(c).cast("double") for c in doubles})
 
 
 BLOCKS = """
