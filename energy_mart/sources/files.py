@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 from energy_mart.functions.numbers import lenient_double
 from energy_mart.functions.text import COMPANY_CODES, company_code
-from energy_mart.operators.project import require_columns, stack_by_name, trim_names
+from energy_mart.operators.project import quoted, require_columns, stack_by_name, trim_names
 from energy_mart.schemas import PLANT_REQUIRED, ZONE_REQUIRED, text_schema
 
+# Cells that CSV readers of data frames take as missing.
+NA_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "enforceSchema": "false"}
 
 
@@ -31,16 +37,23 @@ def read_csv(
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     multiline: bool = False,
+    keep_na: bool = False,
     **options: str,
 ) -> DataFrame:
     """One CSV layout as text columns; types come later, leniently.
 
-    Without ``columns`` the header names them; no pass over the data infers types.
+    Without ``columns`` the header names them; no pass over the data infers types. Cells
+    that stand for a missing value become null unless ``keep_na``.
     """
     reader = spark.read.options(**{**CSV_OPTIONS, **options}).option("multiLine", multiline)
     if columns is not None:
         reader = reader.schema(text_schema(columns))
-    return reader.csv(path if isinstance(path, str) else list(path))
+    rows = reader.csv(path if isinstance(path, str) else list(path))
+    if keep_na:
+        return rows
+    words = ", ".join(f"'{w}'" for w in NA_WORDS)
+    names = [quoted(c) for c in rows.columns]
+    return rows.selectExpr(*[f"CASE WHEN {c} NOT IN ({words}) THEN {c} END AS {c}" for c in names])
 
 
 def read_csv_files(

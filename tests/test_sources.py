@@ -30,6 +30,12 @@ def test_many_files_of_one_layout_are_one_scan(spark, tmp_path):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
 
 
+def test_missing_words(spark, tmp_path):
+    path = write(tmp_path / "n.csv", "a,b\nNA,x\nnull,NAN\n,n/a\n")
+    assert rows(files.read_csv(spark, path)) == [(None, "x"), (None, "NAN"), (None, None)]
+    assert rows(files.read_csv(spark, path, keep_na=True))[0] == ("NA", "x")
+
+
 def test_latin1(spark, tmp_path):
     path = write(tmp_path / "l.csv", "año\nSÍ\n", "latin1")
     out = files.read_csv(spark, path, encoding="ISO-8859-1")
