@@ -357,13 +357,31 @@ class Star:
         return self._insert(table, rows, key, [natural])
 
     def _fact(self, table: str, rows: DataFrame) -> int:
-        key, grain, _ = FACTS[table]
-        return self._insert(table, rows, key, grain)
+        """Insert a batch, looking for known grains only among the dates it holds.
 
-    def _insert(self, table: str, rows: DataFrame, key: str, keys: Sequence[str]) -> int:
+        Loaded files are sorted by grain, date first, so the range skips most of a long
+        history in the scan.
+        """
+        key, grain, _ = FACTS[table]
+        batch = materialise(rows)
+        first, last = batch.agg(F.min(grain[0]), F.max(grain[0])).first()
+        if first is None:
+            return 0
+        known = self.read(table).filter(F.col(grain[0]).between(first, last))
+        return self._insert(table, batch, key, grain, known)
+
+    def _insert(
+        self,
+        table: str,
+        rows: DataFrame,
+        key: str,
+        keys: Sequence[str],
+        known: DataFrame | None = None,
+    ) -> int:
         """Append the rows whose key is new; the count is observed while writing."""
         current = self.read(table)
-        numbered = with_keys(absent_rows(rows, current, keys), current, key, keys)
+        fresh = absent_rows(rows, current if known is None else known, keys)
+        numbered = with_keys(fresh, current, key, keys)
         written = Observation()
         counted = numbered.select(*current.columns).observe(written, F.count(F.lit(1)).alias("n"))
         counted.write.mode("append").parquet(self.path(table))
