@@ -7,7 +7,7 @@ from energy_mart.checks import standins as st
 from energy_mart.checks.projections import LON_LAT
 from energy_mart.checks.registry import check
 from energy_mart.operators import project
-from energy_mart.plans import geo, recipes
+from energy_mart.plans import geo, jobs, recipes
 from energy_mart.session import scratch_path
 from energy_mart.sources import climate, files, tables
 
@@ -287,3 +287,65 @@ SELECT id_objecto, operador, 'Zona no definida' AS zona, descripcion, round(area
 """)
 def records(spark, sf):
     return geo.zone_records(_zones(spark, sf))
+
+
+@check("r10b_zones", f"""
+WITH {st.ZONES}
+SELECT id_objecto, operador, descripcion, tipo_geometria FROM zones
+""")
+def recipe_zones(spark, sf):
+    return _zones(spark, sf).select("id_objecto", "operador", "descripcion", "tipo_geometria")
+
+
+# ---- whole runs ---------------------------------------------------------------------
+
+@check("e2_wide_dataset", f"""
+WITH {st.PRICES}, {st.CLIMATE}
+SELECT p.empresa, p.tarifa, p.sistema, p.ano, p.mes, p.ventas, p.ingreso_con_cvg, c.cloud_amt, c.t2m_max
+FROM stg_prices p LEFT JOIN stg_climate c USING (empresa, ano, mes)
+""")
+def wide_dataset(spark, sf):
+    """Landed price and climate files to the derived wide file, read back."""
+    root = scratch_path(spark, "wide")
+    files.write_csv(st.prices_raw(spark, sf), f"{root}/prices")
+    files.write_csv(st.climate_raw(spark, sf), f"{root}/climate")
+    jobs.wide_dataset(spark, f"{root}/prices/*.csv", f"{root}/climate", f"{root}/out")
+    stored = files.read_csv(spark, f"{root}/out/{jobs.WIDE_FILE}")
+    return recipes.report_table(stored).select(
+        "empresa", "tarifa", "sistema", "ano", "mes", "ventas", "ingreso_con_cvg", "cloud_amt", "t2m_max"
+    )
+
+
+@check("w0_stage_with_rejects", f"""
+WITH {st.ZONES}, z AS (
+  SELECT id_objecto, descripcion || CASE WHEN id_objecto % 10 = 0 THEN repeat('x', 200) ELSE '' END AS d
+  FROM zones
+)
+SELECT id_objecto, length(d) > 200 AS rejected FROM z
+""")
+def stage_with_rejects(spark, sf):
+    """Rows too wide for staging end in the reject folder, the others in the table."""
+    long = F.when(F.col("id_Objecto") % 10 == 0, "x" * 200).otherwise("")
+    raw = st.zones_raw(spark, sf).withColumn("descripcion", F.concat("descripcion", long))
+    area = tables.Staging(spark, scratch_path(spark, "staging"))
+    jobs.stage(area, "stg_zonas", recipes.prepare_zones(raw))
+    kept = area.read("stg_zonas").select("id_objecto", F.lit(False).alias("rejected"))
+    rejects = spark.read.parquet(f"{area.root}/_rejects/stg_zonas")
+    return kept.unionByName(rejects.select(F.col("id_Objecto").alias("id_objecto"), F.lit(True).alias("rejected")))
+
+
+@check("w0b_zone_merge", f"""
+WITH {st.ZONES}
+SELECT id_objecto, CASE WHEN id_objecto % 4 = 0 THEN 'NUEVO' ELSE operador END AS operador,
+  CAST(5367 AS INTEGER) AS srid FROM zones
+""")
+def zone_merge(spark, sf):
+    """Staged zones, then a batch that updates every fourth one and adds the even ones left out."""
+    zones = _zones(spark, sf)
+    area = tables.Staging(spark, scratch_path(spark, "staging"))
+    area.clear(["stg_zonas"])
+    area.append("stg_zonas", zones.filter("id_objecto % 2 = 1 or id_objecto % 4 = 0"))
+    renamed = F.when(F.col("id_objecto") % 4 == 0, "NUEVO").otherwise(F.col("operador"))
+    batch = zones.filter("id_objecto % 2 = 0").withColumn("operador", renamed)
+    area.merge("stg_zonas", batch, ["id_objecto"])
+    return area.read("stg_zonas").select("id_objecto", "operador", "srid")
