@@ -60,7 +60,18 @@ def materialise(df: DataFrame) -> DataFrame:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    settled = spark.read.schema(df.schema).parquet(path)
+    settled._settled_in = path
+    return settled
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind a frame of ``materialise``; nothing may read it again."""
+    folder = getattr(df, "_settled_in", None)
+    if folder:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
