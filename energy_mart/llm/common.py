@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from energy_mart.session import materialise
+from energy_mart.session import materialise, release
 
 #: Words are runs without these six characters; the class body for Python and Java patterns.
 BLANKS = r"\x20\x09-\x0D"
@@ -93,3 +93,33 @@ def in_bitmap(spark: SparkSession, bitmap: dict[int, bytes], column: str) -> Col
     position = F.bitmap_bit_position(place)
     byte = F.conv(F.hex(F.substring(block, (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))), 16, 10)
     return F.coalesce(F.getbit(byte.cast("int"), (position % 8).cast("int")) == 1, F.lit(False))
+
+
+def components(links: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, root) for every node of ``links``, root being the component's smallest node.
+
+    Alternating large and small stars: each step hangs neighbours onto the smallest one, by plain
+    aggregates and joins, until every component is a star. Tables are settled between the steps.
+    """
+    edges = settle(
+        links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct()
+    )
+    seen = None
+    while True:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = settle(large.filter("u <> v").distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        down = large.join(least, "u")
+        small = down.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v")))
+        after = settle(small.filter("u <> v").distinct())
+        mark = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        for old in (edges, large):
+            release(old)
+        edges = after
+        if mark == seen:
+            break
+        seen = mark
+    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return settle(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))

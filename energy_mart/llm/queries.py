@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from energy_mart.llm import license_scan, line_dedup, quality_rules, secret_scan
+from energy_mart.llm import license_scan, line_dedup, ngram_join, quality_rules, secret_scan
 from energy_mart.llm.common import settle, table
 
 
@@ -27,3 +27,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.groups(table(spark, sf_dir, "documents"))
