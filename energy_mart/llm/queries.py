@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from energy_mart.llm import license_scan, line_dedup, ngram_join, quality_rules, secret_scan
+from energy_mart.llm import license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan, source_mix
 from energy_mart.llm.common import settle, table
 
 
@@ -31,3 +32,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.groups(table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.taken_words(table(spark, sf_dir, "documents"))
