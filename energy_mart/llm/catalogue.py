@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from energy_mart.llm import queries as q
 from energy_mart.llm.oracle import SQL
 
-QUERIES = [q.op1_line_dedup, q.op2_license_scan, q.op4_quality_rules, q.op5_source_mix, q.op8_secret_scan, q.op9_packing, q.op10_ngram_jaccard_join]
+QUERIES = [
+    q.op1_line_dedup, q.op2_license_scan, q.op3_toxicity, q.op4_quality_rules, q.op5_source_mix,
+    q.op6_cross_polytope, q.op7_url_graph, q.op8_secret_scan, q.op9_packing, q.op10_ngram_jaccard_join,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -123,3 +123,10 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         seen = mark
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return settle(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
+
+
+def join_small(rows: DataFrame, small: DataFrame, key: str, how: str = "inner", salts: int = 32) -> DataFrame:
+    """Join ``rows`` with a table that has one row per key, spreading a hot key over many tasks."""
+    salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return salted.join(copies, [key, "__salt"], how).drop("__salt")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from energy_mart.llm.common import BLANKS, settle, words
+from energy_mart.llm.common import BLANKS, join_small, settle, words
 
 #: Fixed values.
 SYMBOLS = "[#*$%&|<>]"
@@ -113,7 +113,7 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 def _distance(rows: DataFrame, moments: DataFrame) -> DataFrame:
     """Squared Mahalanobis distance ``d``, by forward substitution."""
-    out = rows.join(moments, "g", "left")
+    out = join_small(rows, moments, "g", "left")
     for i in range(4):
         rest = sum((F.col(f"l{i}{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", (F.col(f"x{i}") - F.col(f"m{i}") - rest) / F.col(f"l{i}{i}"))
@@ -135,7 +135,7 @@ def _nearest_half(rows: DataFrame) -> DataFrame:
         .groupBy("g")
         .agg(F.min("bin").alias("limit"))
     )
-    return binned.join(limits, "g").filter(F.col("bin") <= F.col("limit")).drop("bin", "limit", "d")
+    return join_small(binned, limits, "g").filter(F.col("bin") <= F.col("limit")).drop("bin", "limit", "d")
 
 
 def robust_moments(vectors: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def robust_moments(vectors: DataFrame) -> DataFrame:
     rows = vectors.filter(F.col("g").isNotNull()).select("g", *AXES)
     medians = rows.groupBy("g").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(AXES)])
     spread = sum(((F.col(x) - F.col(f"m{i}")) ** 2 / LEAST_VARIANCE[i] for i, x in enumerate(AXES)), F.lit(0.0))
-    far = rows.join(medians, "g").withColumn("d", spread).select("g", *AXES, "d")
+    far = join_small(rows, medians, "g").withColumn("d", spread).select("g", *AXES, "d")
     moments = settle(_moments(_nearest_half(far)))
     for _ in range(STEPS):
         moments = settle(_moments(_nearest_half(_distance(rows, moments))))
@@ -154,7 +154,7 @@ def judge(measured: DataFrame) -> DataFrame:
     """Adds ``base_failed`` and ``kept``; scans ``measured`` several times, so settle it first."""
     keyed = measured.withColumns(_vector()).withColumn("own", F.to_json(F.struct("lang", "source")))
     groups = settle(_groups(measured))
-    vectors = keyed.join(groups, "own", "left")
+    vectors = join_small(keyed, groups, "own", "left")
     moments = robust_moments(vectors)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PCT * F.col("n_words"))
     near = F.coalesce(F.col("d") <= CUTOFF, F.lit(True))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from energy_mart.llm import license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan, source_mix
+from energy_mart.llm import cross_polytope, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan, source_mix, toxicity, url_graph
 from energy_mart.llm.common import settle, table
 
 
@@ -40,3 +40,17 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.taken_words(table(spark, sf_dir, "documents"))
+
+
+def op6_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cross_polytope.usable(table(spark, sf_dir, "embeddings"))
+    return cross_polytope.nearest(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+def op7_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_graph.judge(table(spark, sf_dir, "pages"))

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from energy_mart.llm.common import settle
+
 #: Fixed values. Kind to its pattern, in the order in which equal starts are listed.
 PATTERNS = {
     "assign": r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -51,13 +53,17 @@ def _matches(text: Column, kind: str) -> Column:
     return F.zip_with(gaps, lengths, lambda g, m: F.struct(g.alias("gap"), m.length.alias("length"), m.counted.alias("counted")))
 
 
-def parts(docs: DataFrame) -> DataFrame:
-    """(row, kind, start, end) of every part and blank line, for texts with some part."""
-    text = F.col("text")
+def matches(docs: DataFrame) -> DataFrame:
+    """(row, doc_id, kinds): every kind's matches, null for texts without any part; one pass."""
+    text = F.coalesce("text", F.lit(""))
     kinds = F.array(*[F.struct(F.lit(i).alias("kind"), _matches(text, k).alias("hits")) for i, k in enumerate(KINDS)])
+    return docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.when(_found(text), kinds).alias("kinds"))
+
+
+def parts(matched: DataFrame) -> DataFrame:
+    """(row, kind, start, end) of every part and blank line."""
     hits = (
-        docs.filter(_found(text))
-        .select("row", F.explode(kinds).alias("k"))
+        matched.select("row", F.explode("kinds").alias("k"))
         .filter(F.size("k.hits") > 1)
         .select("row", "k.kind", F.posexplode("k.hits").alias("at", "hit"))
         .select("row", "kind", "at", "hit.*")
@@ -108,9 +114,7 @@ def linked(found: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, spans array<struct<start, kind, end>> sorted by start, then kind, for every row."""
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
+    rows = settle(matches(docs))
     found = parts(rows)
     base = [KINDS.index(k) for k in BASE]
     spans = found.filter(F.col("kind").isin(base)).unionByName(linked(found))
