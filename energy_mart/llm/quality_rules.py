@@ -160,3 +160,11 @@ def judge(measured: DataFrame) -> DataFrame:
     near = F.coalesce(F.col("d") <= CUTOFF, F.lit(True))
     judged = _distance(vectors, moments).withColumn("base_failed", failed)
     return judged.withColumn("kept", ~F.col("base_failed") & near).drop("g", "own", "d", *AXES)
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns) that pass; ``docs`` must be a table read from files."""
+    place = F.monotonically_increasing_id()
+    measured = settle(measure(docs.select(place.alias("__row"), "lang", "source", "text")).drop("text"))
+    rejected = settle(judge(measured).filter(~F.col("kept")).select("__row"))
+    return docs.withColumn("__row", place).join(rejected, "__row", "left_anti").select(docs.columns)
