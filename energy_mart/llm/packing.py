@@ -10,7 +10,7 @@ pattern takes are packed greedily, one after another, in steps of CUT tokens; on
 window's end is cut there. Checksums of cut pieces are joined from those of their stretches.
 
 Null or empty text: the end id alone. Repeated rows are packed as often as they stand. Other columns
-are ignored. A text of any length is encoded word by word, each distinct word once per task.
+are ignored. A text of any length is encoded word by word.
 """
 
 from __future__ import annotations
@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from energy_mart.llm.common import arrow_pass, settle
+from energy_mart.session import release
 
 WINDOW, END_ID = 2048, 1
 #: Tokens between the places where a rest may be cut; each stretch has its checksum.
 CUT = 16
 #: Lengths that may stand in patterns of three, most common first; steps of the solver.
 COMMON, STEPS = 64, 400
-KNOWN_WORDS = 400_000
-_GAPS = re.compile(r"[ \n\t]+")
+KNOWN_WORDS = 800_000
+_GAPS, _SIGNS = re.compile(r"[ \n\t]+"), re.compile("[\x1c-\x1f]")
 
 
 @lru_cache(maxsize=2)
@@ -48,28 +49,77 @@ def _tokenizer(path: str):
 
 
 class Encoder:
-    """Ids of a text as bytes, little-endian unsigned 32 bits, with the end id.
+    """Ids of texts as bytes, little-endian unsigned 32 bits, with the end id.
 
-    Blanks separate words for the tokenizer whatever stands around them, so the ids of a text are
-    those of its words between blanks, one after another.
+    White space separates words for the tokenizer whatever stands around it, so the ids of a text
+    are those of its words between blanks, one after another. A process encodes each distinct word
+    once, until KNOWN_WORDS are remembered; later ones are encoded for their batch of texts.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
         self.known: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
         self.end = np.array([END_ID], "<u4").tobytes()
 
-    def text(self, text: str | None) -> bytes:
-        words = _GAPS.split(text or "")
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        # Python splits at four separators that the tokenizer takes for signs.
+        rows = [_GAPS.split(t) if _SIGNS.search(t) else t.split() for t in (t or "" for t in texts)]
+        out: list[bytes | None] = []
         known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            if len(known) + len(new) > KNOWN_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = np.array(coded.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, words)) + self.end
+        for words in rows:
+            try:
+                out.append(b"".join(map(known.__getitem__, words)))
+            except KeyError:
+                out.append(None)
+        missed = [i for i, x in enumerate(out) if x is None]
+        if missed:
+            new = self._words(list(set().union(*(rows[i] for i in missed)) - known.keys()))
+            if len(known) + len(new) <= KNOWN_WORDS:
+                known.update(new)
+                new = known
+            for i in missed:
+                out[i] = b"".join([new[w] if w in new else known[w] for w in rows[i]])
+        return [x + self.end for x in out]
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words; plain letters before full stops or commas are looked up by themselves."""
+        plain, other = {}, []
+        for w in words:
+            stem = w.rstrip(".,")
+            if stem.isalpha() and max(stem) <= "\xff":
+                plain[w] = stem.lower()
+            else:
+                other.append(w)
+        stems = list(set(plain.values()) - self.stems.keys())
+        new = self._letters(stems)
+        if len(self.stems) + len(new) <= KNOWN_WORDS:
+            self.stems.update(new)
+        other += list({w[len(s) :] for w, s in plain.items()})
+        coded = self.tokenizer.encode_batch(other, add_special_tokens=False)
+        found = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(other, coded)}
+        for w, s in plain.items():
+            found[w] = (new[s] if s in new else self.stems[s]) + found[w[len(s) :]]
+        return found
+
+    def _letters(self, stems: list[str]) -> dict[str, bytes]:
+        """Ids of words of letters: encoded as one text, which has one pre-token for each."""
+        out: dict[str, bytes] = {}
+        for at in range(0, len(stems), 5000):
+            part = stems[at : at + 5000]
+            coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, which = np.array(coded.ids, "<u4"), np.array(coded.word_ids)
+            starts = np.flatnonzero(np.diff(which, prepend=-1))
+            if len(starts) != len(part):
+                raise ValueError("a word of letters is not one pre-token")
+            out.update(zip(part, (x.tobytes() for x in np.split(ids, starts[1:]))))
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The process's own."""
+    return Encoder(path)
 
 
 def encode(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
@@ -77,12 +127,11 @@ def encode(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     schema = "doc_id long, doc_tokens long, whole array<long>, rest int, rest_crc32 long, stretches array<long>"
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, wide = Encoder(tokenizer), 4 * window
+        encode_texts, wide = encoder(tokenizer).texts, 4 * window
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, out = batch.slice(at, 500), []
-                for text in part.column(1):
-                    ids = encoder.text(text.as_py())
+                for ids in encode_texts(part.column(1).to_pylist()):
                     n = len(ids) // wide
                     rest = ids[n * wide :]
                     out.append((
@@ -212,7 +261,9 @@ def _placed(coded: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (all long)."""
-    placed = _placed(encode(docs, tokenizer, window))
+    coded = settle(encode(docs, tokenizer, window))  # sorting by range reads its input twice
+    placed = _placed(coded)
+    release(coded)
     counts = {r["rest"]: r["count"] for r in placed.filter("rest > 0").groupBy("rest").count().collect()}  # below WINDOW rows
     histogram = np.zeros(window, np.int64)
     histogram[list(counts)] = list(counts.values())

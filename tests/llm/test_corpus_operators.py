@@ -187,11 +187,20 @@ def test_packing_round_trip(docs, rows):
     assert check_pieces(small, texts, 64) < 0.2
 
 
-def test_encoder_gives_the_tokenizers_ids():
-    encoder, plain = packing.Encoder(TOKENIZER), packing._tokenizer(TOKENIZER)
-    for text in ["", " ", "It's a\ttest", "a\u0301 \u0301b", "x<|endoftext|>y <|startoftext|>", "ÀÉ  ẞ İ\n\nΣΑΣ", "a\u00a0b\u2003c\x1cd\x0be", "don't 'S 12345 §§!!"]:
-        want = [*plain.encode(text, add_special_tokens=False).ids, 1]
-        assert np.frombuffer(encoder.text(text), "<u4").tolist() == want
+def test_encoder_gives_the_tokenizers_ids(rows, monkeypatch):
+    plain = packing._tokenizer(TOKENIZER)
+    texts = [
+        "", " ", None, "It's a\ttest", "a\u0301 \u0301b", "x<|endoftext|>y <|startoftext|>", "ÀÉ  ẞ İ\n\nΣΑΣ", "don't 'S 12345 §§!!",
+        "a\u00a0b\u2003c\x1cd\x0be\x85f\u3000g", "a\x1f \x1d", "Word. word, WORD., .word ..., ªº µ. Éa,.", "loweischäft ñÿ. x'll", *(r[1] for r in rows),
+    ]
+    want = [[*plain.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
+    made = packing.Encoder(TOKENIZER)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in made.texts(texts)] == want
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 20)
+    small = packing.Encoder(TOKENIZER)
+    assert [np.frombuffer(x, "<u4").tolist() for t in texts for x in small.texts([t])] == want
+    assert len(small.known) <= 20 and len(small.stems) <= 20
 
 
 def test_least_squares_counts_fit_the_histogram():
