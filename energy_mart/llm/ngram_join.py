@@ -16,9 +16,11 @@ A document's set holds the 64-bit hashes of its distinct word shingles. Two sets
 4. Answers by set relations. Members of a block are first compared with one pivot only. What a
    set highly similar to its pivot can reach by links is the pivot's group: it takes over that
    answer, and afterwards a list is probed only across different groups, from the members outside
-   the list's largest group. A list within one group is skipped whole. So a group of n near
-   copies costs about n comparisons, and no link that joins different groups is lost.
-5. Candidates that share enough prefix tokens are verified on the full 64-bit sets.
+   the list's largest group. A list within one group is skipped whole, and a set's first link to
+   a group answers for all others to it. So a group of n near copies costs about n comparisons,
+   and no link that joins different groups is lost.
+5. Candidates that share enough prefix tokens are verified on the full 64-bit sets. Pairs are made
+   and judged inside tasks of bounded size; only links leave them.
 
 Null or empty text, or text of blanks: an empty set, linked with nothing. A text of fewer words
 than a shingle is one shingle. Repeated rows are copies and thus one class. A null doc_id takes
@@ -31,6 +33,7 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -44,6 +47,8 @@ from energy_mart.llm.common import (
 SHINGLE, PERCENT = 4, 85
 #: Tokens of a block, distinct words remembered by a task, and rounds of comparisons with pivots.
 BLOCK_TOKENS, KNOWN_WORDS, PIVOT_ROUNDS = 400_000, 1_000_000, 2
+#: Sets outside the main groups that are probed together, and list members met at a time.
+CHUNK, PIECE = 512, 4096
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -268,27 +273,111 @@ def _grouped(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
     return named.join(mixed, "token", "left_semi")
 
 
-def _across(lists: DataFrame, groups: DataFrame | None, percent: int) -> DataFrame:
-    """All pairs (a, b) of different groups that share enough prefix tokens."""
-    own = settle(_grouped(lists, groups))
-    sizes = own.groupBy("token", "g").count().groupBy("token").agg(F.max_by("g", F.struct("count", "g")).alias("main"))
-    marked = own.join(sizes, "token").withColumn("outside", F.col("g") != F.col("main")).drop("main")
-    cols = ["sig", "n", "n32", "pos", "g"]
-    probe = marked.filter("outside").select("token", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"), *[F.col(c).alias(f"{c}_a") for c in cols])
-    other = marked.select("token", "level", "outside", *[F.col(c).alias(f"{c}_b") for c in cols])
-    room = F.least("pos_a", "pos_b") + F.least(F.col("n32_a") - F.col("pos_a"), F.col("n32_b") - F.col("pos_b"))
-    hidden = F.col("n_a") - F.col("n32_a") + F.col("n_b") - F.col("n32_b")
-    once = ~F.col("outside") | (F.col("sig_a") < F.col("sig_b"))
-    met = probe.join(other, ["token", "level"]).filter(
-        (F.col("g_a") != F.col("g_b")) & once & (room + hidden >= _needed(F.col("n_a"), F.col("n_b"), percent))
-    )
-    # Either side may have probed, so a pair is counted in one direction.
-    swap = F.col("sig_a") > F.col("sig_b")
-    sides = [F.when(swap, F.col(f"{c}_{y}")).otherwise(F.col(f"{c}_{x}")).alias(f"{c}_{x}") for c in ("sig", "n", "n32") for x, y in ("ab", "ba")]
-    pairs = met.select(*sides).groupBy(F.col("sig_a").alias("a"), F.col("sig_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("k"), *[F.any_value(f"{c}_{x}").alias(f"{c}_{x}") for c in ("n", "n32") for x in "ab"]
+def _across(lists: DataFrame, groups: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different groups, from all pairs that the index lists give.
+
+    Sets outside their lists' main groups are gathered in chunks by their longest list. A chunk gets
+    its lists' members, in pieces of PIECE, each once for all its sets; pairs are counted, and then
+    verified, within the chunk, and only a first link of a set to a group leaves it.
+    """
+    own = _grouped(lists, groups)
+    sizes = own.groupBy("token", "g").count().groupBy("token").agg(F.max_by("g", F.struct("count", "g")).alias("main"), F.sum("count").alias("length"))
+    marked = settle(own.join(sizes, "token").withColumn("outside", F.col("g") != F.col("main")).drop("main"))
+    probes = marked.filter("outside")
+    lead = probes.groupBy("sig").agg(F.max_by("token", F.struct("length", "token")).alias("lead"))
+    parts = lead.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("parts"))
+    chunks = settle(lead.join(parts, "lead").select("sig", "lead", F.pmod(F.xxhash64("sig"), F.col("parts")).alias("part")))
+    node = [F.any_value(c).alias(c) for c in ("n", "n32", "g")]
+    near = F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1))
+    x = probes.join(chunks, "sig")
+    reach = F.floor(F.col("n") * (100 - percent) / percent) + 1 + 2 * (F.col("n") - F.col("n32"))
+    asks = x.select("lead", "part", "token", near.alias("level"), (F.col("pos") - reach).alias("low"), (F.col("pos") + reach).alias("high"))
+    asks = asks.groupBy("lead", "part", "token", "level").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    slack = 2 * (F.col("n") - F.col("n32"))  # tokens that fell together shift positions
+    met = asks.join(marked, ["token", "level"]).filter((F.col("pos") + slack >= F.col("low")) & (F.col("pos") - slack <= F.col("high")))
+    y = met.groupBy("lead", "part", "sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), F.max("outside").alias("outside"), *node)
+    y = settle(y)
+    pieces = y.groupBy("lead", "part").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("long").alias("pieces"))
+    y = y.join(pieces, ["lead", "part"]).withColumn("piece", F.pmod(F.xxhash64("sig"), F.col("pieces")))
+    spread = chunks.join(pieces, ["lead", "part"]).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("pieces")
+    asked = probes.groupBy("sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), *node)
+    key = ["lead", "part", "piece"]
+    importable(lists.sparkSession)
+    counted = asked.join(spread, "sig").groupBy(*key).cogroup(y.groupBy(*key)).applyInPandas(
+        lambda a, b: _counted(a, b, percent), "lead long, part long, piece long, sig binary, g binary, xs binary"
     )
-    return pairs.filter(_enough_shared(percent)).select("a", "b")
+    counted = settle(counted)
+    used = spread.join(counted.select(*key).distinct(), key, "left_semi").join(sets, "sig")
+    found = counted.join(sets.withColumnRenamed("hashes", "other"), "sig").withColumnRenamed("other", "hashes")
+    sides = used.groupBy(*key).cogroup(found.groupBy(*key))
+    return sides.applyInPandas(lambda a, b: _first_links(a, b, percent), "a binary, b binary")
+
+
+def _csr(arrays) -> tuple[np.ndarray, np.ndarray]:
+    """Concatenated values and the row of each."""
+    arrays = [np.asarray(v) for v in arrays]
+    rows = np.repeat(np.arange(len(arrays)), [len(v) for v in arrays])
+    return (np.concatenate(arrays) if arrays else np.zeros(0, np.int64)), rows
+
+
+def _counted(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """For each y the places of the x (sorted by digest) that share enough prefix tokens with it."""
+    out = []
+    if len(x) and len(y):
+        x = x.sort_values("sig")
+        tokens, rows = _csr(x["tokens"])
+        order = np.argsort(tokens, kind="stable")
+        tokens, rows = tokens[order], rows[order]
+        n, n32 = x["n"].to_numpy(np.int64), x["n32"].to_numpy(np.int64)
+        rest = n32 - np.minimum(n - (percent * n + 99) // 100 + 1, n32)
+        groups, sigs = x["g"].to_numpy(), x["sig"].to_numpy()
+        for row in y.itertuples():
+            mine = np.asarray(row.tokens)
+            lo, hi = np.searchsorted(tokens, mine, "left"), np.searchsorted(tokens, mine, "right")
+            shared = np.concatenate([rows[a:b] for a, b in zip(lo.tolist(), hi.tolist())])
+            k = np.bincount(shared, minlength=len(x))
+            own_rest = row.n32 - min(row.n - (percent * row.n + 99) // 100 + 1, row.n32)
+            needed = -(-((n + row.n) * percent) // (100 + percent)) - (n - n32) - (row.n - row.n32) - np.maximum(rest, own_rest)
+            fit = (k > 0) & (k >= needed) & (100 * np.minimum(n, row.n) >= percent * np.maximum(n, row.n)) & (groups != row.g)
+            if row.outside:
+                fit &= sigs < row.sig  # the other order is met in the other's chunk
+            if fit.any():
+                best = np.flatnonzero(fit)
+                out.append((row.lead, row.part, row.piece, row.sig, row.g, best[np.argsort(-k[best], kind="stable")].astype("<i4").tobytes()))
+    return pd.DataFrame(out, columns=["lead", "part", "piece", "sig", "g", "xs"])
+
+
+def _first_links(x: pd.DataFrame, y: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """One verified link (a, b) of each x to each group among the y, if there is one."""
+    out = []
+    if len(x) and len(y):
+        x = x.sort_values("sig")
+        values, x_rows = _csr(np.frombuffer(h, np.uint64) for h in x["hashes"])
+        others, y_rows = _csr(np.frombuffer(h, np.uint64) for h in y["hashes"])
+        known, places = np.unique(values, return_inverse=True)
+        at = np.minimum(np.searchsorted(known, others), len(known) - 1)
+        met = known[at] == others
+        at, y_rows_met = at[met], y_rows[met]
+        y_sizes, sigs, y_sigs = np.bincount(y_rows, minlength=len(y)), x["sig"].to_numpy(), y["sig"].to_numpy()
+        x_ends = np.cumsum(np.bincount(x_rows, minlength=len(x)))
+        asked, rows = _csr(np.frombuffer(b, "<i4") for b in y["xs"])
+        by_x = np.argsort(asked, kind="stable")
+        groups = y["g"].to_numpy()
+        mark = np.zeros(len(known), bool)
+        for i, mine in zip(*_split(asked[by_x], rows[by_x])):
+            own = places[x_ends[i - 1] if i else 0 : x_ends[i]]
+            mark[own] = True
+            common = np.bincount(y_rows_met, mark[at], len(y))[mine]
+            mark[own] = False
+            linked = mine[100 * common >= percent * (len(own) + y_sizes[mine] - common)]
+            out += [(sigs[i], y_sigs[j]) for j in {groups[j]: j for j in linked.tolist()}.values()]
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _split(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+    """Values of each run of equal keys."""
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
+    return keys[starts].tolist(), np.split(values, starts[1:])
 
 
 def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -307,8 +396,10 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
     found: DataFrame | None = None
     links = None
     for turn in range(PIVOT_ROUNDS + 1):
-        pairs = _to_pivots(lists, found, turn, percent) if turn < PIVOT_ROUNDS else _across(lists, found, percent)
-        new = settle(_verified(settle(pairs), sets, percent))
+        if turn < PIVOT_ROUNDS:
+            new = settle(_verified(settle(_to_pivots(lists, found, turn, percent)), sets, percent))
+        else:
+            new = settle(_across(lists, found, sets, percent))
         links = new if links is None else links.unionByName(new)
         found = components(links, "a", "b")
     release(sets)
