@@ -276,14 +276,16 @@ def _grouped(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
 def _across(lists: DataFrame, groups: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different groups, from all pairs that the index lists give.
 
-    Sets outside their lists' main groups are gathered in chunks by their longest list. A chunk gets
+    Sets outside some list's main group are gathered in chunks by their longest list. A chunk gets
     its lists' members, in pieces of PIECE, each once for all its sets; pairs are counted, and then
     verified, within the chunk, and only a first link of a set to a group leaves it.
     """
     own = _grouped(lists, groups)
     sizes = own.groupBy("token", "g").count().groupBy("token").agg(F.max_by("g", F.struct("count", "g")).alias("main"), F.sum("count").alias("length"))
-    marked = settle(own.join(sizes, "token").withColumn("outside", F.col("g") != F.col("main")).drop("main"))
-    probes = marked.filter("outside")
+    listed = settle(own.join(sizes, "token"))
+    outside = listed.filter("g <> main").select("sig", F.lit(True).alias("outside")).distinct()
+    marked = settle(listed.drop("main").join(outside, "sig", "left").withColumn("outside", F.coalesce("outside", F.lit(False))))
+    probes = marked.filter("outside")  # with all their lists, so that shared tokens are counted in full
     lead = probes.groupBy("sig").agg(F.max_by("token", F.struct("length", "token")).alias("lead"))
     parts = lead.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("parts"))
     chunks = settle(lead.join(parts, "lead").select("sig", "lead", F.pmod(F.xxhash64("sig"), F.col("parts")).alias("part")))
@@ -295,7 +297,7 @@ def _across(lists: DataFrame, groups: DataFrame | None, sets: DataFrame, percent
     asks = asks.groupBy("lead", "part", "token", "level").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     slack = 2 * (F.col("n") - F.col("n32"))  # tokens that fell together shift positions
     met = asks.join(marked, ["token", "level"]).filter((F.col("pos") + slack >= F.col("low")) & (F.col("pos") - slack <= F.col("high")))
-    y = met.groupBy("lead", "part", "sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), F.max("outside").alias("outside"), *node)
+    y = met.groupBy("lead", "part", "sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), F.any_value("outside").alias("outside"), *node)
     y = settle(y)
     pieces = y.groupBy("lead", "part").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("long").alias("pieces"))
     y = y.join(pieces, ["lead", "part"]).withColumn("piece", F.pmod(F.xxhash64("sig"), F.col("pieces")))
