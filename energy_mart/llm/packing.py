@@ -36,7 +36,7 @@ WINDOW, END_ID = 2048, 1
 CUT = 16
 #: Lengths that may stand in patterns of three, most common first; steps of the solver.
 COMMON, STEPS = 64, 400
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 1_200_000
 _GAPS, _SIGNS = re.compile(r"[ \n\t]+"), re.compile("[\x1c-\x1f]")
 
 
@@ -48,71 +48,90 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+class Known(dict):
+    """Word to ids; a word that is not held gives None and is noted."""
+
+    def __init__(self) -> None:
+        self.missing: list[str] = []
+
+    def __missing__(self, word: str) -> None:
+        self.missing.append(word)
+
+
+def _kind(byte: int) -> bytes:
+    """Of a Latin-1 character: a stop, another sign, a separator the tokenizer takes for a sign, or none."""
+    c = chr(byte)
+    if c in ".,":
+        return b"p"
+    if "\x1c" <= c <= "\x1f":
+        return b"c"
+    return b" " if c.isalnum() or c.isspace() else b"s"
+
+
+_KINDS = b"".join(map(_kind, range(256)))
+
+
+def chunks(text: str) -> list[str]:
+    """Stretches of a text whose ids, one after another, are the text's ids.
+
+    The tokenizer lower-cases, and neither white space nor the seam between a letter or number
+    and a lone full stop or comma is ever inside one of its words. Latin-1 text has one lower case
+    and one normal form, so it is lower-cased and cut there, which leaves fewer distinct stretches.
+    """
+    try:
+        kinds = text.encode("latin-1").translate(_KINDS)
+    except UnicodeEncodeError:
+        return _GAPS.split(text) if _SIGNS.search(text) else text.split()
+    if b"c" in kinds:  # Python splits at these, the tokenizer does not
+        return _GAPS.split(text)
+    if b"pp" in kinds or b"ps" in kinds or b"sp" in kinds or "<|" in text:
+        return text.split()
+    return text.lower().replace(",", " , ").replace(".", " . ").split()
+
+
 class Encoder:
     """Ids of texts as bytes, little-endian unsigned 32 bits, with the end id.
 
-    White space separates words for the tokenizer whatever stands around it, so the ids of a text
-    are those of its words between blanks, one after another. A process encodes each distinct word
-    once, until KNOWN_WORDS are remembered; later ones are encoded for their batch of texts.
+    A process encodes each distinct stretch once, until KNOWN_WORDS are remembered; later ones are
+    encoded for their batch of texts.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
-        self.known: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        self.known = Known()
         self.end = np.array([END_ID], "<u4").tobytes()
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        # Python splits at four separators that the tokenizer takes for signs.
-        rows = [_GAPS.split(t) if _SIGNS.search(t) else t.split() for t in (t or "" for t in texts)]
-        out: list[bytes | None] = []
-        known = self.known
+        rows = [chunks(t or "") for t in texts]
+        known, missing = self.known, self.known.missing
+        parts, marks = [], [0]
         for words in rows:
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except KeyError:
-                out.append(None)
-        missed = [i for i, x in enumerate(out) if x is None]
-        if missed:
-            new = self._words(list(set().union(*(rows[i] for i in missed)) - known.keys()))
+            parts.append(list(map(known.__getitem__, words)))
+            marks.append(len(missing))
+        if missing:
+            new = self._words(list(set(missing)))
+            missing.clear()
             if len(known) + len(new) <= KNOWN_WORDS:
                 known.update(new)
-                new = known
-            for i in missed:
-                out[i] = b"".join([new[w] if w in new else known[w] for w in rows[i]])
-        return [x + self.end for x in out]
+            for i, words in enumerate(rows):
+                if marks[i] < marks[i + 1]:
+                    parts[i] = [new[w] if p is None else p for w, p in zip(words, parts[i])]
+        return [b"".join(p) + self.end for p in parts]
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words; plain letters before full stops or commas are looked up by themselves."""
-        plain, other = {}, []
-        for w in words:
-            stem = w.rstrip(".,")
-            if stem.isalpha() and max(stem) <= "\xff":
-                plain[w] = stem.lower()
-            else:
-                other.append(w)
-        stems = list(set(plain.values()) - self.stems.keys())
-        new = self._letters(stems)
-        if len(self.stems) + len(new) <= KNOWN_WORDS:
-            self.stems.update(new)
-        other += list({w[len(s) :] for w, s in plain.items()})
+        """Ids of new stretches; Latin-1 words of letters are encoded many at a time."""
+        letters = [w for w in words if w.isalpha() and max(w) <= "\xff"]
+        other = list(set(words).difference(letters))
         coded = self.tokenizer.encode_batch(other, add_special_tokens=False)
-        found = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(other, coded)}
-        for w, s in plain.items():
-            found[w] = (new[s] if s in new else self.stems[s]) + found[w[len(s) :]]
-        return found
-
-    def _letters(self, stems: list[str]) -> dict[str, bytes]:
-        """Ids of words of letters: encoded as one text, which has one pre-token for each."""
-        out: dict[str, bytes] = {}
-        for at in range(0, len(stems), 5000):
-            part = stems[at : at + 5000]
-            coded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, which = np.array(coded.ids, "<u4"), np.array(coded.word_ids)
-            starts = np.flatnonzero(np.diff(which, prepend=-1))
+        out = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(other, coded)}
+        for at in range(0, len(letters), 5000):
+            part = letters[at : at + 5000]
+            one = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(one.ids, "<u4").tobytes()
+            starts = (4 * np.flatnonzero(np.diff(np.array(one.word_ids), prepend=-1))).tolist()
             if len(starts) != len(part):
                 raise ValueError("a word of letters is not one pre-token")
-            out.update(zip(part, (x.tobytes() for x in np.split(ids, starts[1:]))))
+            out.update((w, ids[a:b]) for w, a, b in zip(part, starts, [*starts[1:], len(ids)]))
         return out
 
 
