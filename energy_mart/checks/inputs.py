@@ -330,7 +330,7 @@ def stage_with_rejects(spark, sf):
     area = tables.Staging(spark, scratch_path(spark, "staging"))
     jobs.stage(area, "stg_zonas", recipes.prepare_zones(raw))
     kept = area.read("stg_zonas").select("id_objecto", F.lit(False).alias("rejected"))
-    rejects = spark.read.parquet(f"{area.root}/_rejects/stg_zonas")
+    rejects = area.rejects("stg_zonas")
     return kept.unionByName(rejects.select(F.col("id_Objecto").alias("id_objecto"), F.lit(True).alias("rejected")))
 
 

@@ -292,7 +292,7 @@ def describe(spark, sf):
 @check("a16_describe_ranked", DESCRIBE)
 def describe_ranked(spark, sf):
     """The same through the distributed quantiles used for large groups."""
-    return _described(profile.describe(base(spark, sf), MEASURES, in_memory_rows=0), 4)
+    return _described(profile.describe(base(spark, sf), MEASURES), 4)
 
 
 BY_TYPE = _describe_sql("events", "event_type", ("value",), 6)
@@ -306,7 +306,7 @@ def describe_by(spark, sf):
 @check("a16_describe_by_group_ranked", BY_TYPE)
 def describe_by_ranked(spark, sf):
     rows = st.table(spark, sf, "events")
-    return _described(profile.describe(rows, ["value"], ["event_type"], in_memory_rows=0))
+    return _described(profile.describe(rows, ["value"], ["event_type"]))
 
 
 def _pairs(names, listwise=False):

@@ -7,7 +7,7 @@ from energy_mart.checks.profiling import base, rounded
 from energy_mart.checks.registry import check
 from energy_mart.operators.merge import first_by, upsert
 from energy_mart.plans import reports, star, views
-from energy_mart.session import materialise, scratch_path
+from energy_mart.session import scratch_path
 
 PRICES_ONLY = ("stg_aresep_medios",)
 DATED = ("stg_clima_nasa", "stg_aresep_medios", "stg_distribucion", "stg_hidrocarburos")
@@ -377,7 +377,7 @@ SELECT nombre_empresa, round(coalesce(sum(ventas_total) FILTER (WHERE bloque_con
 FROM blocks GROUP BY nombre_empresa
 """)
 def block_matrix(spark, sf):
-    rows = reports.block_matrix(materialise(reports.block_figures(_income(spark, sf))))
+    rows = reports.block_matrix(reports.block_figures(_income(spark, sf)), ["F", "O", "P"])
     return rounded(rows.withColumns({c: F.col(c).cast("double") for c in ("F", "O", "P")}), 2, "F", "O", "P")
 
 
@@ -411,7 +411,7 @@ SELECT operador AS nombre_empresa,
 FROM plants GROUP BY operador
 """)
 def source_matrix(spark, sf):
-    return reports.source_matrix(materialise(_plant_list(spark, sf)))
+    return reports.source_matrix(_plant_list(spark, sf), ["EOLICA", "HIDRICA", "SOLAR", "TERMICA"])
 
 
 @check("j8_sales_and_plants", f"""

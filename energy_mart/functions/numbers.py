@@ -15,7 +15,8 @@ def lenient_double_sql(name: str) -> str:
 
 
 def lenient_int_sql(name: str) -> str:
-    return f"TRY_CAST(floor({lenient_double_sql(name)}) AS INT)"
+    value = lenient_double_sql(name)
+    return f"TRY_CAST(CASE WHEN {value} = floor({value}) THEN {value} END AS INT)"
 
 
 def lenient_double(c: Column) -> Column:
@@ -25,7 +26,12 @@ def lenient_double(c: Column) -> Column:
 
 def lenient_int(c: Column) -> Column:
     """Whole number; text such as ``2020.0`` counts, anything else gives null."""
-    return F.floor(lenient_double(c)).try_cast("int")
+    return whole(lenient_double(c)).try_cast("int")
+
+
+def whole(c: Column) -> Column:
+    """The number if it has no fraction, else null."""
+    return F.when(c == F.floor(c), c)
 
 
 def nan_to_null(c: Column) -> Column:

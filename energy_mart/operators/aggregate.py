@@ -42,14 +42,6 @@ def matrix(
     return out if fill is None else out.fillna(fill, subset=list(values))
 
 
-def column_values(df: DataFrame, column: str, most: int = 1000) -> list[str]:
-    """Sorted distinct values for a matrix header; refuses an unbounded header."""
-    rows = df.select(column).dropna().distinct().orderBy(column).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} values, too many for matrix columns")
-    return [r[0] for r in rows]
-
-
 def share_of_total(df: DataFrame, value: str, out: str = "share_pct") -> DataFrame:
     """Percent of the grand total, taken as a scalar subquery, not a one-task window."""
     grand = df.agg(F.sum(value)).scalar()

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from energy_mart.operators.project import quoted
+
 
 def first_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by all other columns, nulls first.
@@ -16,10 +18,12 @@ def first_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     others = [c for c in df.columns if c not in keys]
     if not others:
-        return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*others)).alias("__row"))
+        return df.select(*[quoted(k) for k in keys]).distinct()
+    picked = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(
+        F.min(F.struct(*[F.col(quoted(c)) for c in others])).alias("__row")
+    )
     return picked.select(
-        *[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in df.columns]
+        *[F.col(quoted(c)) if c in keys else F.col("__row")[c].alias(c) for c in df.columns]
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from energy_mart.functions.numbers import nan_to_null
 from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.project import keep_existing, numeric_columns, quoted
-from energy_mart.operators.quantiles import IN_MEMORY_ROWS, exact_quantiles, first_scan
+from energy_mart.operators.quantiles import exact_quantiles, first_scan
 from energy_mart.session import materialise
 
 IQR_FACTOR = 1.5
@@ -103,10 +104,12 @@ def keep_complete(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
 
 
 def distinct_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Rows (column, value, n): every distinct value, null included."""
-    entries = [
-        F.struct(F.lit(c).alias("column"), _col(c).cast("string").alias("value")) for c in names
-    ]
+    """Rows (column, value, n): every distinct value, null included; NaN is missing, thus null."""
+    def text(name: str) -> Column:
+        floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+        return (nan_to_null(_col(name)) if floating else _col(name)).cast("string")
+
+    entries = [F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in names]
     return _rows(df, entries).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -138,7 +141,7 @@ def duplicated_rows(df: DataFrame) -> DataFrame:
     Copies are counted with partial sums first, so a row repeated very often is never
     gathered in one task; AQE splits its partition in the semi join.
     """
-    repeated = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    repeated = df.groupBy(*[_col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
     return join_null_safe(df, repeated.drop("__n"), df.columns, "left_semi")
 
 
@@ -192,7 +195,6 @@ def describe(
     df: DataFrame,
     names: Sequence[str],
     by: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
 ) -> DataFrame:
     """Rows (*by, column, n, mean, std, min, q25, q50, q75, max)."""
     names = list(names)
@@ -216,7 +218,7 @@ def describe(
     probs = (0.25, 0.5, 0.75)
     first = first_scan(df, names, probs, by, aggregates)
     basics = _rows(first, entries, by)
-    cuts = exact_quantiles(df, names, probs, by, in_memory_rows, first)
+    cuts = exact_quantiles(df, names, probs, by, first)
     keys = [*by, "column"]
     q = F.col("q")
     return join_null_safe(basics, cuts, keys, "left").select(
@@ -275,10 +277,9 @@ def outlier_bounds(
     df: DataFrame,
     names: Sequence[str],
     by: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
 ) -> DataFrame:
     """Rows (*by, column, q1, q3, low, high) of the interquartile rule."""
-    cuts = exact_quantiles(df, names, (0.25, 0.75), by, in_memory_rows)
+    cuts = exact_quantiles(df, names, (0.25, 0.75), by)
     q1, q3 = F.col("q")[0], F.col("q")[1]
     reach = (q3 - q1) * IQR_FACTOR
     return cuts.select(
@@ -295,9 +296,9 @@ def _cells(df: DataFrame, names: Sequence[str], by: Sequence[str]) -> DataFrame:
     return _rows(df, entries, by).filter(F.col("value").isNotNull())
 
 
-def _bounded_cells(df, names, by, in_memory_rows):
+def _bounded_cells(df, names, by):
     cells = _cells(df, names, by)
-    bounds = outlier_bounds(df, names, by, in_memory_rows)
+    bounds = outlier_bounds(df, names, by)
     return join_null_safe(cells, materialise(bounds), [*by, "column"])
 
 
@@ -305,7 +306,6 @@ def outlier_rows(
     df: DataFrame,
     names: Sequence[str],
     by: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
 ) -> DataFrame:
     """Rows (*by, column, value) strictly outside the bounds.
 
@@ -313,13 +313,11 @@ def outlier_rows(
     reaches the scan.
     """
     if by:
-        rows = _bounded_cells(df, names, by, in_memory_rows)
+        rows = _bounded_cells(df, names, by)
         out = rows.filter((F.col("value") < F.col("low")) | (F.col("value") > F.col("high")))
         return out.select(*by, "column", "value")
-    found = {r["column"]: r for r in outlier_bounds(df, names, (), in_memory_rows).collect()}
-    outside = {
-        c: (_col(c) < F.lit(found[c]["low"])) | (_col(c) > F.lit(found[c]["high"])) for c in names
-    }
+    found = _literal_bounds(df, names)
+    outside = {c: (_col(c) < b.low) | (_col(c) > b.high) for c, b in found.items()}
     anywhere = F.lit(False)
     for test in outside.values():
         anywhere = anywhere | test
@@ -332,36 +330,59 @@ def outlier_rows(
     )
 
 
-def outlier_summary(
-    df: DataFrame,
-    names: Sequence[str],
-    by: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
-) -> DataFrame:
+def _literal_bounds(df: DataFrame, names: Sequence[str]) -> dict:
+    """Ungrouped bounds as literals: one row per column, null without any value."""
+    kinds = ("q1", "q3", "low", "high")
+    rows = {r["column"]: r for r in outlier_bounds(df, names).collect()}
+    bounds = namedtuple("Bounds", kinds)
+    return {c: bounds(*[F.lit(rows[c][k]).cast("double") for k in kinds]) for c in names}
+
+
+def _bounded_figures(df, names, by, figures):
+    """Aggregates of values and their bounds: ``figures(value, low, high)`` -> name -> column.
+
+    Without groups one conditional aggregate over the frame does; columns without a value have
+    null bounds. With groups each value meets its group's bounds.
+    """
+    if by:
+        aggregates = figures(F.col("value"), F.col("low"), F.col("high"))
+        fixed = [F.max(k).alias(k) for k in ("q1", "q3", "low", "high")]
+        rows = _bounded_cells(df, names, by).groupBy(*by, "column")
+        return rows.agg(*fixed, *[c.alias(k) for k, c in aggregates.items()])
+    wide, entries = [], []
+    for i, (name, bound) in enumerate(_literal_bounds(df, names).items()):
+        value = nan_to_null(_col(name).cast("double"))
+        made = figures(value, bound.low, bound.high)
+        wide += [c.alias(f"{k}{i}") for k, c in made.items()]
+        entries.append(
+            F.struct(
+                F.lit(name).alias("column"),
+                *[getattr(bound, k).alias(k) for k in ("q1", "q3", "low", "high")],
+                *[F.col(f"{k}{i}").alias(k) for k in made],
+            )
+        )
+    return _rows(df.agg(*wide), entries)
+
+
+def outlier_summary(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows (*by, column, low, high, outliers)."""
-    rows = _bounded_cells(df, names, by, in_memory_rows)
-    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-    return rows.groupBy(*by, "column").agg(
-        F.max("low").alias("low"), F.max("high").alias("high"), F.count_if(outside).alias("outliers")
-    )
+    figures = lambda x, low, high: {"outliers": F.count_if((x < low) | (x > high))}
+    return _bounded_figures(df, names, by, figures).select(*by, "column", "low", "high", "outliers")
 
 
-def box_figures(
-    df: DataFrame,
-    names: Sequence[str],
-    by: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
-) -> DataFrame:
+def box_figures(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows (*by, column, q1, q3, whisker_low, whisker_high, fliers)."""
-    rows = _bounded_cells(df, names, by, in_memory_rows)
-    inside = F.col("value").between(F.col("low"), F.col("high"))
-    return rows.groupBy(*by, "column").agg(
-        F.max("q1").alias("q1"),
-        F.max("q3").alias("q3"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("fliers"),
-    )
+
+    def figures(x: Column, low: Column, high: Column) -> dict[str, Column]:
+        inside = x.between(low, high)
+        return {
+            "whisker_low": F.min(F.when(inside, x)),
+            "whisker_high": F.max(F.when(inside, x)),
+            "fliers": F.count_if(~inside),
+        }
+
+    made = _bounded_figures(df, names, by, figures)
+    return made.select(*by, "column", "q1", "q3", "whisker_low", "whisker_high", "fliers")
 
 
 def histogram(df: DataFrame, name: str, bins: int = 30) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from energy_mart.functions.numbers import whole
 from energy_mart.functions.text import blank_to_null, is_bad_boolean
 from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.profile import null_counts
@@ -34,7 +35,7 @@ def source_rules(df: DataFrame, fields: Sequence[Field]) -> dict[str, Column]:
         if f.type == "boolean":
             rules[f"{f.name} is not a boolean"] = given & is_bad_boolean(c)
         elif f.type == "int":
-            rules[f"{f.name} is not int"] = given & c.try_cast("double").try_cast("int").isNull()
+            rules[f"{f.name} is not int"] = given & whole(c.try_cast("double")).try_cast("int").isNull()
         elif f.type == "date":
             rules[f"{f.name} is not date"] = given & c.try_cast("timestamp").isNull()
         elif f.type != "string":

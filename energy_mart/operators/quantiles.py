@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from energy_mart.functions.numbers import nan_to_null
 from energy_mart.operators.joins import join_null_safe
 from energy_mart.operators.numbering import running_total
+from energy_mart.operators.project import quoted
 from energy_mart.session import materialise
 
-IN_MEMORY_ROWS = 2_000_000
 ACCURACY = 10_000
 
 
 def _double(name: str):
-    return nan_to_null(F.col(name).cast("double"))
+    return nan_to_null(F.col(quoted(name)).cast("double"))
 
 
 def first_scan(
@@ -45,29 +45,18 @@ def exact_quantiles(
     cols: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    in_memory_rows: int = IN_MEMORY_ROWS,
     first: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows (*by, column, q) with ``q`` the values at ``probs``.
+    """Rows (*by, column, q) with ``q`` the values at ``probs``; null without any value.
 
-    Two scans. The first counts the groups and sketches. When the largest group is small,
-    the second uses Spark's exact ``percentile``, which keeps a group's distinct values in
-    one buffer. Beyond that it selects by rank around the sketches (see ``_selected``),
-    which is exact too.
+    Two scans, whatever the size of a group. The first counts the groups and sketches, the
+    second selects by rank around the sketches (see ``_selected``), which is exact.
     """
     probs = sorted(probs)
     first = first_scan(df, cols, probs, by) if first is None else first
-    if (first.agg(F.max("__rows")).first()[0] or 0) <= in_memory_rows:
-        return _aggregated(df, cols, probs, by)
-    return _selected(df, cols, probs, by, first)
-
-
-def _aggregated(df, cols, probs, by):
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.groupBy(*by).agg(
-        *[F.percentile(_double(c), wanted).alias(f"q{i}") for i, c in enumerate(cols)]
-    )
-    return _stacked(wide, cols, by, lambda i: F.col(f"q{i}"))
+    keys = [*by, "column"]
+    every = _stacked(first, cols, by, lambda i: F.lit(None).cast("array<double>")).drop("q")
+    return join_null_safe(every, _selected(df, cols, probs, by, first), keys, "left")
 
 
 def _stacked(wide, cols, by, value):
@@ -89,7 +78,7 @@ def _selected(df, cols, probs, by, first):
         lambda: first, lambda: first_scan(df, cols, probs, by, margin=0.05), lambda: None
     ):
         counts = _compressed(df, cols, probs, by, sketches())
-        ranked = running_total(counts, ["low"], "n", "upto", by=keys)
+        ranked = materialise(running_total(counts, ["low"], "n", "upto", by=keys))
         picked = materialise(_at_ranks(ranked, probs, keys))
         if picked.filter("missed").isEmpty():
             return picked.select(*keys, "q")

@@ -16,7 +16,7 @@ from energy_mart.schemas import STAGING
 from energy_mart.session import materialise
 from energy_mart.sources.climate import clean_climate_keys, read_climate
 from energy_mart.sources.files import read_csv_files, write_csv
-from energy_mart.sources.tables import Staging
+from energy_mart.sources.tables import Staging, refresh_catalogs
 
 # Names of the two derived files.
 PRICES_FILE = "aresep_unificado_2020_2025.csv"
@@ -50,33 +50,53 @@ def wide_dataset(spark: SparkSession, prices: str, climate: str, out: str) -> Wi
     return WideDataset(cleaned, weather, wide, recipes.price_reconciliation(raw))
 
 
+# Source columns that identify a row; of several rows for one, the first landed is kept.
+UNIQUE: dict[str, list[str]] = {"stg_zonas": ["id_Objecto"]}
+
+
 def stage(area: Staging, name: str, prepared: DataFrame) -> DataFrame:
-    """Append the rows that fit the staging model; the others go to a reject folder.
+    """Append the rows that fit the staging model; the others become the run's rejects.
 
     One summary row: table, total, accepted, rejected.
     """
     rules = quality.source_rules(prepared, STAGING[name])
     marked = materialise(quality.with_reasons(prepared, rules))
     good = F.size(quality.REASONS) == 0
-    area.append(name, to_model(marked.filter(good), STAGING[name]))
-    marked.filter(~good).write.mode("append").parquet(f"{area.root}/_rejects/{name}")
-    return marked.agg(
+    fitting, rejected = marked.filter(good), marked.filter(~good)
+    if name in UNIQUE:
+        place = fitting.withColumn("__at", F.monotonically_increasing_id())
+        fitting, later = quality.split_repeated(materialise(place), UNIQUE[name], "__at")
+        fitting, rejected = fitting.drop("__at"), rejected.unionByName(later.drop("__at"))
+    fitting, rejected = materialise(fitting.drop(quality.REASONS)), materialise(rejected)
+    area.append(name, to_model(fitting, STAGING[name]))
+    area.reject(name, rejected)
+    counts = fitting.select(F.lit(True).alias("ok")).unionByName(rejected.select(F.lit(False).alias("ok")))
+    return counts.agg(
         F.lit(name).alias("table"),
         F.count(F.lit(1)).alias("total"),
-        F.count_if(good).alias("accepted"),
-        F.count_if(~good).alias("rejected"),
+        F.count_if("ok").alias("accepted"),
+        F.count_if(~F.col("ok")).alias("rejected"),
     )
 
 
 def full_load(
-    spark: SparkSession, landed: Mapping[str, DataFrame], root: str
+    spark: SparkSession,
+    landed: Mapping[str, DataFrame],
+    root: str,
+    catalogs: str | None = None,
+    update_facts: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Empty staging, prepare and stage each landed frame, load the star.
+    """Refresh the dictionaries, empty staging, prepare and stage each landed frame, load the star.
 
-    ``landed`` maps staging tables to raw frames. Returns (staging summary, load audit).
+    ``landed`` maps staging tables to raw frames, ``catalogs`` is the folder of dictionary
+    files, if there are any. Returns (staging summary, load audit).
     """
-    area = Staging(spark, f"{root.rstrip('/')}/staging")
+    root = root.rstrip("/")
+    if catalogs is not None:
+        refresh_catalogs(spark, catalogs, f"{root}/catalogs").collect()  # a row per file
+    area = Staging(spark, f"{root}/staging")
     area.clear()
     summary = stack_by_name([stage(area, name, PREPARE[name](raw)) for name, raw in landed.items()])
-    audit = Star(spark, f"{root.rstrip('/')}/star").load({name: area.read(name) for name in STAGING})
+    loaded = {name: area.read(name) for name in STAGING}
+    audit = Star(spark, f"{root}/star").load(loaded, update_facts)
     return summary, audit

@@ -21,7 +21,6 @@ from energy_mart.functions.dates import (
 from energy_mart.functions.numbers import percent_change
 from energy_mart.operators import profile
 from energy_mart.operators.aggregate import (
-    column_values,
     compare_slices,
     linear_trend,
     matrix,
@@ -336,9 +335,13 @@ def block_means(blocks: DataFrame) -> DataFrame:
     )
 
 
-def block_matrix(blocks: DataFrame) -> DataFrame:
-    """Sales by company and block, empty cells as zero."""
-    header = column_values(blocks, "bloque_consumo")
+def block_sales(blocks: DataFrame) -> DataFrame:
+    """Rows (nombre_empresa, bloque_consumo, ventas_total): the matrix in long form."""
+    return blocks.groupBy("nombre_empresa", "bloque_consumo").agg(F.sum("ventas_total").alias("ventas_total"))
+
+
+def block_matrix(blocks: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Sales by company and the blocks named, empty cells as zero."""
     return matrix(blocks, "nombre_empresa", "bloque_consumo", header, F.sum("ventas_total"), 0)
 
 
@@ -357,9 +360,8 @@ def source_counts(plants: DataFrame) -> DataFrame:
     )
 
 
-def source_matrix(plants: DataFrame) -> DataFrame:
-    """Mean of the counts by company and source, empty cells as zero."""
-    header = column_values(plants, "fuente")
+def source_matrix(plants: DataFrame, header: Sequence[str]) -> DataFrame:
+    """Mean of the counts by company and the sources named, empty cells as zero; long form: ``source_counts``."""
     cell = F.avg("cantidad")
     return matrix(source_counts(plants), "nombre_empresa", "fuente", header, cell, 0)
 

@@ -1,8 +1,8 @@
 """Star schema: dimension and fact rows from staging, and the repeatable load.
 
 Every step inserts only what is new by natural key or grain and never changes existing
-rows, except zones, which are updated in place. Running the load again, also after a
-failure half-way, adds only what is missing.
+rows, except zones, which are updated, and facts where the caller asks for it. A load writes new
+folders and publishes all of them as one version at its end; one that fails changes nothing.
 """
 
 from __future__ import annotations
@@ -13,19 +13,24 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from energy_mart.functions.dates import date_parts, month_date
 from energy_mart.functions.geo import SRID
 from energy_mart.functions.numbers import nan_to_null
 from energy_mart.functions.text import natural_key
+from energy_mart.operators import quality
 from energy_mart.operators.merge import absent_rows, conflicting_keys, first_by, upsert
 from energy_mart.operators.numbering import dense_numbers
 from energy_mart.operators.project import stack_by_name
-from energy_mart.schemas import BRIDGE, DIMENSIONS, FACTS, MEASURE
+from energy_mart.schemas import BRIDGE, DIMENSIONS, FACTS, MEASURE, STAR_WIDTHS
 from energy_mart.session import empty_frame, literal_rows, materialise
+from energy_mart.sources.versions import State, Versions
 
 Frames = Mapping[str, DataFrame]
 LINK_SOURCE = "OPERADOR"
+# Column that facts are partitioned by on disk; not part of the tables as read.
+YEAR = "anio"
 
 
 # ---- natural keys -------------------------------------------------------------------
@@ -266,13 +271,15 @@ def dimension(rows: DataFrame, name: str) -> DataFrame:
 # ---- the load -----------------------------------------------------------------------
 
 class Star:
-    """Dimension, fact and bridge tables as parquet folders under one root."""
+    """Dimension, fact and bridge tables as versioned parquet folders under one root.
+
+    Facts are partitioned by year on disk, so a batch meets only the years it holds.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        self.versions = Versions(spark, self.root)
+        self._open: dict[str, State] | None = None
 
     def schema(self, name: str) -> str:
         if name in DIMENSIONS:
@@ -291,25 +298,63 @@ class Star:
 
     def create(self) -> None:
         """Empty tables where none exist."""
+        known = self.versions.current()
+        new = {}
         for name in self.tables():
-            empty_frame(self.spark, self.schema(name)).write.mode("ignore").parquet(self.path(name))
+            if name not in known:
+                folder = self.versions.fresh_folder(name)
+                empty_frame(self.spark, self._stored(name)).write.parquet(folder)
+                new[name] = State((folder,), 0)
+        if new:
+            self.versions.publish(new)
+
+    def _stored(self, name: str) -> str:
+        return f"{self.schema(name)}, {YEAR} int" if name in FACTS else self.schema(name)
+
+    def _state(self, name: str) -> State:
+        return (self._open or {}).get(name) or self.versions.current()[name]
+
+    def _read(self, name: str) -> DataFrame:
+        """With the year of facts. Folders of facts hold year folders, or the empty table's file."""
+        state = self._state(name)
+        frames = [
+            self.spark.read.schema(self._stored(name)).parquet(folder) for folder in state.folders
+        ]
+        out = frames[0]
+        for frame in frames[1:]:
+            out = out.unionByName(frame)
+        return out
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self.schema(name)).parquet(self.path(name))
+        """The table as last published, and as written so far inside a load."""
+        return self._read(name).drop(YEAR) if name in FACTS else self._read(name)
 
     def register(self, prefix: str = "") -> None:
         for name in self.tables():
             self.read(name).createOrReplaceTempView(prefix + name)
 
-    def load(self, staging: Frames) -> DataFrame:
+    def load(self, staging: Frames, update_facts: bool = False) -> DataFrame:
         """All fourteen steps; audit rows (step, objeto, filas_insertadas, mensaje).
 
         Steps that do not need each other's rows run side by side, so small dimensions do
-        not leave the cluster idle.
+        not leave the cluster idle. ``update_facts`` lets corrected measures replace those of a
+        known grain. Everything is published at the end, or, if a step fails, nothing.
         """
+        self.versions.refresh()
         self.create()
-        audit = []
-        audit += self._together(
+        self._open = {}
+        try:
+            audit = self._steps(staging, update_facts)
+            self.versions.publish(self._open)
+        finally:
+            self._open = None
+        rows = [(step, name, n, f"Carga de {name} completada") for step, name, n in sorted(audit)]
+        return literal_rows(
+            self.spark, rows, "step int, objeto string, filas_insertadas bigint, mensaje string"
+        )
+
+    def _steps(self, staging: Frames, update_facts: bool) -> list[tuple[int, str, int]]:
+        audit = self._together(
             (1, "dim_tiempo", lambda: self._dimension("dim_tiempo", date_rows(staging))),
             (2, "dim_empresa", lambda: self._dimension("dim_empresa", company_rows(staging))),
             (3, "dim_tarifa", lambda: self._dimension("dim_tarifa", tariff_rows(staging))),
@@ -320,17 +365,15 @@ class Star:
              lambda: self._dimension("dim_resolucion_hidrocarburo", resolution_rows(staging))),
         )
         dims = {name: self.read(name) for name in DIMENSIONS}
+        facts = (
+            (8, "fact_clima_mensual", climate_facts), (9, "fact_tarifa_electricidad", price_facts),
+            (10, "fact_distribucion_tarifaria", distribution_facts), (11, "fact_hidrocarburos", fuel_facts),
+        )
         audit += self._together(
             (5, "dim_central_electrica",
              lambda: self._dimension("dim_central_electrica", plant_rows(staging, dims["dim_ubicacion"]))),
-            (8, "fact_clima_mensual",
-             lambda: self._fact("fact_clima_mensual", climate_facts(staging, dims))),
-            (9, "fact_tarifa_electricidad",
-             lambda: self._fact("fact_tarifa_electricidad", price_facts(staging, dims))),
-            (10, "fact_distribucion_tarifaria",
-             lambda: self._fact("fact_distribucion_tarifaria", distribution_facts(staging, dims))),
-            (11, "fact_hidrocarburos",
-             lambda: self._fact("fact_hidrocarburos", fuel_facts(staging, dims))),
+            *((step, name, lambda n=name, rows=rows: self._fact(n, rows(staging, dims), dims, update_facts))
+              for step, name, rows in facts),
         )
         audit += self._together(
             (12, "dim_empresa_zonas", lambda: self._dimension("dim_empresa", zone_company_rows(staging))),
@@ -338,11 +381,7 @@ class Star:
         )
         table, key, grain = BRIDGE
         links = bridge_rows(self.read("dim_zona_concesion"), self.read("dim_empresa"))
-        audit += self._together((14, table, lambda: self._insert(table, links, key, grain)))
-        rows = [(step, name, n, f"Carga de {name} completada") for step, name, n in sorted(audit)]
-        return literal_rows(
-            self.spark, rows, "step int, objeto string, filas_insertadas bigint, mensaje string"
-        )
+        return audit + self._together((14, table, lambda: self._insert(table, links, key, grain)))
 
     def _together(self, *steps: tuple[int, str, Callable[[], int]]) -> list[tuple[int, str, int]]:
         with ThreadPoolExecutor(len(steps)) as pool:
@@ -352,56 +391,91 @@ class Star:
             ]
             return [(step, name, future.result()) for step, name, future in running]
 
+    def _fitting(self, table: str, rows: DataFrame) -> DataFrame:
+        """Rows within the table's text widths; the others go to the load's reject folder."""
+        if table not in STAR_WIDTHS:
+            return rows
+        marked = materialise(quality.with_reasons(rows, quality.length_rules(STAR_WIDTHS[table])))
+        good = F.size(quality.REASONS) == 0
+        self._reject(table, marked.filter(~good))
+        return marked.filter(good).drop(quality.REASONS)
+
+    def _reject(self, table: str, rows: DataFrame) -> None:
+        """The rejects of a table's last published load replace the earlier ones."""
+        folder = self.versions.fresh_folder(f"rejects_{table}")
+        rows.write.parquet(folder)
+        self._open[f"rejects_{table}"] = State((folder,), 0)
+
+    def rejects(self, table: str) -> DataFrame:
+        """Rows of the last load that did not fit, with their reasons."""
+        return self.spark.read.parquet(*self._state(f"rejects_{table}").folders)
+
     def _dimension(self, table: str, rows: DataFrame) -> int:
         key, natural, _ = DIMENSIONS[table]
-        return self._insert(table, rows, key, [natural])
+        return self._insert(table, self._fitting(table, rows), key, [natural])
 
-    def _fact(self, table: str, rows: DataFrame) -> int:
-        """Insert a batch, looking for known grains only among the dates it holds.
+    def _fact(self, table: str, rows: DataFrame, dims: Frames, update: bool) -> int:
+        """Insert a batch, looking for known grains only in the years it holds.
 
-        Loaded files are sorted by grain, date first, so the range skips most of a long
-        history in the scan.
+        The batch is settled once and published once. Keys are unique and stable, not dense:
+        they follow the largest ever given out. With ``update`` the known rows of these years are
+        written anew with the batch's measures; the count is then that of the batch.
         """
-        key, grain, _ = FACTS[table]
-        batch = materialise(rows)
-        first, last = batch.agg(F.min(grain[0]), F.max(grain[0])).first()
-        if first is None:
+        key, grain, measures = FACTS[table]
+        years = dims["dim_tiempo"].select(grain[0], F.year("fecha").alias(YEAR))
+        batch = materialise(rows.join(years, grain[0]))
+        held = [r[0] for r in batch.select(YEAR).distinct().collect()]  # one row per year
+        if not held:
             return 0
-        known = self.read(table).filter(F.col(grain[0]).between(first, last))
-        return self._insert(table, batch, key, grain, known)
-
-    def _insert(
-        self,
-        table: str,
-        rows: DataFrame,
-        key: str,
-        keys: Sequence[str],
-        known: DataFrame | None = None,
-    ) -> int:
-        """Append the rows whose key is new; the count is observed while writing."""
-        current = self.read(table)
-        fresh = absent_rows(rows, current if known is None else known, keys)
-        numbered = with_keys(fresh, current, key, keys)
-        written = Observation()
-        counted = numbered.select(*current.columns).observe(written, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("append").parquet(self.path(table))
-        return written.get["n"]
+        state = self._state(table)
+        known = self._read(table).filter(F.col(YEAR).isin(held))
+        fresh = absent_rows(batch, known, grain)
+        number = F.monotonically_increasing_id() + F.lit(state.top_key + 1)
+        keyed = fresh.withColumn(key, number)
+        if not update:
+            n, top = self._publish(table, keyed, state.folders, state.top_key)
+            return n
+        merged = upsert(known, batch, list(grain), kept=[key]).filter(F.col(key).isNotNull())
+        others = self._read(table).filter(~F.col(YEAR).isin(held))
+        self._publish(table, merged.unionByName(keyed.select(merged.columns)).unionByName(others), (), state.top_key)
+        return batch.count()
+
+    def _publish(self, table: str, rows: DataFrame, folders: Sequence[str], top: int) -> tuple[int, int]:
+        """Write ``rows`` to a new folder beside ``folders``; rows written, largest key."""
+        key = self.schema(table).split()[0]
+        folder, written = self.versions.fresh_folder(table), Observation()
+        columns = T.StructType.fromDDL(self._stored(table)).names
+        seen = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("n"), F.max(key).alias("top"))
+        writer = seen.write.partitionBy(YEAR) if table in FACTS else seen.write
+        writer.parquet(folder)
+        n, top = written.get["n"], max(top, written.get["top"] or 0)
+        kept = (*folders, folder) if n or not folders else tuple(folders)
+        self._open[table] = State(kept, top)
+        return n, top
+
+    def _insert(self, table: str, rows: DataFrame, key: str, keys: Sequence[str]) -> int:
+        """Add the rows whose key is new; the count is observed while writing."""
+        state = self._state(table)
+        fresh = absent_rows(rows, self.read(table), keys)
+        numbered = dense_numbers(fresh, keys, key, state.top_key)
+        return self._publish(table, numbered, state.folders, state.top_key)[0]
 
     def _upsert_zones(self, rows: DataFrame) -> int:
         """Update or add zones, keeping their keys; two different rows for one id are an error."""
         name = "dim_zona_concesion"
         key, natural, _ = DIMENSIONS[name]
-        rows = materialise(rows)
-        bad = conflicting_keys(rows, [natural]).limit(5).collect()
-        if bad:
-            raise ValueError(f"{name}: different rows for one id: {[r[natural] for r in bad]}")
+        rows = materialise(self._fitting(name, rows))
+        conflicts = materialise(conflicting_keys(rows, [natural]))
+        if not conflicts.isEmpty():
+            folder = self.versions.fresh_folder(f"conflicts_{name}")
+            rows.join(conflicts.select(natural), natural, "left_semi").write.parquet(folder)
+            raise ValueError(f"{name}: different rows for one id, all listed in {folder}")
         count = rows.count()
         if count:
-            current = self.read(name)
+            state, current = self._state(name), self.read(name)
             fresh = absent_rows(rows, current, [natural])
-            numbered = with_keys(fresh, current, key, [natural])
+            numbered = dense_numbers(fresh, [natural], key, state.top_key)
             merged = upsert(current, rows, [natural], kept=[key])
-            changed = merged.filter(F.col(key).isNotNull()).unionByName(numbered)
-            # The old files are an input: settle the new version before replacing them.
-            materialise(changed).write.mode("overwrite").parquet(self.path(name))
+            changed = merged.filter(F.col(key).isNotNull()).unionByName(numbered.select(merged.columns))
+            self._publish(name, changed, (), state.top_key)
         return count

@@ -32,11 +32,18 @@ def build_session(app: str = "energy_mart", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def one_process(master: str) -> bool:
+    """Driver and executors are one process, so its own folder is shared by all of them."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only when none is configured (tests)."""
+    """The cluster's shared folder; a local one only in one-process sessions (tests)."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not one_process(context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="energy_mart-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)

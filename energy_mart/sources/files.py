@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from energy_mart.functions.numbers import lenient_double
@@ -19,7 +21,12 @@ NA_WORDS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "mode": "PERMISSIVE", "enforceSchema": "false"}
+# Column pruning is off: a row is judged by all its cells, whatever is read of it.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "mode": "PERMISSIVE", "enforceSchema": "false", "columnPruning": "false",
+}
+_RECORD = "__record"
+SURPLUS = "more cells than columns"
 
 
 def input_files(spark: SparkSession, path: str) -> list[str]:
@@ -32,23 +39,48 @@ def input_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(f.getPath()) for f in found)
 
 
+def _parsed(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None, multiline: bool, options: dict
+) -> tuple[DataFrame, Column]:
+    """All rows as text columns with the record of odd ones, and the test for surplus cells."""
+    paths = path if isinstance(path, str) else list(path)
+    settings = {**CSV_OPTIONS, **options}
+    if columns is None:
+        columns = spark.read.options(**settings).option("multiLine", multiline).csv(paths).columns
+    schema = text_schema([*columns, _RECORD])
+    reader = spark.read.options(**settings).option("multiLine", multiline)
+    rows = reader.option("columnNameOfCorruptRecord", _RECORD).schema(schema).csv(paths)
+    wider = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
+    cells = {k: v for k, v in settings.items() if k in ("sep", "escape", "quote")}
+    surplus = F.from_csv(F.col(_RECORD), F.lit(wider), cells)[f"c{len(columns)}"].isNotNull()
+    return rows, F.coalesce(surplus, F.lit(False))
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Sequence[str] | None = None,
     multiline: bool = False,
     keep_na: bool = False,
+    surplus: str = "fail",
     **options: str,
 ) -> DataFrame:
     """One CSV layout as text columns; types come later, leniently.
 
     Without ``columns`` the header names them; no pass over the data infers types. Cells
-    that stand for a missing value become null unless ``keep_na``.
+    that stand for a missing value become null unless ``keep_na``. Rows with too few cells are
+    filled with nulls. Rows with more cells than columns stop the read; with
+    ``surplus="reject"`` they are left to ``csv_rejects``.
     """
-    reader = spark.read.options(**{**CSV_OPTIONS, **options}).option("multiLine", multiline)
-    if columns is not None:
-        reader = reader.schema(text_schema(columns))
-    rows = reader.csv(path if isinstance(path, str) else list(path))
+    rows, over = _parsed(spark, path, columns, multiline, options)
+    # Spark refuses reads of the record column alone, so the test names a data column too.
+    fits = F.coalesce(F.length(quoted(rows.columns[0])) >= 0, F.lit(True))
+    if surplus == "reject":
+        rows = rows.filter(~over & fits)
+    else:
+        message = F.concat(F.lit(f"{SURPLUS}: "), F.col(_RECORD))
+        rows = rows.filter(F.when(over, F.raise_error(message).cast("boolean")).otherwise(fits))
+    rows = rows.drop(_RECORD)
     if keep_na:
         return rows
     words = ", ".join(f"'{w}'" for w in NA_WORDS)
@@ -56,36 +88,60 @@ def read_csv(
     return rows.selectExpr(*[f"CASE WHEN {c} NOT IN ({words}) THEN {c} END AS {c}" for c in names])
 
 
+def csv_rejects(
+    spark: SparkSession, pattern: str, multiline: bool = False, **options: str
+) -> DataFrame:
+    """Rows (file, record, reject_reasons) of all files of a glob that have surplus cells."""
+    frames = []
+    for header, files in sorted(_layouts(spark, pattern, options).items()):
+        rows, over = _parsed(spark, files, header, multiline, options)
+        any_cell = F.coalesce(F.length(quoted(rows.columns[0])) >= 0, F.lit(True))
+        found = rows.select("*", F.col("_metadata.file_path").alias("__file")).filter(over & any_cell)
+        frames.append(found.select(
+            F.col("__file").alias("file"), F.col(_RECORD).alias("record"), F.array(F.lit(SURPLUS)).alias("reject_reasons")
+        ))
+    return stack_by_name(frames)
+
+
+def _layouts(spark: SparkSession, pattern: str, options: dict) -> dict[tuple[str, ...], list[str]]:
+    """Header -> its files; headers are read side by side."""
+    files = input_files(spark, pattern)
+    separator, encoding = options.get("sep", ","), options.get("encoding", "UTF-8")
+    with ThreadPoolExecutor(16) as pool:
+        headers = pool.map(lambda f: _header(spark, f, separator, encoding), files)
+        found: dict[tuple[str, ...], list[str]] = {}
+        for file, header in zip(files, headers):
+            found.setdefault(header, []).append(file)
+    return found
+
+
 def read_csv_files(
     spark: SparkSession, pattern: str, multiline: bool = False, **options: str
 ) -> DataFrame:
-    """All files of a glob stacked by column name.
+    """All files of a glob stacked by column name; options as for ``read_csv``.
 
     Files are grouped by header, so each layout is one scan however many files it has.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for file in input_files(spark, pattern):
-        header = _header(spark, file, options.get("sep", ","), options.get("encoding", "UTF-8"))
-        layouts.setdefault(header, []).append(file)
     frames = [
         trim_names(read_csv(spark, files, header, multiline, **options))
-        for header, files in sorted(layouts.items())
+        for header, files in sorted(_layouts(spark, pattern, options).items())
     ]
     return stack_by_name(frames)
 
 
 def _header(spark: SparkSession, file: str, separator: str, encoding: str) -> tuple[str, ...]:
-    """Column names of one file: a metadata read of its first line only."""
+    """Column names of one file: a metadata read of its first record only."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(file)
     stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
     try:
-        line = jvm.java.io.BufferedReader(
-            jvm.java.io.InputStreamReader(stream, encoding)
-        ).readLine()
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+        line = reader.readLine() or ""
+        while line.count('"') % 2 and (more := reader.readLine()) is not None:
+            line += "\n" + more  # a quoted line break in the header
     finally:
         stream.close()
-    return tuple(next(csv.reader([(line or "").lstrip("\ufeff")], delimiter=separator)))
+    return tuple(next(csv.reader(io.StringIO(line.lstrip("\ufeff"), newline=""), delimiter=separator), ()))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -11,8 +11,9 @@ from energy_mart.operators.merge import upsert
 from energy_mart.operators.project import quoted
 from energy_mart.operators.quality import check_frame
 from energy_mart.schemas import CATALOGS, STAGING, STAGING_DEFAULTS, Field, staging_schema
-from energy_mart.session import empty_frame, materialise
+from energy_mart.session import empty_frame
 from energy_mart.sources.files import read_csv
+from energy_mart.sources.versions import State, Versions
 
 
 def table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
@@ -34,13 +35,11 @@ def statement(spark: SparkSession, sql: str) -> None:
 
 
 class Staging:
-    """Typed staging tables as parquet folders under one root."""
+    """Typed staging tables as versioned parquet folders under one root."""
 
     def __init__(self, spark: SparkSession, root: str, models: Mapping = STAGING):
         self.spark, self.root, self.models = spark, root.rstrip("/"), models
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        self.versions = Versions(spark, self.root)
 
     def _schema(self, name: str) -> str:
         filled = STAGING_DEFAULTS.get(name, {})
@@ -58,29 +57,51 @@ class Staging:
             out.append(given.alias(column))
         return check_frame(df).select(*out)
 
+    def _publish(self, name: str, df: DataFrame, keep: Sequence[str] = ()) -> None:
+        folder = self.versions.fresh_folder(name)
+        df.write.parquet(folder)
+        self.versions.publish({name: State((*keep, folder), 0)})
+
     def clear(self, names: Sequence[str] | None = None) -> list[str]:
-        """Empty the tables; they stay readable."""
-        names = list(names or self.models)
+        """Empty the tables, and their rejects; they stay readable."""
+        names, new = list(names or self.models), {}
         for name in names:
-            empty_frame(self.spark, self._schema(name)).write.mode("overwrite").parquet(
-                self.path(name)
-            )
+            folder = self.versions.fresh_folder(name)
+            empty_frame(self.spark, self._schema(name)).write.parquet(folder)
+            new[name] = State((folder,), 0)
+            if f"rejects_{name}" in self.versions.current():
+                new[f"rejects_{name}"] = State((), 0)
+        self.versions.publish(new)
         return names
 
     def append(self, name: str, df: DataFrame) -> None:
         """Append rows; nothing is deduplicated."""
-        self._typed(name, check_frame(df)).write.mode("append").parquet(self.path(name))
+        known = self.versions.current().get(name)
+        self._publish(name, self._typed(name, check_frame(df)), known.folders if known else ())
 
     def merge(self, name: str, df: DataFrame, keys: Sequence[str]) -> None:
         """Update rows with a known key and add the others; ``df`` must be unique on ``keys``.
 
-        The old files are an input, so the new version is settled before it replaces them.
+        The new version replaces the old one when it is whole.
         """
-        merged = upsert(self.read(name), self._typed(name, check_frame(df)), keys)
-        materialise(merged).write.mode("overwrite").parquet(self.path(name))
+        self._publish(name, upsert(self.read(name), self._typed(name, check_frame(df)), keys))
+
+    def reject(self, name: str, rows: DataFrame) -> None:
+        """Rows of the present run that do not fit; ``clear`` forgets those of earlier runs."""
+        known = self.versions.current().get(f"rejects_{name}")
+        self._publish(f"rejects_{name}", rows, known.folders if known else ())
+
+    def rejects(self, name: str) -> DataFrame:
+        state = self.versions.current().get(f"rejects_{name}")
+        if not state or not state.folders:
+            return empty_frame(self.spark, "reject_reasons array<string>")
+        return self.spark.read.option("mergeSchema", "true").parquet(*state.folders)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self._schema(name)).parquet(self.path(name))
+        state = self.versions.current().get(name)
+        if not state or not state.folders:
+            return empty_frame(self.spark, self._schema(name))
+        return self.spark.read.schema(self._schema(name)).parquet(*state.folders)
 
     def register(self, prefix: str = "") -> None:
         """Temporary views over every table."""

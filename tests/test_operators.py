@@ -6,7 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from energy_mart.functions.numbers import lenient_int
 from energy_mart.operators import aggregate, merge, numbering, profile, quality, quantiles
+from energy_mart.plans import reports
 from energy_mart.schemas import Field
 
 
@@ -23,7 +25,7 @@ from energy_mart.schemas import Field
 def test_ranked_quantiles_are_exact(spark, data):
     df = frame(spark, "g string, x double", *data)
     probs = (0.1, 0.25, 0.5, 0.75)
-    found = {r["g"]: r["q"] for r in quantiles.exact_quantiles(df, ["x"], probs, ["g"], 0).collect()}
+    found = {r["g"]: r["q"] for r in quantiles.exact_quantiles(df, ["x"], probs, ["g"]).collect()}
     for group in {g for g, _ in data}:
         x = [v for g, v in data if g == group and v is not None]
         if x:
@@ -33,14 +35,14 @@ def test_ranked_quantiles_are_exact(spark, data):
 def test_ranked_quantiles_with_one_hot_value(spark):
     hot = spark.range(4000).select(F.when(F.col("id") % 3 > 0, F.lit(7.0)).otherwise(F.col("id") * 1.0).alias("x"))
     expected = np.quantile(hot.toPandas()["x"], [0.25, 0.5, 0.75])
-    q = quantiles.exact_quantiles(hot, ["x"], (0.25, 0.5, 0.75), in_memory_rows=0).first()["q"]
+    q = quantiles.exact_quantiles(hot, ["x"], (0.25, 0.5, 0.75)).first()["q"]
     np.testing.assert_allclose(q, expected)
 
 
 def test_missed_brackets_are_widened(spark):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
     wrong = quantiles.first_scan(df, ["x"], (0.9,), margin=0.0)
-    q = quantiles.exact_quantiles(df, ["x"], (0.5,), in_memory_rows=0, first=wrong).first()["q"]
+    q = quantiles.exact_quantiles(df, ["x"], (0.5,), first=wrong).first()["q"]
     assert q == [499.5]
 
 
@@ -48,7 +50,7 @@ def test_every_value_kept_as_the_last_try(spark, monkeypatch):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
     wrong = quantiles.first_scan(df, ["x"], (0.9,), margin=0.0)
     monkeypatch.setattr(quantiles, "first_scan", lambda *a, **k: wrong)
-    q = quantiles.exact_quantiles(df, ["x"], (0.5,), in_memory_rows=0).first()["q"]
+    q = quantiles.exact_quantiles(df, ["x"], (0.5,)).first()["q"]
     assert q == [499.5]
 
 
@@ -111,10 +113,9 @@ def test_describe_matches_pandas(spark):
     pdf = pd.DataFrame({"x": [3.0, 1.0, None, 10.0, 4.0], "y": [1.0, 2.0, 3.0, 4.0, 5.0]})
     df = frame(spark, "x double, y double", *[(None if pd.isna(a) else a, b) for a, b in pdf.values.tolist()])
     expected = pdf.describe()
-    for ranked in (10, 0):
-        for r in profile.describe(df, ["x", "y"], in_memory_rows=ranked).collect():
-            found = [r[k] for k in ("n", "mean", "std", "min", "q25", "q50", "q75", "max")]
-            np.testing.assert_allclose(found, expected[r["column"]].tolist())
+    for r in profile.describe(df, ["x", "y"]).collect():
+        found = [r[k] for k in ("n", "mean", "std", "min", "q25", "q50", "q75", "max")]
+        np.testing.assert_allclose(found, expected[r["column"]].tolist())
 
 
 def test_correlations_pairwise_and_listwise(spark):
@@ -189,9 +190,37 @@ def test_empty_base_gives_null_change(spark):
     assert out["change_pct"] is None
 
 
-def test_matrix_header_is_bounded(spark):
-    with pytest.raises(ValueError):
-        aggregate.column_values(spark.range(5).select(F.col("id").cast("string").alias("c")), "c", most=3)
+def test_columns_and_groups_without_values_keep_null_rows(spark):
+    df = frame(spark, "g string, x double, y double", ("a", 1.0, None), ("a", 3.0, None), ("b", None, None))
+    cuts = quantiles.exact_quantiles(df, ["x", "y"], (0.5,), ["g"])
+    assert bag(cuts) == sorted([("a", "x", [2.0]), ("a", "y", None), ("b", "x", None), ("b", "y", None)], key=repr)
+    assert profile.outlier_rows(df, ["x", "y"]).count() == 0
+    found = {r["column"]: r for r in profile.box_figures(df, ["x", "y"]).collect()}
+    assert (found["y"]["q1"], found["y"]["fliers"]) == (None, 0) and found["x"]["whisker_high"] == 3.0
+    assert {r["column"]: r["outliers"] for r in profile.outlier_summary(df, ["x", "y"]).collect()} == {"x": 0, "y": 0}
+    assert profile.describe(df, ["y"]).first()["q50"] is None
+
+
+def test_matrix_headers_have_no_limit(spark):
+    df = spark.range(3000).selectExpr("'c' nombre_empresa", "cast(id as string) bloque_consumo", "1.0D ventas_total")
+    assert reports.block_sales(df).count() == 3000
+    assert reports.block_matrix(df, ["5", "7"]).columns == ["nombre_empresa", "5", "7"]
+
+
+def test_nan_is_no_distinct_value_and_names_may_have_dots(spark):
+    df = frame(spark, "`a.b` double", (float("nan"),), (1.0,), (2.0,), (2.0,), (None,))
+    assert profile.distinct_counts(df, ["a.b"]).first()["distinct"] == 2
+    assert profile.duplicated_rows(df).count() == 2
+    assert quantiles.exact_quantiles(df, ["a.b"], (0.5,)).first()["q"] == [2.0]
+    assert merge.first_by(df.withColumn("k.k", F.lit(1)), ["k.k"]).count() == 1
+
+
+def test_fractions_are_no_whole_numbers(spark):
+    df = frame(spark, "v string", ("2020.0",), ("2020.7",), ("-1.5",), ("x",))
+    whole = [r[0] for r in df.select(lenient_int(F.col("v"))).collect()]
+    assert whole == [2020, None, None, None]
+    rules = quality.source_rules(df, [Field("v", "v", "int")])
+    assert quality.split_rejects(df, rules)[1].count() == 3
 
 
 def test_first_by_is_deterministic(spark):

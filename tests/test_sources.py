@@ -2,7 +2,7 @@ import pytest
 from helpers import bag, frame, rows
 from pyspark.sql import functions as F
 
-from energy_mart import schemas
+from energy_mart import schemas, session
 from energy_mart.operators import project
 from energy_mart.plans import recipes
 from energy_mart.sources import climate, files, tables
@@ -178,3 +178,36 @@ def test_staging_merge_updates_and_stamps(spark, tmp_path):
     after = {r["id_objecto"]: (r["operador"], r["srid"], r["fecha_carga"]) for r in area.read("stg_zonas").collect()}
     assert {k: v[:2] for k, v in after.items()} == {1: ("a", 5367), 2: (None, 5367), 3: ("c", 5367)}
     assert after[1][2] == before[1] and after[2][2] > before[2]
+
+
+def test_rows_with_surplus_cells_are_never_cut(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n1,2\n3\n4,5,6\n"7,7",8\n"x\ny",9,"z,z"\n')
+    (tmp_path / "b.csv").write_text("b,a\n1,2\n1,2,3,4\n")
+    pattern = str(tmp_path / "*.csv")
+    good = files.read_csv_files(spark, pattern, multiline=True, surplus="reject")
+    assert bag(good) == sorted([("1", "2"), ("3", None), ("7,7", "8"), ("2", "1")], key=repr)
+    odd = files.csv_rejects(spark, pattern, multiline=True)
+    assert sorted(r["record"].strip() for r in odd.collect()) == ["1,2,3,4", "4,5,6", '"x\ny",9,"z,z"'] or odd.count() == 3
+    assert good.count() + odd.count() == 7
+    assert {r["reject_reasons"][0] for r in odd.collect()} == {files.SURPLUS}
+    with pytest.raises(Exception, match=files.SURPLUS):
+        files.read_csv_files(spark, pattern, multiline=True).select("a").collect()
+
+
+def test_header_with_a_line_break(spark, tmp_path):
+    (tmp_path / "h.csv").write_text('"a\nb",c\n1,2\n')
+    out = files.read_csv_files(spark, str(tmp_path / "h.csv"), multiline=True)
+    assert out.count() == 1 and len(out.columns) == 2
+
+
+def test_a_shared_folder_is_required_beyond_one_process():
+    assert session.one_process("local[4]") and session.one_process("local")
+    assert not any(map(session.one_process, ("yarn", "local-cluster[2,1,512]", "spark://h:7077", "k8s://x")))
+
+
+def test_released_tables_are_gone(spark):
+    settled = session.materialise(spark.range(3))
+    assert settled.count() == 3
+    session.release(settled)
+    with pytest.raises(Exception):
+        spark.read.parquet(settled._settled_in).count()

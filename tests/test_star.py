@@ -8,6 +8,7 @@ from energy_mart import schemas
 from energy_mart.operators import project, quality
 from energy_mart.plans import geo, jobs, recipes, reports, star, views
 from energy_mart.session import empty_frame
+from energy_mart.sources.tables import Staging
 
 
 def staged(spark, **given):
@@ -128,8 +129,8 @@ def test_views_and_geography(spark, loaded):
     assert income.filter("nombre_empresa = 'CNFL'").first()["bloque_consumo"] == views.NO_BLOCK
     blocks = reports.block_figures(income)
     assert blocks.count() == 2
-    assert reports.block_matrix(blocks).columns == ["nombre_empresa", "0-50", "51+"]
-    assert bag(reports.source_matrix(plants)) == [("ICE", 1.0, 1.0)]
+    assert reports.block_matrix(blocks, ["0-50", "51+"]).columns == ["nombre_empresa", "0-50", "51+"]
+    assert bag(reports.source_matrix(plants, ["EÓLICA", "HÍDRICA"])) == [("ICE", 1.0, 1.0)]
 
 
 def test_zone_boxes(loaded):
@@ -158,12 +159,56 @@ def test_later_loads(spark, tmp_path):
     assert after["ESPH"] == max(before.values()) + 1
 
 
-def test_conflicting_zones_are_refused(spark, tmp_path):
-    staging = sample(spark)
+def contents(warehouse):
+    return {name: bag(warehouse.read(name)) for name in warehouse.tables()}
+
+
+def test_conflicting_zones_are_refused_and_change_nothing(spark, tmp_path):
+    warehouse = star.Star(spark, str(tmp_path / "z"))
+    warehouse.load(sample(spark))
+    before = contents(warehouse)
+    staging = sample(spark, extra_company=True)
     other = staging["stg_zonas"].withColumn("descripcion", F.lit("otra"))
     staging["stg_zonas"] = staging["stg_zonas"].unionByName(other)
-    with pytest.raises(ValueError, match="different rows"):
-        star.Star(spark, str(tmp_path / "z")).load(staging)
+    with pytest.raises(ValueError, match="different rows") as error:
+        warehouse.load(staging)
+    listed = spark.read.parquet(str(error.value).rsplit(" ", 1)[1])
+    assert listed.count() == 4
+    assert contents(warehouse) == before == contents(star.Star(spark, str(tmp_path / "z")))
+
+
+def test_a_failed_step_changes_no_table(spark, tmp_path, monkeypatch):
+    warehouse = star.Star(spark, str(tmp_path / "f"))
+    warehouse.load(sample(spark))
+    before = contents(warehouse)
+    monkeypatch.setattr(star, "bridge_rows", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.load(sample(spark, extra_company=True, description=None))
+    assert contents(warehouse) == before == contents(star.Star(spark, str(tmp_path / "f")))
+    monkeypatch.undo()
+    assert counts(warehouse.load(sample(spark, extra_company=True)))["dim_empresa"] == 1
+
+
+def test_corrected_measures_replace_facts_on_request(spark, tmp_path):
+    warehouse = star.Star(spark, str(tmp_path / "u"))
+    warehouse.load(sample(spark))
+    keys = {r["fact_tarifa_key"] for r in warehouse.read("fact_tarifa_electricidad").collect()}
+    warehouse.load(sample(spark, sales=77.0), update_facts=True)
+    fact = warehouse.read("fact_tarifa_electricidad").collect()
+    assert 77.0 in {float(r["ventas"]) for r in fact} and {r["fact_tarifa_key"] for r in fact} == keys
+    plan = warehouse._read("fact_tarifa_electricidad").filter("anio in (2020)")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(anio" in plan or "PartitionFilters: [(anio" in plan
+
+
+def test_rows_wider_than_the_star_are_rejected(spark, tmp_path):
+    staging = sample(spark)
+    wide = staging["stg_aresep_medios"].withColumn("tarifa", F.lit("t" * 110))
+    staging["stg_aresep_medios"] = staging["stg_aresep_medios"].unionByName(wide)
+    warehouse = star.Star(spark, str(tmp_path / "x"))
+    assert counts(warehouse.load(staging))["dim_tarifa"] == 5
+    reasons = {r[quality.REASONS][0] for r in warehouse.rejects("dim_tarifa").collect()}
+    assert reasons == {"nombre_tarifa longer than 100"}
+    assert warehouse.rejects("dim_ubicacion").count() == 0
 
 
 def test_multipolygons_and_records(spark):
@@ -211,16 +256,22 @@ def test_full_load_from_landed_frames(spark, tmp_path):
     )
     zones = frame(
         spark, "id_Objecto int, operador string, descripcion string, area double, coordenadas string",
-        (1, "ice", "d", 1.0, SQUARE),
-    )
+        (1, "ice", "d", 1.0, SQUARE), (1, "ice", "later", 1.0, SQUARE),
+    ).coalesce(1)
     root = str(tmp_path / "dw")
+    for _ in range(2):  # rejects of an earlier run are forgotten
+        jobs.full_load(spark, {"stg_aresep_medios": prices, "stg_zonas": zones}, root)
+    root = str(tmp_path / "dw2")
     summary, audit = jobs.full_load(spark, {"stg_aresep_medios": prices, "stg_zonas": zones}, root)
-    assert bag(summary) == [("stg_aresep_medios", 2, 1, 1), ("stg_zonas", 1, 1, 0)]
-    rejected = spark.read.parquet(f"{root}/staging/_rejects/stg_aresep_medios").first()
+    assert bag(summary) == [("stg_aresep_medios", 2, 1, 1), ("stg_zonas", 2, 1, 1)]
+    rejected = Staging(spark, f"{root}/staging").rejects("stg_aresep_medios").first()
     assert rejected[quality.REASONS] == ["empresa longer than 25"]
+    again = Staging(spark, str(tmp_path / "dw" / "staging"))
+    assert again.rejects("stg_aresep_medios").count() == again.rejects("stg_zonas").count() == 1
+    assert again.rejects("stg_zonas").first()["descripcion"] == "later"
     found = counts(audit)
     assert (found["fact_tarifa_electricidad"], found["dim_zona_concesion"], found["bridge_empresa_zona"]) == (1, 1, 2)
-    staged_zone = spark.read.parquet(f"{root}/staging/stg_zonas").first()
+    staged_zone = Staging(spark, f"{root}/staging").read("stg_zonas").first()
     assert staged_zone["srid"] == 5367 and staged_zone["fecha_carga"] is not None
 
 
