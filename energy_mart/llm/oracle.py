@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that it can express whole."""
 
+from energy_mart.llm.url_graph import DAMPING, LEAST_DISTRUST, LINK, STEPS
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -17,5 +19,78 @@ marked AS (SELECT k.*, f.key IS NULL AS stays FROM keyed k LEFT JOIN frequent f
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op10_ngram_jaccard_join": f"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+placed AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM cut WHERE len(w) > 0),
+shingles AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM placed),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+),
+sides AS MATERIALIZED (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM sides UNION SELECT r.a, l.b FROM reach r JOIN sides l ON r.b = l.a),
+least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON a = doc_id
+""",
+    "op7_url_graph": f"""
+WITH cut AS (
+  SELECT page_id, html, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+placed AS MATERIALIZED (
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
+),
+ruled AS MATERIALIZED (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM placed
+),
+linked AS (
+  SELECT host AS src, translate(unnest(regexp_extract_all(html, '{LINK.replace("'", "''")}', 1)), '{_UPPER}', '{_LOWER}') AS dst FROM placed
+),
+kin AS (
+  SELECT DISTINCT host, regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) AS parent FROM placed WHERE regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) <> ''
+),
+edges AS MATERIALIZED (
+  SELECT DISTINCT src, dst FROM (SELECT * FROM linked UNION ALL SELECT host, parent FROM kin UNION ALL SELECT parent, host FROM kin)
+  WHERE src <> '' AND dst <> '' AND src <> dst
+),
+directed AS (SELECT 'trust' AS kind, src, dst FROM edges UNION ALL SELECT 'distrust', dst, src FROM edges),
+moves AS MATERIALIZED (SELECT *, 1e0 / count(*) OVER (PARTITION BY kind, src) AS share FROM directed),
+given AS MATERIALIZED (
+  SELECT host, avg(CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 1e0 ELSE 0e0 END) AS t,
+    avg(CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 1e0 ELSE 0e0 END) AS b
+  FROM ruled WHERE host <> '' GROUP BY host
+),
+start AS MATERIALIZED (
+  SELECT * FROM (SELECT host, 'trust' AS kind, t / (SELECT sum(t) FROM given) AS seed FROM given
+    UNION ALL SELECT host, 'distrust', b / (SELECT sum(b) FROM given) FROM given) WHERE seed > 0
+),
+r0 AS (SELECT host, kind, seed AS rank FROM start),
+{"".join(f"""r{k + 1} AS (
+  SELECT host, kind, sum(rank) AS rank FROM (
+    SELECT m.dst AS host, m.kind, {DAMPING}e0 * r.rank * m.share AS rank FROM r{k} r JOIN moves m ON m.kind = r.kind AND m.src = r.host
+    UNION ALL SELECT host, kind, (1 - {DAMPING}e0) * seed FROM start
+  ) GROUP BY host, kind
+),
+""" for k in range(STEPS))}spread AS (
+  SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust,
+    coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust FROM r{STEPS} GROUP BY host
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL OR (distrust > {LEAST_DISTRUST} AND distrust > trust) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN spread USING (host)
 """,
 }

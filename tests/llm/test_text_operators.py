@@ -7,7 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from energy_mart.llm import license_scan, line_dedup, quality_rules, queries, secret_scan
+from energy_mart.checks import registry
+from energy_mart.checks.compare import compare
+from energy_mart.llm import catalogue, license_scan, line_dedup, quality_rules, secret_scan
 
 LOWER = {k: k + 32 for k in range(65, 91)}
 
@@ -169,14 +171,13 @@ def test_empty_tables_and_odd_columns(run, none, odd):
     assert out.count() == (0 if run is quality_rules.keep else 6)
 
 
-def test_line_dedup_query_agrees_with_sql(spark):
-    from energy_mart.checks import registry
-    from energy_mart.checks.compare import compare
-    from energy_mart.llm.oracle import SQL
+@pytest.mark.parametrize("name", list(catalogue.oracle_sql()))
+def test_queries_agree_with_sql(spark, monkeypatch, name):
+    monkeypatch.setitem(registry.QUERIES, name, catalogue.queries()[name])
+    monkeypatch.setitem(registry.SQL, name, catalogue.oracle_sql()[name])
+    assert compare(spark, "/root/testdata/sf0.001", name)["problems"] == []
 
-    name = "op1_line_dedup"
-    registry.QUERIES[name], registry.SQL[name] = queries.op1_line_dedup, SQL[name]
-    try:
-        assert compare(spark, "/root/testdata/sf0.001", name)["problems"] == []
-    finally:
-        del registry.QUERIES[name], registry.SQL[name]
+
+def test_names_of_the_queries():
+    names = list(catalogue.queries())
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
