@@ -30,6 +30,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE
+    if os.environ.get("BENCH_ALL"):
+        names = list(catalogue.queries())
     spark = build_session(
         "bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"),

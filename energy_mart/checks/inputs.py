@@ -233,7 +233,7 @@ def recipe_distribution(spark, sf):
 
 @check("r10d_fuels", f"""
 WITH {st.FUELS}
-SELECT numero_expediente, fecha_publicacion, producto, tipo_cambio, canon, 0e0 AS margen_distribuidor, rige,
+SELECT numero_expediente, fecha_publicacion, producto, tipo_cambio, canon, margen_distribuidor, rige,
   precio_final FROM stg_fuels
 """)
 def recipe_fuels(spark, sf):

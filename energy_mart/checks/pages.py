@@ -197,7 +197,7 @@ def _stored(*names):
 
 CLIMATE_SHOWN = ("t2m", "ws10m", "cloud_amt", "t2m_max", "ps")
 PRICES_SHOWN = ("abonados", "ventas", "ingreso_con_cvg", "precio_medio_con_cvg")
-FUELS_SHOWN = ("tipo_cambio", "precio_final", "canon")
+FUELS_SHOWN = schemas.FUEL_MEASURES
 LOADED = {
     "fact_clima_mensual": (
         f"WITH {st.STAGED} SELECT make_date(ano, mes, 1) AS fecha, empresa AS nombre_empresa, {_stored(*CLIMATE_SHOWN)} FROM stg_climate",

@@ -129,8 +129,7 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         none.alias("Trimestral"),
     )
     totals = (
-        grouped.filter("m <> 12")
-        .groupBy("y", "m")
+        grouped.groupBy("y", "m")
         .agg(F.sum("s").cast("decimal(28,2)").alias("s"))
         .select(
             F.when(F.col("m") % 2 == 0, F.concat(F.lit(" "), F.lower(month))).otherwise(month).alias("Mes"),
@@ -139,7 +138,8 @@ def prices_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("TODAS").alias("Tarifa"),
             none.alias("Abonados"),
             F.col("s").cast("string").alias("Ventas"),
-            (F.col("s") + F.col("m") * 1100).cast("decimal(28,2)").cast("string").alias("Ingreso con CVG"),
+            # December's total is published without an amount: a month with one side only.
+            F.when(F.col("m") != 12, (F.col("s") + F.col("m") * 1100).cast("decimal(28,2)").cast("string")).alias("Ingreso con CVG"),
             none.alias("Precio Medio con CVG"),
             F.concat(F.lit("T"), F.ceil(F.col("m") / 3)).alias("Trimestre"),
             none.alias("Sistema"),
@@ -363,21 +363,24 @@ def fuels_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "observaciones": F.lit("x"),
         "idSIET": F.lit(1),
     }
-    missing = [f for f in schemas.FUELS if f.source not in given]
-    return grouped.select(
-        *[c.alias(n) for n, c in given.items()],
-        *[F.lit(None).cast(f.type).alias(f.source) for f in missing],
-    )
+    others = {f.source: F.col("n") * F.lit(float(k)) for k, f in OTHER_FUELS.items()}
+    return grouped.select(*[c.alias(n) for n, c in {**given, **others}.items()])
 
 
-FUELS = """
+# Measures that get a multiple of the row count, each its own.
+OTHER_FUELS = {
+    k: f for k, f in enumerate(schemas.FUELS)
+    if f.type == "double" and f.source not in ("tipoCambio", "precioFinal", "canon")
+}
+_OTHERS = ", ".join(f"CAST(count(*) * {k} AS DOUBLE) AS {f.name}" for k, f in OTHER_FUELS.items())
+FUELS = f"""
 stg_fuels AS (
   SELECT 'ET-' || l_returnflag AS numero_expediente, 'RE-' || l_linestatus AS numero_resolucion,
     CAST(l_shipdate AS DATE) AS fecha_publicacion, p_type AS producto,
     CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS tipo_cambio,
     max(l_extendedprice) AS precio_final,
     CASE WHEN count(*) > 1 THEN CAST(count(*) AS DOUBLE) ELSE 0e0 END AS canon,
-    CASE l_returnflag WHEN 'A' THEN true WHEN 'N' THEN false END AS rige,
+    CASE l_returnflag WHEN 'A' THEN true WHEN 'N' THEN false END AS rige, {_OTHERS},
     CAST(month(l_shipdate) AS INTEGER) AS numero_gaceta
   FROM lineitem JOIN part ON l_partkey = p_partkey
   GROUP BY l_returnflag, l_linestatus, CAST(l_shipdate AS DATE), p_type, month(l_shipdate)

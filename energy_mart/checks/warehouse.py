@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from energy_mart import schemas
 from energy_mart.checks import standins as st
 from energy_mart.checks.profiling import base, rounded
 from energy_mart.checks.registry import check
@@ -178,8 +179,8 @@ def fact_distribution(spark, sf):
 
 @check("w11_fact_fuels", f"""
 WITH {st.STAGED}
-SELECT fecha_publicacion, producto, numero_expediente, numero_resolucion, tipo_cambio, precio_final, canon,
-  0e0 AS precio_colonizado FROM stg_fuels
+SELECT fecha_publicacion, producto, numero_expediente, numero_resolucion, {", ".join(schemas.FUEL_MEASURES)}
+FROM stg_fuels
 """)
 def fact_fuels(spark, sf):
     staged = st.staging(spark, sf, ("stg_hidrocarburos",))
@@ -189,10 +190,9 @@ def fact_fuels(spark, sf):
         .join(dims["dim_producto_hidrocarburo"], "producto_key")
         .join(dims["dim_resolucion_hidrocarburo"], "resolucion_key")
     )
-    measures = ("tipo_cambio", "precio_final", "canon", "precio_colonizado")
     return rows.select(
         "fecha_publicacion", "producto", "numero_expediente", "numero_resolucion",
-        *[F.col(m).cast("double").alias(m) for m in measures],
+        *[F.col(m).cast("double").alias(m) for m in schemas.FUEL_MEASURES],
     )
 
 
@@ -311,7 +311,8 @@ WITH {st.PRICES}, {st.DISTRIBUTION}, income AS (
     coalesce(d.bloque, 'SIN BLOQUE ASOCIADO') AS bloque_consumo, d.tipo_tarifa,
     CAST(CAST(d.tarifa_promedio AS DECIMAL(18,6)) AS DOUBLE) AS tarifa_promedio,
     p.ventas AS ventas_por_mes, p.ingreso_con_cvg
-  FROM stg_prices p LEFT JOIN (SELECT * FROM stg_dist WHERE tipo_tarifa <> '5-LOW' AND descripcion_tarifa <> 'FURNITURE') d
+  FROM stg_prices p LEFT JOIN (SELECT * REPLACE (CASE WHEN tipo_tarifa = '5-LOW' OR descripcion_tarifa = 'FURNITURE'
+    THEN 'OTRA ' || descripcion_tarifa ELSE descripcion_tarifa END AS descripcion_tarifa) FROM stg_dist) d
     ON d.empresa = p.empresa AND d.anho = p.ano AND d.id_mes = p.mes AND d.descripcion_tarifa = p.tarifa
 )
 """
@@ -319,9 +320,10 @@ WITH {st.PRICES}, {st.DISTRIBUTION}, income AS (
 
 def _income(spark, sf):
     staged = dict(st.staging(spark, sf, ("stg_aresep_medios", "stg_distribucion")))
-    staged["stg_distribucion"] = staged["stg_distribucion"].filter(
-        "tipo_tarifa <> '5-LOW' and descripcion_tarifa <> 'FURNITURE'"
-    )
+    # Some tariffs get a name of their own, so sales without a block occur; no row is left out.
+    own = (F.col("tipo_tarifa") == "5-LOW") | (F.col("descripcion_tarifa") == "FURNITURE")
+    name = F.when(own, F.concat(F.lit("OTRA "), "descripcion_tarifa")).otherwise(F.col("descripcion_tarifa"))
+    staged["stg_distribucion"] = staged["stg_distribucion"].withColumn("descripcion_tarifa", name)
     tables = _dims(staged, "dim_tiempo", "dim_empresa", "dim_tarifa")
     tables["fact_tarifa_electricidad"] = star.price_facts(staged, tables)
     tables["fact_distribucion_tarifaria"] = star.distribution_facts(staged, tables)
@@ -393,6 +395,15 @@ def plants_per_company(spark, sf):
     return views.plants_per_company(_plant_list(spark, sf))
 
 
+@check("v3_company_facets", f"""
+WITH {st.PLANTS}
+SELECT DISTINCT operador AS empresa_canonica, unnest(['fuente', 'central_electrica', 'operador']) AS clase,
+  unnest([fuente, central_electrica, operador]) AS valor FROM plants
+""")
+def company_facets(spark, sf):
+    return views.company_facets(_plant_list(spark, sf))
+
+
 @check("a22_plants_by_province", f"""
 WITH {st.PLANTS}
 SELECT provincia, count(DISTINCT central_electrica) AS centrales FROM plants GROUP BY provincia

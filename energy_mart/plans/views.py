@@ -73,8 +73,21 @@ def monthly_income(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def company_facets(plants: DataFrame) -> DataFrame:
+    """Distinct rows (empresa_canonica, clase, valor): the lists of ``plants_per_company``, unbounded."""
+    kinds = [
+        F.struct(F.lit(k).alias("clase"), F.col(k).alias("valor"))
+        for k in ("fuente", "central_electrica", "operador")
+    ]
+    rows = plants.select(F.col("nombre_empresa").alias("empresa_canonica"), F.explode(F.array(*kinds)).alias("k"))
+    return rows.select("empresa_canonica", "k.*").filter(F.col("valor").isNotNull()).distinct()
+
+
 def plants_per_company(plants: DataFrame) -> DataFrame:
-    """Plant count and the sorted distinct sources, plants and operators of each company."""
+    """Plant count and the sorted distinct sources, plants and operators of each company, as text.
+
+    The text of a company grows with its plants; ``company_facets`` has the same in rows.
+    """
     def joined(name: str, out: str) -> Column:
         return F.array_join(F.sort_array(F.collect_set(name)), ", ").alias(out)
 
