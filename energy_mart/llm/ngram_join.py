@@ -46,7 +46,7 @@ from energy_mart.llm.common import (
 
 SHINGLE, PERCENT = 4, 85
 #: Tokens of a block, distinct words remembered by a task, and rounds of comparisons with pivots.
-BLOCK_TOKENS, KNOWN_WORDS, PIVOT_ROUNDS = 400_000, 1_000_000, 2
+BLOCK_TOKENS, KNOWN_WORDS, PIVOT_ROUNDS = 400_000, 300_000, 2
 #: Sets outside the main groups that are probed together, and list members met at a time.
 CHUNK, PIECE = 512, 4096
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))

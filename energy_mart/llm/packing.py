@@ -36,7 +36,9 @@ WINDOW, END_ID = 2048, 1
 CUT = 16
 #: Lengths that may stand in patterns of three, most common first; steps of the solver.
 COMMON, STEPS = 64, 400
-KNOWN_WORDS = 1_200_000
+KNOWN_WORDS = 300_000
+#: Texts encoded together.
+BATCH = 1500
 _GAPS, _SIGNS = re.compile(r"[ \n\t]+"), re.compile("[\x1c-\x1f]")
 
 
@@ -148,8 +150,8 @@ def encode(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts, wide = encoder(tokenizer).texts, 4 * window
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part, out = batch.slice(at, 500), []
+            for at in range(0, batch.num_rows, BATCH):
+                part, out = batch.slice(at, BATCH), []
                 for ids in encode_texts(part.column(1).to_pylist()):
                     n = len(ids) // wide
                     rest = ids[n * wide :]

@@ -32,7 +32,7 @@ from energy_mart.llm.common import arrow_pass, ascii_lower, batch_of, importable
 
 BITS, FOLDS, MOST_POSITIVE, MOST_UNLABELLED = 17, 4, 6000, 16000
 EPOCHS, RATE, RIDGE, LEAST_Z = 400, 0.05, 1e-4, 4.0
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 300_000
 _STRIP = b" .,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
 
