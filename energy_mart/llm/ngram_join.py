@@ -47,8 +47,8 @@ from energy_mart.llm.common import (
 SHINGLE, PERCENT = 4, 85
 #: Tokens of a block, distinct words remembered by a task, and rounds of comparisons with pivots.
 BLOCK_TOKENS, KNOWN_WORDS, PIVOT_ROUNDS = 400_000, 300_000, 2
-#: Sets outside the main groups that are probed together, and list members met at a time.
-CHUNK, PIECE = 512, 4096
+#: Shingles of the sets outside main groups that are probed together, and of list members met at a time.
+CHUNK, PIECE = 300_000, 2_000_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -286,8 +286,8 @@ def _across(lists: DataFrame, groups: DataFrame | None, sets: DataFrame, percent
     outside = listed.filter("g <> main").select("sig", F.lit(True).alias("outside")).distinct()
     marked = settle(listed.drop("main").join(outside, "sig", "left").withColumn("outside", F.coalesce("outside", F.lit(False))))
     probes = marked.filter("outside")  # with all their lists, so that shared tokens are counted in full
-    lead = probes.groupBy("sig").agg(F.max_by("token", F.struct("length", "token")).alias("lead"))
-    parts = lead.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("long").alias("parts"))
+    lead = probes.groupBy("sig").agg(F.max_by("token", F.struct("length", "token")).alias("lead"), F.any_value("n").alias("n"))
+    parts = lead.groupBy("lead").agg(F.ceil(F.sum("n") / CHUNK).cast("long").alias("parts"))
     chunks = settle(lead.join(parts, "lead").select("sig", "lead", F.pmod(F.xxhash64("sig"), F.col("parts")).alias("part")))
     node = [F.any_value(c).alias(c) for c in ("n", "n32", "g")]
     near = F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1))
@@ -299,7 +299,7 @@ def _across(lists: DataFrame, groups: DataFrame | None, sets: DataFrame, percent
     met = asks.join(marked, ["token", "level"]).filter((F.col("pos") + slack >= F.col("low")) & (F.col("pos") - slack <= F.col("high")))
     y = met.groupBy("lead", "part", "sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), F.any_value("outside").alias("outside"), *node)
     y = settle(y)
-    pieces = y.groupBy("lead", "part").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("long").alias("pieces"))
+    pieces = y.groupBy("lead", "part").agg(F.ceil(F.sum("n") / PIECE).cast("long").alias("pieces"))
     y = y.join(pieces, ["lead", "part"]).withColumn("piece", F.pmod(F.xxhash64("sig"), F.col("pieces")))
     spread = chunks.join(pieces, ["lead", "part"]).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("pieces")
     asked = probes.groupBy("sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), *node)
