@@ -9,8 +9,9 @@ Robust estimate per group: the start is the half of the group that is nearest to
 concentration steps then take mean and covariance of a half and keep the nearest half, which
 never raises the determinant. Means, covariances and the half's limit (a histogram of distances)
 are plain aggregates, combined before the shuffle, so one group with a third of all rows does no
-harm. A group of fewer than LEAST_DOCUMENTS is judged with the other small groups of its language.
-If these are too few as well, nobody is dropped by distance.
+harm. A group of fewer than LEAST_DOCUMENTS is judged by the estimate of its whole language, big
+groups included; a language of fewer by the estimate of the whole corpus, whatever its size. So every
+document is judged by distance.
 
 Null or empty text: no words, so the fixed limit on words fails. Null language or source is a group
 of its own. Repeated rows count as often as they stand. Extra columns are kept by ``judge``.
@@ -85,14 +86,18 @@ def _vector() -> dict[str, Column]:
 
 
 def _groups(vectors: DataFrame) -> DataFrame:
-    """``g``: the group a row is judged in, null if it is too small."""
+    """Per own group: ``g``, the estimate its rows are judged by, and ``feeds``, all estimates they go into."""
     own = F.to_json(F.struct("lang", "source"))
     wide = F.to_json(F.struct("lang"))
     sizes = vectors.groupBy(own.alias("own"), wide.alias("wide")).count()
-    small = F.col("count") < LEAST_DOCUMENTS
-    pooled = sizes.filter(small).groupBy("wide").agg((F.sum("count") >= LEAST_DOCUMENTS).alias("enough"))
-    chosen = F.when(~small, F.concat(F.lit("own"), "own")).when(F.col("enough"), F.concat(F.lit("wide"), "wide"))
-    return sizes.join(pooled, "wide", "left").select("own", chosen.alias("g"))
+    langs = sizes.groupBy("wide").agg(F.sum("count").alias("spoken"), F.min("count").alias("least"))
+    rare = langs.agg((F.min("spoken") < LEAST_DOCUMENTS).alias("rare"))
+    big, spread = F.col("count") >= LEAST_DOCUMENTS, F.col("spoken") >= LEAST_DOCUMENTS
+    mine, ours = F.concat(F.lit("own"), "own"), F.concat(F.lit("wide"), "wide")
+    chosen = F.when(big, mine).when(spread, ours).otherwise("all")
+    needed = F.when(spread & (F.col("least") < LEAST_DOCUMENTS), ours)
+    feeds = F.array_compact(F.array(F.when(big, mine), needed, F.when(F.col("rare"), F.lit("all"))))
+    return sizes.join(langs, "wide").crossJoin(F.broadcast(rare)).select("own", chosen.alias("g"), feeds.alias("feeds"))
 
 
 def _moments(rows: DataFrame) -> DataFrame:
@@ -139,8 +144,8 @@ def _nearest_half(rows: DataFrame) -> DataFrame:
 
 
 def robust_moments(vectors: DataFrame) -> DataFrame:
-    """Per group ``g``: centre and factor of the half with the least determinant found."""
-    rows = vectors.filter(F.col("g").isNotNull()).select("g", *AXES)
+    """Per estimate ``g``: centre and factor of the half with the least determinant found."""
+    rows = vectors.select(F.explode("feeds").alias("g"), *AXES)
     medians = rows.groupBy("g").agg(*[F.percentile_approx(x, 0.5, 10000).alias(f"m{i}") for i, x in enumerate(AXES)])
     spread = sum(((F.col(x) - F.col(f"m{i}")) ** 2 / LEAST_VARIANCE[i] for i, x in enumerate(AXES)), F.lit(0.0))
     far = join_small(rows, medians, "g").withColumn("d", spread).select("g", *AXES, "d")
@@ -157,9 +162,9 @@ def judge(measured: DataFrame) -> DataFrame:
     vectors = join_small(keyed, groups, "own", "left")
     moments = robust_moments(vectors)
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PCT * F.col("n_words"))
-    near = F.coalesce(F.col("d") <= CUTOFF, F.lit(True))
+    near = F.col("d") <= CUTOFF
     judged = _distance(vectors, moments).withColumn("base_failed", failed)
-    return judged.withColumn("kept", ~F.col("base_failed") & near).drop("g", "own", "d", *AXES)
+    return judged.withColumn("kept", ~F.col("base_failed") & near).drop("g", "feeds", "own", "d", *AXES)
 
 
 def keep(docs: DataFrame) -> DataFrame:

@@ -127,6 +127,21 @@ def test_robust_outliers_are_told_from_a_skewed_group(spark, tmp_path):
     assert {r.doc_id for r in quality_rules.keep(docs).collect()} == {i for i in got if i % 10}
 
 
+def test_small_groups_are_judged_by_wider_estimates(spark, tmp_path):
+    rng = np.random.default_rng(7)
+    rows = []
+    for lang, source, n in (("en", "big", 400), ("en", "small", 30), ("de", "a", 120), ("de", "b", 120), ("fr", "a", 40), (None, None, 20)):
+        for i in range(n):
+            words = ["".join(rng.choice(list("abcdefgh"), rng.integers(2, 8))) for _ in range(80)]
+            rows.append((len(rows), " ".join(w + "###" if i % 10 == 0 else w for w in words), lang, source, i % 10 != 0))
+    path = str(tmp_path / "d")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, plain boolean").write.parquet(path)
+    docs = spark.read.parquet(path)
+    for part in (docs, docs.filter("lang = 'fr'")):
+        judged = quality_rules.judge(quality_rules.measure(part)).collect()
+        assert judged and [r.doc_id for r in judged if r.kept != r.plain] == []
+
+
 def spans(text):
     text, out = text or "", []
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
