@@ -4,8 +4,8 @@ A rule (host, path) fits a host and its subdomains where the path starts with th
 fitting rule decides. Pages without one are judged by host: personalised PageRank spreads trust
 from hosts with allowed pages along host edges, and distrust from hosts with blocked pages against
 them. A host is blocked if its distrust exceeds LEAST_DISTRUST and its trust. Host edges: links to
-other hosts in the page's html, and host and parent domain both ways (names under one domain are
-run together). A host shares its rank equally among its neighbours.
+other hosts in the page's html, and both ways between each host, its parent domain, that one's
+parent and so on down to two labels, with or without pages (names under one domain are run together). A host shares its rank equally among its neighbours.
 
 Ranks are plain joins and aggregates over (host, host) edges, settled between steps; a host with a
 third of all pages or links is combined before the shuffle. Null urls, or urls without ``://``: host and
@@ -49,9 +49,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """Distinct (src, dst) of different hosts; ``pages`` has host and html."""
     links = F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)), lambda h: F.translate(h, _UPPER, _LOWER))
     linked = pages.select(F.col("host").alias("src"), F.explode(F.array_distinct(links)).alias("dst"))
-    known = pages.select("host").distinct()
-    parent = F.regexp_extract("host", r"^[^.]+\.([^.]+\..+)$", 1)
-    kin = known.select("host", parent.alias("parent")).filter("parent <> ''")
+    known = pages.select("host").unionByName(linked.select(F.col("dst").alias("host"))).distinct()
+    labels = F.split("host", r"\.")
+    levels = F.when(F.size(labels) > 2, F.sequence(F.lit(1), F.size(labels) - 2))
+    upper = lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+    chain = F.transform(levels, lambda i: F.struct(upper(i).alias("host"), upper(i + 1).alias("parent")))
+    kin = known.select(F.explode(chain).alias("k")).select("k.*").filter(F.col("host").rlike(r"^[^.]+\.[^.]+\..+$")).distinct()
     both = kin.select(F.col("host").alias("src"), F.col("parent").alias("dst")).unionByName(kin.select(F.col("parent").alias("src"), F.col("host").alias("dst")))
     return linked.unionByName(both).filter("src <> '' AND dst <> '' AND src <> dst").distinct()
 

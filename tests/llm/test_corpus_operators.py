@@ -343,6 +343,15 @@ def test_url_rules_and_graph(spark):
     assert url_graph.judge(df.limit(0)).count() == 0
 
 
+def test_distrust_climbs_through_domains_without_pages(spark):
+    pages = [(0, "http://blog.x.example.net/es/1", ""), (1, "http://a.shop.example.net/", ""), (2, "http://other.org/", '<a href="//deep.y.example.net/">')]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.verdict for r in url_graph.judge(df).collect()} == {0: "block", 1: "block", 2: "block"}
+    edges = {tuple(r) for r in url_graph.host_edges(df.select(url_graph.host_and_path(F.col("url"))[0].alias("host"), "html")).collect()}
+    chain = [("blog.x.example.net", "x.example.net"), ("x.example.net", "example.net"), ("deep.y.example.net", "y.example.net"), ("y.example.net", "example.net")]
+    assert all(e in edges and e[::-1] in edges for e in chain) and not any("net" in e for e in edges)
+
+
 def test_ranks_match_power_iteration(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c")]
     seeds = [("a", 1.0, 0.0), ("d", 0.5, 1.0)]
