@@ -52,8 +52,12 @@ def _parsed(
     rows = reader.option("columnNameOfCorruptRecord", _RECORD).schema(schema).csv(paths)
     wider = ", ".join(f"c{i} string" for i in range(len(columns) + 1))
     cells = {k: v for k, v in settings.items() if k in ("sep", "escape", "quote")}
-    surplus = F.from_csv(F.col(_RECORD), F.lit(wider), cells)[f"c{len(columns)}"].isNotNull()
-    return rows, F.coalesce(surplus, F.lit(False))
+    # A last cell that no record can hold: it lies within the first n + 1 unless there are more than n.
+    # An empty cell is null to from_csv, as a missing one is, so cells alone cannot be counted.
+    record, mark = F.regexp_replace(_RECORD, r"[\r\n]+$", ""), F.sha2(_RECORD, 256)
+    parsed = F.from_csv(F.concat(record, F.lit(settings.get("sep", ",")), mark), F.lit(wider), cells)
+    first = F.array_join(F.array(*[parsed[f"c{i}"] for i in range(len(columns) + 1)]), "")
+    return rows, F.col(_RECORD).isNotNull() & ~F.coalesce(first.contains(mark), F.lit(False))
 
 
 def read_csv(

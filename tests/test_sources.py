@@ -211,3 +211,15 @@ def test_released_tables_are_gone(spark):
     session.release(settled)
     with pytest.raises(Exception):
         spark.read.parquet(settled._settled_in).count()
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_surplus_cells_after_an_empty_one_are_rejected(spark, tmp_path, multiline):
+    file = tmp_path / "s.csv"
+    file.write_text('a,b\n1,2\n3,4,,5\n6,"7",,,"8"\n8\n,\n')
+    kept = files.read_csv(spark, str(file), multiline=multiline, surplus="reject").collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([("1", "2"), ("8", None), (None, None)], key=repr)
+    found = {r.record.strip() for r in files.csv_rejects(spark, str(file), multiline).collect()}
+    assert found == {"3,4,,5", '6,"7",,,"8"'}
+    with pytest.raises(Exception, match="more cells than columns"):
+        files.read_csv(spark, str(file), multiline=multiline).collect()
