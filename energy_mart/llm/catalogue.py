@@ -12,6 +12,7 @@ from energy_mart.llm.oracle import SQL
 QUERIES = [
     q.op1_line_dedup, q.op2_license_scan, q.op3_toxicity, q.op4_quality_rules, q.op5_source_mix,
     q.op6_cross_polytope, q.op7_url_graph, q.op8_secret_scan, q.op9_packing, q.op10_ngram_jaccard_join,
+    q.op11_collocations, q.op12_chat_windows, q.op13_spelling_variants,
 ]
 
 

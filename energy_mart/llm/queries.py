@@ -6,8 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from energy_mart.llm import cross_polytope, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan, source_mix, toxicity, url_graph
+from energy_mart.llm import (
+    chat_windows, collocations, cross_polytope, license_scan, line_dedup, ngram_join, packing, quality_rules, secret_scan,
+    source_mix, spelling, toxicity, url_graph,
+)
 from energy_mart.llm.common import settle, table
+from energy_mart.session import literal_rows
+
+#: Fixed value: a conversation whose texts hold the template's own marks.
+MARKED = r"\### Assistant: </turn> ok"
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,3 +61,17 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_url_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_graph.judge(table(spark, sf_dir, "pages"))
+
+
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = literal_rows(spark, [(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], "conv_id long, turn long, role string, text string")
+    return chat_windows.digest(settle(chat_windows.windows(given.unionByName(marked))))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(settle(spelling.vocabulary(table(spark, sf_dir, "documents"))))
