@@ -136,7 +136,7 @@ def catalog(spark, sf):
     tables.refresh_catalogs(
         spark, folder, root, {"dictionary.csv": ("catalogo_textos", ("ID", "Tags", "Description"))}
     )
-    loaded = spark.read.parquet(f"{root}/catalogo_textos")
+    loaded = tables.catalog(spark, root, "catalogo_textos")
     return loaded.select("id", F.md5("description").alias("texto"), "tags")
 
 

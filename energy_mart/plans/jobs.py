@@ -89,14 +89,20 @@ def full_load(
     """Refresh the dictionaries, empty staging, prepare and stage each landed frame, load the star.
 
     ``landed`` maps staging tables to raw frames, ``catalogs`` is the folder of dictionary
-    files, if there are any. Returns (staging summary, load audit).
+    files, if there are any. Returns (staging summary, load audit); ``Star.losses`` lists what lookups lost and
+    which columns were left out.
     """
     root = root.rstrip("/")
     if catalogs is not None:
         refresh_catalogs(spark, catalogs, f"{root}/catalogs").collect()  # a row per file
     area = Staging(spark, f"{root}/staging")
     area.clear()
-    summary = stack_by_name([stage(area, name, PREPARE[name](raw)) for name, raw in landed.items()])
+    prepared = {name: PREPARE[name](raw) for name, raw in landed.items()}
+    dropped = [
+        (name, f.source) for name, df in prepared.items() for f in STAGING[name]
+        if f.source in landed[name].columns and f.source not in df.columns
+    ]
+    summary = stack_by_name([stage(area, name, df) for name, df in prepared.items()])
     loaded = {name: area.read(name) for name in STAGING}
-    audit = Star(spark, f"{root}/star").load(loaded, update_facts)
+    audit = Star(spark, f"{root}/star").load(loaded, update_facts, dropped)
     return summary, audit

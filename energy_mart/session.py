@@ -55,6 +55,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path object) of Hadoop for a path."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Run ``df`` once into a table in the shared folder and read that back.
 
@@ -64,8 +70,8 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "settled")
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    files, hadoop = hadoop_path(spark, path)
+    files.deleteOnExit(hadoop)
     df.write.parquet(path)
     settled = spark.read.schema(df.schema).parquet(path)
     settled._settled_in = path
@@ -76,9 +82,8 @@ def release(df: DataFrame) -> None:
     """Delete the table behind a frame of ``materialise``; nothing may read it again."""
     folder = getattr(df, "_settled_in", None)
     if folder:
-        context = df.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        files, path = hadoop_path(df.sparkSession, folder)
+        files.delete(path, True)
 
 
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:

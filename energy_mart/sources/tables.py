@@ -13,7 +13,7 @@ from energy_mart.operators.quality import check_frame
 from energy_mart.schemas import CATALOGS, STAGING, STAGING_DEFAULTS, Field, staging_schema
 from energy_mart.session import empty_frame
 from energy_mart.sources.files import read_csv
-from energy_mart.sources.versions import State, Versions
+from energy_mart.sources.versions import State, Versions, merge_small
 
 
 def table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
@@ -34,6 +34,10 @@ def statement(spark: SparkSession, sql: str) -> None:
     spark.sql(sql)
 
 
+#: Folders under this many bytes are merged.
+SMALL = 128 << 20
+
+
 class Staging:
     """Typed staging tables as versioned parquet folders under one root."""
 
@@ -57,10 +61,14 @@ class Staging:
             out.append(given.alias(column))
         return check_frame(df).select(*out)
 
-    def _publish(self, name: str, df: DataFrame, keep: Sequence[str] = ()) -> None:
+    def _publish(self, name: str, df: DataFrame, add: bool = True) -> None:
+        """Add rows to a table, whatever others added meanwhile, or replace the table as it was known."""
         folder = self.versions.fresh_folder(name)
         df.write.parquet(folder)
-        self.versions.publish({name: State((*keep, folder), 0)})
+        if add:
+            self.versions.publish(lambda now: {name: State((*(now[name].folders if name in now else ()), folder), 0)})
+        else:
+            self.versions.publish({name: State((folder,), 0)}, made_from=[name])
 
     def clear(self, names: Sequence[str] | None = None) -> list[str]:
         """Empty the tables, and their rejects; they stay readable."""
@@ -76,20 +84,18 @@ class Staging:
 
     def append(self, name: str, df: DataFrame) -> None:
         """Append rows; nothing is deduplicated."""
-        known = self.versions.current().get(name)
-        self._publish(name, self._typed(name, check_frame(df)), known.folders if known else ())
+        self._publish(name, self._typed(name, check_frame(df)))
 
     def merge(self, name: str, df: DataFrame, keys: Sequence[str]) -> None:
         """Update rows with a known key and add the others; ``df`` must be unique on ``keys``.
 
-        The new version replaces the old one when it is whole.
+        The new version replaces the old one when it is whole; if others changed the table meanwhile, ``Conflict`` is raised.
         """
-        self._publish(name, upsert(self.read(name), self._typed(name, check_frame(df)), keys))
+        self._publish(name, upsert(self.read(name), self._typed(name, check_frame(df)), keys), add=False)
 
     def reject(self, name: str, rows: DataFrame) -> None:
         """Rows of the present run that do not fit; ``clear`` forgets those of earlier runs."""
-        known = self.versions.current().get(f"rejects_{name}")
-        self._publish(f"rejects_{name}", rows, known.folders if known else ())
+        self._publish(f"rejects_{name}", rows)
 
     def rejects(self, name: str) -> DataFrame:
         state = self.versions.current().get(f"rejects_{name}")
@@ -103,6 +109,20 @@ class Staging:
             return empty_frame(self.spark, self._schema(name))
         return self.spark.read.schema(self._schema(name)).parquet(*state.folders)
 
+    def compact(self, name: str, small: int = SMALL) -> int:
+        """Merge the table's folders under ``small`` bytes, as many appends leave them; how many went."""
+
+        def write(rows: DataFrame) -> list[str]:
+            folder = self.versions.fresh_folder(name)
+            rows.write.parquet(folder)
+            return [folder]
+
+        known = self.versions.refresh().get(name, State((), 0))
+        schema = self._schema(name)
+        return merge_small(
+            self.versions, name, lambda folders: self.spark.read.schema(schema).parquet(*folders), write, [known.folders], small
+        )
+
     def register(self, prefix: str = "") -> None:
         """Temporary views over every table."""
         for name in self.models:
@@ -118,20 +138,28 @@ def read_catalog(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
 def refresh_catalogs(
     spark: SparkSession, folder: str, root: str, catalogs: Mapping = CATALOGS
 ) -> DataFrame:
-    """Replace each dictionary table from its file; audit rows (table, file, rows)."""
-    audit = []
+    """Replace each dictionary table from its file; audit rows (table, file, rows).
+
+    All tables are replaced by one version, so readers see all old or all new ones.
+    """
+    versions, audit, new = Versions(spark, root), [], {}
     for file, (name, columns) in catalogs.items():
-        target = f"{root.rstrip('/')}/{name}"
-        read_catalog(spark, f"{folder.rstrip('/')}/{file}", columns).write.mode(
-            "overwrite"
-        ).parquet(target)
+        target = versions.fresh_folder(name)
+        read_catalog(spark, f"{folder.rstrip('/')}/{file}", columns).write.parquet(target)
+        new[name] = State((target,), 0)
         written = spark.read.parquet(target)
         audit.append(
             written.agg(
                 F.lit(name).alias("table"), F.lit(file).alias("file"), F.count(F.lit(1)).alias("rows")
             )
         )
+    versions.publish(new)
     out = audit[0]
     for row in audit[1:]:
         out = out.unionAll(row)
     return out
+
+
+def catalog(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A dictionary table as last published."""
+    return spark.read.parquet(*Versions(spark, root).current()[name].folders)

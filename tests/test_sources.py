@@ -89,7 +89,7 @@ def test_catalogs_with_quoted_newlines(spark, tmp_path):
     for _ in range(2):
         audit = tables.refresh_catalogs(spark, str(tmp_path), root)
         assert [r["rows"] for r in audit.collect()] == [1] * 6
-    loaded = spark.read.parquet(f"{root}/catalogo_hidrocarburos_variables").first()
+    loaded = tables.catalog(spark, root, "catalogo_hidrocarburos_variables").first()
     assert loaded["tags"] == "a,b" and loaded["description"] == 'line one\nline "two"'
     assert loaded["warnings_api_original"] is None
 
