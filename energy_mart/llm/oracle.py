@@ -2,7 +2,7 @@
 
 from energy_mart.llm.chat_windows import BLOCK, BUDGET, HISTORY, HISTORY_TURNS, TOKEN
 from energy_mart.llm.collocations import LEAST, MOST_WORDS, TOP
-from energy_mart.llm.url_graph import DAMPING, LEAST_DISTRUST, LINK, STEPS
+from energy_mart.llm.url_graph import DAMPING, LEAST_DISTRUST, LINK, MARGIN, ROUNDS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -62,9 +62,10 @@ ruled AS MATERIALIZED (
 linked AS (
   SELECT host AS src, translate(unnest(regexp_extract_all(html, '{LINK.replace("'", "''")}', 1)), '{_UPPER}', '{_LOWER}') AS dst FROM placed
 ),
-kin AS (
-  SELECT DISTINCT host, regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) AS parent FROM placed WHERE regexp_extract(host, '^[^.]+\\.([^.]+\\..+)$', 1) <> ''
-),
+labels AS (SELECT string_split(host, '.') AS l FROM (SELECT host FROM placed UNION SELECT dst FROM linked)),
+chains AS (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM labels),
+climbs AS (SELECT DISTINCT array_to_string(l[i:], '.') AS host, array_to_string(l[i + 1:], '.') AS parent FROM chains),
+kin AS (SELECT * FROM climbs WHERE regexp_matches(host, '^[^.]+\\.[^.]+\\..+$')),
 edges AS MATERIALIZED (
   SELECT DISTINCT src, dst FROM (SELECT * FROM linked UNION ALL SELECT host, parent FROM kin UNION ALL SELECT parent, host FROM kin)
   WHERE src <> '' AND dst <> '' AND src <> dst
@@ -81,18 +82,18 @@ start AS MATERIALIZED (
     UNION ALL SELECT host, 'distrust', b / (SELECT sum(b) FROM given) FROM given) WHERE seed > 0
 ),
 r0 AS (SELECT host, kind, seed AS rank FROM start),
-{"".join(f"""r{k + 1} AS (
+{"".join(f"""r{k + 1} AS MATERIALIZED (
   SELECT host, kind, sum(rank) AS rank FROM (
     SELECT m.dst AS host, m.kind, {DAMPING}e0 * r.rank * m.share AS rank FROM r{k} r JOIN moves m ON m.kind = r.kind AND m.src = r.host
     UNION ALL SELECT host, kind, (1 - {DAMPING}e0) * seed FROM start
   ) GROUP BY host, kind
 ),
-""" for k in range(STEPS))}spread AS (
+""" for k in range(ROUNDS))}spread AS (
   SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0) AS trust,
-    coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust FROM r{STEPS} GROUP BY host
+    coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0) AS distrust FROM r{ROUNDS} GROUP BY host
 )
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
-  WHEN rule IS NOT NULL OR (distrust > {LEAST_DISTRUST} AND distrust > trust) THEN 'block' ELSE 'allow' END AS verdict
+  WHEN rule IS NOT NULL OR (distrust > {LEAST_DISTRUST} AND distrust > {MARGIN}e0 * trust) THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled LEFT JOIN spread USING (host)
 """,
     "op11_collocations": f"""

@@ -3,26 +3,32 @@
 A rule (host, path) fits a host and its subdomains where the path starts with the rule's; the longest
 fitting rule decides. Pages without one are judged by host: personalised PageRank spreads trust
 from hosts with allowed pages along host edges, and distrust from hosts with blocked pages against
-them. A host is blocked if its distrust exceeds LEAST_DISTRUST and its trust. Host edges: links to
+them. A host is blocked if its distrust exceeds LEAST_DISTRUST, and MARGIN times its trust. Host edges: links to
 other hosts in the page's html, and both ways between each host, its parent domain, that one's
 parent and so on down to two labels, with or without pages (names under one domain are run together). A host shares its rank equally among its neighbours.
 
-Ranks are plain joins and aggregates over (host, host) edges, settled between steps; a host with a
-third of all pages or links is combined before the shuffle. Null urls, or urls without ``://``: host and
+Ranks are plain joins and aggregates over (host, host) edges, settled after every few rounds; a host with a
+third of all pages or links is combined before the shuffle. ROUNDS rounds are made on any graph: each takes the
+distance to the settled ranks, summed over all hosts, to DAMPING of what it was, so less than TOLERANCE is left then.
+What a host without neighbours would pass on is lost; it keeps its seed. Very long urls are hosts and paths like others. Null urls, or urls without ``://``: host and
 path are empty, no rule, allowed. Null html has no links. Repeated rows are each answered.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from energy_mart.llm.common import join_small, settle
+from energy_mart.llm.common import settle
 from energy_mart.session import release
 
 #: Verdict and prefix (host, then path).
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-DAMPING, STEPS, LEAST_DISTRUST = 0.85, 8, 1e-9
+DAMPING, LEAST_DISTRUST, MARGIN, TOLERANCE = 0.85, 1e-9, 1.01, 1e-4
+#: Ranks sum to 1, so two of them are 2 apart at most. ROUNDS_A_STEP rounds are one settled table.
+ROUNDS, ROUNDS_A_STEP = math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING)), 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
@@ -59,7 +65,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return linked.unionByName(both).filter("src <> '' AND dst <> '' AND src <> dst").distinct()
 
 
-def ranks(edges: DataFrame, seeds: DataFrame, steps: int = STEPS) -> DataFrame:
+def ranks(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(host, trust, distrust): ranks personalised on ``seeds`` (host, trusted, blocked weights)."""
     forward = edges.select(F.lit("trust").alias("kind"), "src", "dst")
     back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"))
@@ -72,14 +78,18 @@ def ranks(edges: DataFrame, seeds: DataFrame, steps: int = STEPS) -> DataFrame:
         F.struct(F.lit("distrust").alias("kind"), (F.col("blocked") / (total["b"] or 1.0)).alias("seed")),
     )
     start = settle(seeds.select("host", F.explode(kinds).alias("k")).select("host", "k.*").filter("seed > 0"))
+    kept = start.select("host", "kind", ((1 - DAMPING) * F.col("seed")).alias("rank"))
     now = start.withColumnRenamed("seed", "rank")
-    for _ in range(steps):
+    held = None
+    for done in range(1, rounds + 1):
         sent = moves.join(now.withColumnRenamed("host", "src"), ["kind", "src"])
         given = sent.select(F.col("dst").alias("host"), "kind", (DAMPING * F.col("rank") * F.col("share")).alias("rank"))
-        kept = start.select("host", "kind", ((1 - DAMPING) * F.col("seed")).alias("rank"))
-        after = settle(given.unionByName(kept).groupBy("host", "kind").agg(F.sum("rank").alias("rank")))
-        release(now)
-        now = after
+        now = given.unionByName(kept).groupBy("host", "kind").agg(F.sum("rank").alias("rank"))
+        if done % ROUNDS_A_STEP == 0 or done == rounds:
+            now = settle(now)
+            if held is not None:
+                release(held)
+            held = now
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0)).alias(kind)
     return now.groupBy("host").agg(of("trust"), of("distrust"))
 
@@ -93,7 +103,8 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     given = lambda verdict: F.avg((F.coalesce(F.col("found.verdict"), F.lit("")) == verdict).cast("double"))
     seeds = settle(own.filter("host <> ''").groupBy("host").agg(given("allow").alias("trusted"), given("block").alias("blocked")))
     spread = ranks(edges, seeds)
-    joined = join_small(own, spread, "host", "left")
-    doubtful = (F.col("distrust") > LEAST_DISTRUST) & (F.col("distrust") > F.col("trust"))
+    # A host with very many pages: AQE cuts the pages' side of its partition.
+    joined = own.join(settle(spread), "host", "left")
+    doubtful = (F.col("distrust") > LEAST_DISTRUST) & (F.col("distrust") > MARGIN * F.col("trust"))
     method = F.when(F.coalesce(doubtful, F.lit(False)), "block").otherwise("allow")
     return joined.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.coalesce("found.verdict", method).alias("verdict"))
