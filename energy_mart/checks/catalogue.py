@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from energy_mart.checks import aggregates, inputs, pages, profiling, projections, warehouse  # noqa: F401
+from energy_mart.checks import aggregates, inputs, loads, pages, profiling, projections, warehouse  # noqa: F401
 from energy_mart.checks.registry import QUERIES, SQL, Query
 
 

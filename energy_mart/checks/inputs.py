@@ -66,7 +66,7 @@ def company_points(spark, sf):
 PAYLOAD_VARIABLES = ("T2M", "WS10M")
 
 
-def _payloads(spark, sf):
+def supplier_payloads(spark, sf):
     """One JSON payload per supplier: two variables by month, a sentinel and a yearly key."""
     lines, supplier, nation = (st.table(spark, sf, t) for t in ("lineitem", "supplier", "nation"))
     monthly = lines.groupBy(
@@ -91,7 +91,7 @@ def _payloads(spark, sf):
     return (
         keyed.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("n_name").alias("empresa"), payload.alias("payload"))
+        .select("l_suppkey", F.col("n_name").alias("empresa"), payload.alias("payload"))
     )
 
 
@@ -106,7 +106,7 @@ SELECT n_name AS empresa, y AS ano, m AS mes, round(avg(q), 6) AS t2m,
 FROM m GROUP BY n_name, y, m
 """)
 def climate_payload(spark, sf):
-    rows = climate.monthly_climate(_payloads(spark, sf), variables=PAYLOAD_VARIABLES)
+    rows = climate.monthly_climate(supplier_payloads(spark, sf), variables=PAYLOAD_VARIABLES)
     return project.to_model(rows, schemas.CLIMATE).select(
         "empresa", "ano", "mes", F.round("t2m", 6).alias("t2m"), F.round("ws10m", 6).alias("ws10m")
     )
@@ -261,13 +261,13 @@ vertices AS (
 """
 
 
-def _zones(spark, sf):
+def staged_zones(spark, sf):
     return project.to_model(recipes.prepare_zones(st.zones_raw(spark, sf)), schemas.ZONES)
 
 
 @check("g2_zone_vertices", f"{VERTICES} SELECT * FROM vertices")
 def vertices(spark, sf):
-    return geo.zone_vertices(_zones(spark, sf)).drop("lon", "lat")
+    return geo.zone_vertices(staged_zones(spark, sf)).drop("lon", "lat")
 
 
 @check("g2_zone_boxes", f"""
@@ -276,7 +276,7 @@ SELECT id_objecto, count(*) AS vertices, CAST(max(part) + 1 AS INTEGER) AS parts
   max(lon) AS lon_max, min(lat) AS lat_min, max(lat) AS lat_max FROM lonlat GROUP BY id_objecto
 """)
 def boxes(spark, sf):
-    rows = geo.zone_boxes(_zones(spark, sf))
+    rows = geo.zone_boxes(staged_zones(spark, sf))
     return rows.withColumns({c: F.round(c, 7) for c in ("lon_min", "lon_max", "lat_min", "lat_max")})
 
 
@@ -286,7 +286,7 @@ SELECT id_objecto, operador, 'Zona no definida' AS zona, descripcion, round(area
   CAST(5367 AS INTEGER) AS srid FROM zones
 """)
 def records(spark, sf):
-    return geo.zone_records(_zones(spark, sf))
+    return geo.zone_records(staged_zones(spark, sf))
 
 
 @check("r10b_zones", f"""
@@ -294,7 +294,7 @@ WITH {st.ZONES}
 SELECT id_objecto, operador, descripcion, tipo_geometria FROM zones
 """)
 def recipe_zones(spark, sf):
-    return _zones(spark, sf).select("id_objecto", "operador", "descripcion", "tipo_geometria")
+    return staged_zones(spark, sf).select("id_objecto", "operador", "descripcion", "tipo_geometria")
 
 
 # ---- whole runs ---------------------------------------------------------------------
@@ -341,7 +341,7 @@ SELECT id_objecto, CASE WHEN id_objecto % 4 = 0 THEN 'NUEVO' ELSE operador END A
 """)
 def zone_merge(spark, sf):
     """Staged zones, then a batch that updates every fourth one and adds the even ones left out."""
-    zones = _zones(spark, sf)
+    zones = staged_zones(spark, sf)
     area = tables.Staging(spark, scratch_path(spark, "staging"))
     area.clear(["stg_zonas"])
     area.append("stg_zonas", zones.filter("id_objecto % 2 = 1 or id_objecto % 4 = 0"))

@@ -2,20 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from energy_mart.functions.geo import SRID, with_lon_lat
 from energy_mart.functions.text import zone_label
+from energy_mart.operators import quality
 
 PART_BREAK = r"\)\s*\)\s*,\s*\(\s*\("
 RING_BREAK = r"\)\s*,\s*\("
 RING_BODY = r"([-+0-9.eE,\s]+)[)\s]*$"
 
 
+_NUMBER = r"[-+]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:E[-+]?[0-9]+)?"
+# What is left of a well-formed text when points, then rings, then polygons are each written as one letter.
+_SHAPES = ("POINTr", "POLYGONs", "MULTIPOLYGON(s)")
+
+
+def _shape(wkt: Column) -> Column:
+    """The text with its points, rings and polygons folded into letters, in passes that are linear in its length."""
+    out = F.regexp_replace(F.upper(F.trim(wkt)), rf"{_NUMBER}\s+{_NUMBER}(?=\s*[,)])", "p")
+    out = F.regexp_replace(F.regexp_replace(out, r"\s+", ""), "(?<=p),p", "")
+    out = F.regexp_replace(F.regexp_replace(out, r"\(p\)", "r"), "(?<=r),r", "")
+    return F.regexp_replace(F.regexp_replace(out, r"\(r\)", "s"), "(?<=s),s", "")
+
+
+def zone_rules(wkt: Column) -> dict[str, Column]:
+    """Why a geometry text cannot be read; the first broken rule counts."""
+    shape, point = _shape(wkt), F.upper(F.trim(wkt)).startswith("POINT")
+    rings = F.transform(F.regexp_extract_all(wkt, F.lit(r"\(([^()]*)\)"), F.lit(1)), lambda r: F.split(r, ","))
+    pair = lambda p: F.transform(F.split(F.trim(p), r"\s+"), lambda n: n.try_cast("double"))
+    opened = F.exists(rings, lambda r: pair(F.element_at(r, 1)) != pair(F.element_at(r, -1)))
+    few = F.exists(rings, lambda r: F.size(r) < 4)
+    # A point has one pair of numbers.
+    found, rules, open_ = {
+        "no geometry": wkt.isNull(),
+        "not a geometry": ~shape.isin(*_SHAPES) | (point & wkt.contains(",")),
+        "a ring that is not closed": ~point & opened,
+        "a ring of fewer than four points": ~point & few,
+    }, {}, F.lit(True)
+    for reason, broken in found.items():
+        broken = F.coalesce(broken, F.lit(False))
+        rules[reason] = open_ & broken
+        open_ = open_ & ~broken
+    return rules
+
+
+def split_zones(zones: DataFrame, wkt: str = "coordenadas") -> tuple[DataFrame, DataFrame]:
+    """(zones whose whole geometry can be read, the others with their reasons)."""
+    return quality.split_rejects(zones, zone_rules(F.col(wkt)))
+
+
 def zone_vertices(zones: DataFrame, key: str = "id_objecto", wkt: str = "coordenadas") -> DataFrame:
-    """Rows (key, part, ring, vertex, x, y, lon, lat), all counted from 0."""
-    parts = zones.filter(F.col(wkt).isNotNull()).select(
+    """Rows (key, part, ring, vertex, x, y, lon, lat), all counted from 0.
+
+    Of the zones that ``split_zones`` accepts: a zone comes with all its points or not at all.
+    """
+    parts = split_zones(zones, wkt)[0].select(
         key, F.posexplode(F.split(wkt, PART_BREAK)).alias("part", "part_text")
     )
     rings = parts.select(

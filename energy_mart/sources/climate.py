@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from energy_mart.functions.dates import is_yearly_key
 from energy_mart.functions.numbers import lenient_double, lenient_int, sentinel_to_null
 from energy_mart.functions.text import clean_key
 from energy_mart.operators.project import trim_names
+from energy_mart.operators.quality import split_rejects
 from energy_mart.schemas import CLIMATE_VARIABLES
 from energy_mart.sources.files import read_csv
 
-PAYLOAD = "struct<properties:struct<parameter:map<string,map<string,double>>>>"
+SERIES = "$.properties.parameter"
+# Kinds of JSON values that stand for a measure; VOID is null.
+_NUMBER = r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT|VOID)$"
+_MONTH_KEY = r"^[0-9]{6}$"
 
 
 def clean_climate_keys(df: DataFrame) -> DataFrame:
@@ -36,10 +40,45 @@ def read_climate(spark: SparkSession, path: str) -> DataFrame:
     return clean_climate_keys(read_csv(spark, path))
 
 
+def _series(payload: Column, kind: str) -> Column:
+    """Variable -> key -> value; null if the payload has no such object."""
+    return F.try_variant_get(F.try_parse_json(payload), SERIES, f"map<string,map<string,{kind}>>")
+
+
+def payload_rules(payload: Column) -> dict[str, Column]:
+    """Why a payload cannot be read; a payload breaks one rule at most, or gives all its cells."""
+    raw = _series(payload, "variant")
+    series, text = F.map_values(raw), F.coalesce(payload, F.lit(""))
+    no_object = F.exists(series, lambda s: s.isNull())
+    strange_key = F.exists(series, lambda s: F.exists(F.map_keys(s), lambda k: ~k.rlike(_MONTH_KEY)))
+    no_number = F.exists(series, lambda s: F.exists(F.map_values(s), lambda v: ~F.schema_of_variant(v).rlike(_NUMBER)))
+    found, rules, open_ = {
+        "no payload": F.trim(text) == "",
+        "not JSON": F.try_parse_json(payload).isNull(),
+        "no series of variables": raw.isNull(),
+        "a variable without a series": no_object,
+        "a key that is not a month": strange_key,
+        "a value that is not a number": no_number,
+    }, {}, F.lit(True)
+    for reason, broken in found.items():
+        broken = F.coalesce(broken, F.lit(False))
+        rules[reason] = open_ & broken
+        open_ = open_ & ~broken
+    return rules
+
+
+def split_payloads(df: DataFrame, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """(rows whose payload can be read whole, the others with their reasons); both have all columns of ``df``."""
+    return split_rejects(df, payload_rules(F.col(payload)))
+
+
 def payload_cells(df: DataFrame, payload: str = "payload", keep: Sequence[str] = ()) -> DataFrame:
-    """Rows (*keep, variable, ym, value); the yearly key (month 13) is left out."""
-    parsed = F.from_json(F.col(payload), PAYLOAD)
-    series = df.select(*keep, F.explode(parsed["properties"]["parameter"]).alias("variable", "s"))
+    """Rows (*keep, variable, ym, value); the yearly key (month 13) is left out.
+
+    Of the payloads that ``split_payloads`` accepts; a payload with any part that cannot be read has no rows here.
+    """
+    readable, _ = split_payloads(df, payload)
+    series = readable.select(*keep, F.explode(_series(F.col(payload), "double")).alias("variable", "s"))
     cells = series.select(*keep, "variable", F.explode("s").alias("ym", "value"))
     return cells.filter(~is_yearly_key(F.col("ym")))
 
