@@ -36,6 +36,7 @@ CONSISTENCY = 2.0
 LEAST_VARIANCE = (0.01, 0.05, 0.25, 1.0)
 #: Distances are counted in bins of this width of their logarithm.
 BIN = 0.005
+ROW = "__row"
 AXES = ("x0", "x1", "x2", "x3")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -168,8 +169,12 @@ def judge(measured: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (all columns) that pass; ``docs`` must be a table read from files."""
-    place = F.monotonically_increasing_id()
-    measured = settle(measure(docs.select(place.alias("__row"), "lang", "source", "text")).drop("text"))
-    rejected = settle(judge(measured).filter(~F.col("kept")).select("__row"))
-    return docs.withColumn("__row", place).join(rejected, "__row", "left_anti").select(docs.columns)
+    """The rows of ``docs`` (all columns) that pass.
+
+    Rows are numbered in one settled copy, which all later steps read: places in another scan of the
+    same files depend on how many cores there are at that moment.
+    """
+    numbered = settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    measured = settle(measure(numbered.select(ROW, "lang", "source", "text")).drop("text"))
+    rejected = settle(judge(measured).filter(~F.col("kept")).select(ROW))
+    return numbered.join(rejected, ROW, "left_anti").select(docs.columns)

@@ -14,8 +14,8 @@ goes above MOST_REPEATS times its source's words, and what is above is shared ag
 (one row per source, like the list of weights) is all that reaches the driver.
 
 Null or empty text has no words and is never taken. Null doc_ids come first in their source;
-repeated rows are documents of their own. Reruns over the same files agree. ``docs`` must be a
-table read from files: rows are told apart by their place in it. Other columns are kept by ``mix``.
+repeated rows are documents of their own. Reruns agree, except that of rows with one doc_id and source the
+one that comes first may change. Rows are numbered in one settled copy. Other columns are kept by ``mix``.
 """
 
 from __future__ import annotations
@@ -33,6 +33,9 @@ from energy_mart.operators.numbering import running_total
 
 WEIGHTS, MOST_REPEATS = (5, 2, 1), 3
 BLOCK_WORDS, SHARD_SLOTS, SEED = 128, 4096, 20_240_229
+#: Shards whose slots one task writes.
+SHARDS_A_TASK = 64
+ROW = "__row"
 _ROUNDS = 6
 
 
@@ -64,10 +67,11 @@ def targets(sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def measure(docs: DataFrame) -> tuple[DataFrame, Sources]:
-    """Settled (row, doc_id, source, s, size), and the sources."""
+    """Settled (row, doc_id, source, s, size), and the sources; rows are numbered here unless ``docs`` has ROW."""
+    number = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
     rows = settle(
         docs.select(
-            F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source",
+            number.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source",
             F.size(words(F.col("text"))).cast("long").alias("size"),
         )
     )
@@ -138,7 +142,9 @@ def slots(spark, sources: Sources) -> DataFrame:
                         block[at] = _permuted(index[turn == t], int(blocks[x]), int(x) * MOST_REPEATS + int(t))
                 yield batch_of({"shard": ([shard] * n, pa.int64()), "s": (source, pa.int32()), "slot": (k, pa.int64()), "block": (block, pa.int64())})
 
-    return arrow_pass(numbered.select("shard", "s", "n", "upto"), fill, "shard long, s int, slot long, block long")
+    # Rows are few and small, the slots they make are many: the number of tasks follows the slots.
+    dealt = numbered.select("shard", "s", "n", "upto").repartition(max(1, -(-shards // SHARDS_A_TASK)), "shard")
+    return arrow_pass(dealt, fill, "shard long, s int, slot long, block long")
 
 
 def _parts(rows: DataFrame, sources: Sources) -> DataFrame:
@@ -172,10 +178,11 @@ def mix(docs: DataFrame) -> DataFrame:
     A document all of whose blocks are taken in a repeat keeps its text as it is; stretches that
     do not touch are joined by a line break.
     """
-    rows, sources = measure(docs)
+    numbered = settle(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    rows, sources = measure(numbered)
     parts = _parts(rows, sources).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("first", "last", "times"))).alias("__parts"))
-    sized = parts.join(rows.select("row", F.col("size").alias("__size")), "row").withColumnRenamed("row", "__row")
-    whole = docs.withColumn("__row", F.monotonically_increasing_id()).join(sized, "__row").drop("__row")
+    sized = parts.join(rows.select("row", F.col("size").alias("__size")), "row").withColumnRenamed("row", ROW)
+    whole = numbered.join(sized, ROW).drop(ROW)
     names = docs.columns
     at = names.index("text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

@@ -403,3 +403,63 @@ def test_pipeline_stages(docs, spark, tmp_path):
         elif name == "source mix":
             held = after
     assert sum(r.length for r in after) == sum(len(packing._tokenizer(TOKENIZER).encode(r.text, add_special_tokens=False).ids) + 1 for r in held)
+
+
+@pytest.mark.parametrize("step", [quality_rules.keep, source_mix.mix])
+def test_row_places_do_not_depend_on_the_cores(spark, tmp_path, monkeypatch, step):
+    """Files are cut differently in a second scan: the same documents must be kept, and cut at the same places."""
+    rng = random.Random(6)
+    texts = [(i, " ".join(prose(rng, 60 if i % 3 else 20)), "en", f"s{i % 3}", None) for i in range(400)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").repartition(6).write.parquet(path)
+    conf, scans = spark.conf, []
+
+    def cut():
+        # From the second settled table on, every scan packs its files another way.
+        scans.append(1)
+        conf.set("spark.sql.files.maxPartitionBytes", "4k" if len(scans) > 1 else "128m")
+        conf.set("spark.sql.files.openCostInBytes", "1" if len(scans) > 1 else "4m")
+
+    module = quality_rules if step is quality_rules.keep else source_mix
+    plain = module.settle
+
+    def settle(df):
+        out = plain(df)
+        cut()
+        return out
+
+    try:
+        want = sorted(map(tuple, step(spark.read.parquet(path)).collect()))
+        monkeypatch.setattr(module, "settle", settle)
+        assert sorted(map(tuple, step(spark.read.parquet(path)).collect())) == want
+    finally:
+        conf.unset("spark.sql.files.maxPartitionBytes")
+        conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_mix_takes_what_a_plain_loop_takes(spark, tmp_path):
+    """Blocks and slots by a loop over shards, sources and words."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(prose(rng, rng.randrange(0, 400))), "en", rng.choice(["a", "a", "b", None]), None) for i in range(70)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    got = {r.doc_id: r.taken for r in source_mix.taken_words(docs).collect()}
+    _, sources = source_mix.measure(docs)
+    times = defaultdict(int)
+    drawn = [source_mix.slots(spark, sources).collect()][0]
+    for r in drawn:
+        times[r.s, r.block] += 1
+    want = defaultdict(int)
+    for s, name in enumerate(sources.names):
+        at = 0
+        for doc_id, text, _, source, _ in sorted(rows):
+            if source == name:
+                for _ in range(words_of(text)):
+                    want[doc_id] += times[s, at // source_mix.BLOCK_WORDS]
+                    at += 1
+    assert got == {r[0]: want[r[0]] for r in rows}
+    counts = defaultdict(int)
+    for r in drawn:
+        counts[r.s] += 1
+    assert all(counts[s] == q for s, q in enumerate(sources.quotas))
