@@ -216,3 +216,43 @@ def wide_correlations(spark, sf):
     part = st.table(spark, sf, "part")
     cells = part.selectExpr(*[f"{_CELL.format(i=i)} AS c{i}" for i in range(COLUMNS)])
     return wide.wide_correlations(cells).withColumn("corr", F.round("corr", 6))
+
+
+@check("s14_split_records", """
+SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS texto, lang || ', "' || source || '"' AS notas, true AS en_rangos FROM documents
+""")
+def split_records(spark, sf):
+    """Texts with commas, quotes and line breaks; each file is read in many byte ranges."""
+    folder, size = scratch_path(spark, "split"), "spark.sql.files.maxPartitionBytes"
+    rows = st.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), "text", F.concat("lang", F.lit(', "'), "source", F.lit('"')).alias("notas")
+    )
+    files.write_csv(rows.coalesce(2), folder)
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        ranges = spark.read.text(folder).rdd.getNumPartitions()
+        read = files.read_csv_split(spark, folder)
+    finally:
+        spark.conf.set(size, before)
+    return read.select("id", F.md5("text").alias("texto"), "notas", F.lit(ranges > 4).alias("en_rangos"))
+
+
+@check("s1_many_layouts", """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS o_custkey,
+  CASE WHEN o_orderstatus <> 'O' THEN o_orderpriority END AS "clase, ""pedido"" de" FROM orders
+""")
+def many_layouts(spark, sf):
+    """Files of three layouts by year, with a comma and quotes in a header; headers are read by one job."""
+    orders = st.table(spark, sf, "orders").withColumn('clase, "pedido" de', F.col("o_orderpriority")).withColumn("y", F.year("o_orderdate"))
+    root = scratch_path(spark, "layouts")
+    layouts = {
+        "F": ['clase, "pedido" de', "o_custkey", "o_orderkey"],
+        "O": ["o_custkey", "o_orderkey"],
+        "P": ["o_orderkey", 'clase, "pedido" de'],
+    }
+    for status, columns in layouts.items():
+        chosen = orders.filter(F.col("o_orderstatus") == status).select("y", *[F.col(f"`{c}`") for c in columns])
+        chosen.write.partitionBy("y").options(header="true", escape='"').csv(f"{root}/{status}")
+    read = files.read_csv_files(spark, f"{root}/*/*/*.csv")
+    return read.select("o_orderkey", "o_custkey", '`clase, "pedido" de`')

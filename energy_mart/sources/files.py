@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from energy_mart.functions.numbers import lenient_double
 from energy_mart.functions.text import COMPANY_CODES, company_code
 from energy_mart.operators.project import quoted, require_columns, stack_by_name, trim_names
 from energy_mart.schemas import PLANT_REQUIRED, ZONE_REQUIRED, text_schema
+from energy_mart.session import hadoop_path, materialise
 
 # Cells that CSV readers of data frames take as missing.
 NA_WORDS = (
@@ -30,10 +32,12 @@ SURPLUS = "more cells than columns"
 
 
 def input_files(spark: SparkSession, path: str) -> list[str]:
-    """Files behind a path or glob, from Hadoop's listing; an empty list is an error."""
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    """Files behind a path, folder or glob, from Hadoop's listing; an empty list is an error."""
+    files, pattern = hadoop_path(spark, path)
+    found = []
+    for status in files.globStatus(pattern) or []:
+        listed = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [f for f in listed if f.isFile() and f.getPath().getName()[0] not in "._"]
     if not found:
         raise FileNotFoundError(f"no file matches {path}")
     return sorted(str(f.getPath()) for f in found)
@@ -107,18 +111,130 @@ def csv_rejects(
     return stack_by_name(frames)
 
 
+def read_csv_split(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    keep_na: bool = False,
+    surplus: str = "fail",
+    **options: str,
+) -> DataFrame:
+    """``read_csv`` for files with quoted line breaks, of which every byte range is read by a task of its own.
+
+    Whether a line begins a record depends on the quotes before it. Each range counts them from its own
+    start, for both answers at once; a running count over the ranges (one row each) then tells which one holds. Lines are written
+    once with these counts. Records of one line are parsed as they are; only lines of longer records are
+    brought together. A quote that is never closed makes the rest of its file one record, as for any reader.
+    Rows of a file keep no order. All files must have the same header.
+    """
+    paths = input_files(spark, path) if isinstance(path, str) else list(path)
+    separator = options.get("sep", ",")
+    if columns is None:
+        headers = set(_headers(spark, paths, options).values()) - {()}
+        if len(headers) != 1:
+            raise ValueError(f"{len(headers)} headers in {path}")
+        columns = headers.pop()
+    reader = spark.read.option("lineSep", "\n").option("encoding", options.get("encoding", "UTF-8"))
+    lines = reader.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.regexp_count("value", F.lit('"')).alias("quotes"),
+    )
+    in_range = Window.partitionBy("file", "start").orderBy("at")
+    inside = F.coalesce(F.sum("quotes").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    counted = lines.withColumn("inside", inside)
+    so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    for parity in (0, 1):
+        counted = counted.withColumn(f"n{parity}", F.sum((F.col("inside") == parity).cast("long")).over(so_far))
+    counted = materialise(counted)
+    ranges = counted.groupBy("file", "start").agg(
+        F.sum("quotes").alias("quotes"), F.max("n0").alias("n0"), F.max("n1").alias("n1")
+    )
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    parity = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
+    opened = ranges.withColumn("parity", parity).withColumn("opened", F.when(F.col("parity") == 0, F.col("n0")).otherwise(F.col("n1")))
+    known = materialise(opened.select("file", "start", "parity", F.coalesce(F.sum("opened").over(before), F.lit(0)).alias("earlier")))
+    own = F.when(F.col("parity") == 0, F.col("n0")).otherwise(F.col("n1"))
+    placed = counted.join(known, ["file", "start"]).withColumn("record", F.col("earlier") + own)
+    opens, closed = F.col("inside") == F.col("parity"), F.col("quotes") % 2 == 0
+    short = placed.filter(opens & closed).select("file", "record", F.col("value").alias(_RECORD))
+    parts = placed.filter(~(opens & closed)).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "at", "value"))).alias("parts"))
+    long = parts.select("file", "record", F.array_join(F.transform("parts", lambda p: p.value), "\n").alias(_RECORD))
+    body = short.unionByName(long).filter("record > 1").select("record", F.regexp_replace(_RECORD, r"\r$", "").alias(_RECORD)).filter(F.col(_RECORD) != "")
+    # A last cell that no record can hold shows where the record ends.
+    settings = {k: v for k, v in {**CSV_OPTIONS, **options}.items() if k in ("sep", "escape", "quote")}
+    mark, n = F.sha2(_RECORD, 256), len(columns)
+    wider = ", ".join(f"c{i} string" for i in range(n + 1))
+    cells = body.withColumn("__mark", mark).withColumn("__cells", F.from_csv(F.concat(_RECORD, F.lit(separator), mark), F.lit(wider), settings))
+    fits = F.coalesce(F.exists(F.array(*[F.col(f"__cells.c{i}") for i in range(n + 1)]), lambda c: c == F.col("__mark")), F.lit(False))
+    if surplus == "reject":
+        cells = cells.filter(fits)
+    else:
+        # The test names the record's number: else it would be pushed down to single lines.
+        cells = cells.filter(F.when(fits | (F.col("record") < 2), True).otherwise(F.raise_error(F.concat(F.lit(f"{SURPLUS}: "), F.col(_RECORD))).cast("boolean")))
+    words = [] if keep_na else [F.lit(w) for w in NA_WORDS]
+    value = lambda i: F.col(f"__cells.c{i}")
+    given = lambda i: (value(i) != F.col("__mark")) & (~value(i).isin(words) if words else F.lit(True))
+    return cells.select(*[F.when(given(i), value(i)).alias(c) for i, c in enumerate(columns)])
+
+
 def _layouts(spark: SparkSession, pattern: str, options: dict) -> dict[tuple[str, ...], list[str]]:
-    """Header -> its files; headers are read side by side."""
-    files = input_files(spark, pattern)
-    separator, encoding = options.get("sep", ","), options.get("encoding", "UTF-8")
-    with ThreadPoolExecutor(16) as pool:
-        headers = pool.map(lambda f: _header(spark, f, separator, encoding), files)
-        found: dict[tuple[str, ...], list[str]] = {}
-        for file, header in zip(files, headers):
-            found.setdefault(header, []).append(file)
+    """Header -> its files."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file, header in sorted(_headers(spark, input_files(spark, pattern), options).items()):
+        found.setdefault(header, []).append(file)
     return found
 
 
+def _headers(spark: SparkSession, files: Sequence[str], options: dict) -> dict[str, tuple[str, ...]]:
+    """Column names of each file, from its first record, read by one Spark job.
+
+    A file begins a partition of its own, whose task stops after the record. Should a partition
+    hold several files all the same, those not seen yet are read by another job.
+    """
+    separator, encoding = options.get("sep", ","), options.get("encoding", "UTF-8")
+    known = {_plain_path(spark, f): f for f in files}
+    found: dict[str, tuple[str, ...]] = {}
+
+    def first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text, of = "", None
+        for batch in batches:
+            for line, file, start in zip(*(c.to_pylist() for c in batch.columns)):
+                if start or (of is not None and file != of):
+                    return
+                of, text = file, f"{text}\n{line}" if of is not None else line
+                if text.count('"') % 2 == 0:  # no quoted line break is open
+                    yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([text])], names=["file", "header"])
+                    return
+
+    one_each = {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")}
+    before = {k: spark.conf.get(k) for k in one_each}
+    while len(found) < len(known):
+        rest = [f for p, f in known.items() if p not in found]
+        lines = spark.read.option("encoding", encoding).text(rest).select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+        )
+        for k, v in one_each.items():
+            spark.conf.set(k, v)
+        try:
+            rows = lines.mapInArrow(first_records, "file string, header string").collect()  # one per file
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        for row in rows:
+            cells = csv.reader(io.StringIO(row["header"].lstrip("\ufeff"), newline=""), delimiter=separator)
+            found[_plain_path(spark, row["file"])] = tuple(next(cells, ()))
+        if not rows:  # the others are empty
+            found |= {p: () for p in known if p not in found}
+    return {known[p]: header for p, header in found.items()}
+
+
+def _plain_path(spark: SparkSession, path: str) -> str:
+    """One way to write a path, given as Hadoop lists it or as Spark's file metadata does."""
+    if "%" not in path:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+
+
 def read_csv_files(
     spark: SparkSession, pattern: str, multiline: bool = False, **options: str
 ) -> DataFrame:
@@ -133,21 +249,6 @@ def read_csv_files(
     return stack_by_name(frames)
 
 
-def _header(spark: SparkSession, file: str, separator: str, encoding: str) -> tuple[str, ...]:
-    """Column names of one file: a metadata read of its first record only."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        line = reader.readLine() or ""
-        while line.count('"') % 2 and (more := reader.readLine()) is not None:
-            line += "\n" + more  # a quoted line break in the header
-    finally:
-        stream.close()
-    return tuple(next(csv.reader(io.StringIO(line.lstrip("\ufeff"), newline=""), delimiter=separator), ()))
-
-
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(header="true", escape='"').csv(path)
 
@@ -161,7 +262,7 @@ def read_plants(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    return require_columns(trim_names(read_csv(spark, path, multiline=True)), ZONE_REQUIRED)
+    return require_columns(trim_names(read_csv_split(spark, path)), ZONE_REQUIRED)
 
 
 def company_points(plants: DataFrame, codes: dict[str, str] = COMPANY_CODES) -> DataFrame:

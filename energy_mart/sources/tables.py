@@ -12,7 +12,7 @@ from energy_mart.operators.project import quoted
 from energy_mart.operators.quality import check_frame
 from energy_mart.schemas import CATALOGS, STAGING, STAGING_DEFAULTS, Field, staging_schema
 from energy_mart.session import empty_frame
-from energy_mart.sources.files import read_csv
+from energy_mart.sources.files import read_csv_split
 from energy_mart.sources.versions import State, Versions, merge_small
 
 
@@ -131,7 +131,7 @@ class Staging:
 
 def read_catalog(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """A dictionary file: quoted commas and newlines, columns renamed to lower case."""
-    rows = read_csv(spark, path, multiline=True)
+    rows = read_csv_split(spark, path)
     return rows.select(*[F.col(quoted(c)).alias(c.lower()) for c in columns])
 
 
