@@ -3,7 +3,7 @@
 ``phrases(docs)`` counts, per language, every phrase of up to MOST_WORDS words that occurs LEAST
 times or more; ``collocations(docs)`` scores and ranks those of two words and more.
 
-One pass over the texts per length. In each pass a task keeps, per prefix, a stripe: an associative
+Two passes over the texts per length. A task keeps, per prefix, a stripe: an associative
 counter of next words. Stripes are merged elementwise by Spark, as rows (lang, prefix, next, f), so
 the stripe of a very common prefix is spread over all tasks and combined before the shuffle. The
 stripe of the empty prefix holds the words; the entry of a phrase in its own prefix's stripe is that
@@ -14,7 +14,9 @@ entry of a phrase's own stripe, and the largest entry that ends in the phrase).
 A phrase cannot occur more often than its parts. So a pass counts only places where both parts
 that lack one word were frequent in the pass before; these are looked up in a bitmap of fixed largest
 size (BITS at most), whose false hits cost time only: every count is exact, and phrases below LEAST go
-after the merge. Arithmetic is on decimals of 38 digits.
+after the merge. Most of these places hold phrases that are rare after all, so their 64-bit hashes are
+counted first, and stripes are made of phrases whose hash is frequent: a collision lets a rare phrase through, none is lost.
+Arithmetic is on decimals of 38 digits.
 
 Null language: ``und``. Null or empty text has no words. Repeated rows count each time. Extra
 columns are not read. An empty table has no phrases. A text is worked on in slices that end
@@ -45,7 +47,8 @@ _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + 9 * _PIECE + _BLANK
 )
 _MIX, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-STRIPE = "lang string, prefix string, stripe array<struct<next:string,count:bigint>>"
+#: The stripes of a slice, laid end to end.
+STRIPES = "lang string, stripes array<struct<prefix:string,next:string,count:bigint>>"
 
 
 @dataclass
@@ -99,17 +102,31 @@ def placed_words(plain: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary, np.searchsorted(np.flatnonzero(mark), starts)
 
 
+def _places(hashes: np.ndarray, piece: np.ndarray, size: int, known: Known) -> np.ndarray:
+    """Where ``size`` words stand in one piece, both parts of one word less being known."""
+    part = known.has(hashes)
+    return np.flatnonzero(part[:-1] & part[1:] & (piece[: 1 - size] == piece[size - 1 :]))
+
+
+def _hash_counts(lang: bytes, plain: bytes, size: int, parts: Known) -> pa.RecordBatch:
+    """Hashes of the phrases of known parts in one slice, and how often each stands there."""
+    codes, dictionary, piece = placed_words(plain)
+    words = _word_hashes(dictionary)[codes]
+    places = _places(_phrase_hashes(lang, words, size - 1), piece, size, parts)
+    found, count = np.unique(_phrase_hashes(lang, words, size)[places], return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(count.astype(np.int64))], names=["h", "n"])
+
+
 def _stripes(lang: bytes, plain: bytes, size: int, known: Known | None) -> pa.RecordBatch | None:
-    """The stripes of the prefixes of ``size - 1`` words in one slice."""
+    """The stripes of the prefixes of ``size - 1`` words in one slice, in one row."""
     codes, dictionary, piece = placed_words(plain)
     k = len(dictionary)
     if size == 1:
         prefix, following, count = np.zeros(k, np.int64), np.arange(k), np.bincount(codes, minlength=k)
-        names = pa.array([b""] if k else [], pa.binary())
-        starts = np.arange(1 if k else 0)
+        names = pa.array([b""] * k, pa.binary())
     else:
-        part = known.has(_phrase_hashes(lang, _word_hashes(dictionary)[codes], size - 1))
-        places = np.flatnonzero(part[:-1] & part[1:] & (piece[: 1 - size] == piece[size - 1 :]))
+        words = _word_hashes(dictionary)[codes]
+        places = np.flatnonzero(known.has(_phrase_hashes(lang, words, size)) & (piece[: 1 - size] == piece[size - 1 :]))
         prefix = codes[places]
         for j in range(1, size - 1):
             prefix = np.unique(prefix * k + codes[places + j], return_inverse=True)[1]
@@ -120,31 +137,25 @@ def _stripes(lang: bytes, plain: bytes, size: int, known: Known | None) -> pa.Re
         else:
             found, first, count = np.unique(entry, return_index=True, return_counts=True)
         prefix, following = np.divmod(found, k) if k else (found, found)
-        starts = np.flatnonzero(np.diff(prefix, prepend=-1))
         if size == 2:
-            names = dictionary.take(pa.array(prefix[starts]))
+            names = dictionary.take(pa.array(prefix))
         else:
-            at = places[first[starts]]
+            at = places[first]
             names = pc.binary_join_element_wise(*[dictionary.take(pa.array(codes[at + j])) for j in range(size - 1)], _BLANK)
-    if not len(starts):
+    if not len(following):
         return None
     entries = pa.StructArray.from_arrays(
-        [dictionary.take(pa.array(following)).cast(pa.string()), pa.array(count.astype(np.int64))], ["next", "count"]
+        [names.cast(pa.string()), dictionary.take(pa.array(following)).cast(pa.string()), pa.array(count.astype(np.int64))],
+        ["prefix", "next", "count"],
     )
-    offsets = pa.array(np.append(starts, len(following)).astype(np.int32))
-    langs = pa.array([lang.decode()] * len(starts), pa.string())
-    stripe = pa.ListArray.from_arrays(offsets, entries)
-    return pa.RecordBatch.from_arrays([langs, names.cast(pa.string()), stripe], names=["lang", "prefix", "stripe"])
+    stripes = pa.ListArray.from_arrays(pa.array([0, len(entries)], pa.int32()), entries)
+    return pa.RecordBatch.from_arrays([pa.array([lang.decode()], pa.string()), stripes], names=["lang", "stripes"])
 
 
-def stripes(texts: DataFrame, size: int, known=None) -> DataFrame:
-    """(lang, prefix, next, f): merged stripes of the prefixes of ``size - 1`` words.
+def _per_slice(texts: DataFrame, work, schema: str) -> DataFrame:
+    """``work(lang, slice)`` for every slice of ``texts`` (lang, text as bytes)."""
 
-    ``texts`` has lang and text as bytes; ``known`` is a broadcast ``Known`` of the phrases one
-    word shorter.
-    """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, bodies = batch.column(0).dictionary_encode(), batch.column(1)
             of = langs.indices.to_numpy()
@@ -152,31 +163,51 @@ def stripes(texts: DataFrame, size: int, known=None) -> DataFrame:
                 # A piece ends with its text: texts of one language are joined by a line end.
                 text = _PIECE.join(bodies.take(pa.array(np.flatnonzero(of == code))).to_pylist())
                 for plain in slices(text):
-                    out = _stripes(lang.encode(), plain, size, known.value if known else None)
+                    out = work(lang.encode(), plain)
                     if out is not None:
                         yield out
 
-    entries = arrow_pass(texts, count, STRIPE).select("lang", "prefix", F.inline("stripe"))
-    return entries.groupBy("lang", "prefix", "next").agg(F.sum("count").alias("f"))
+    return arrow_pass(texts, run, schema)
+
+
+def stripes(texts: DataFrame, size: int, known=None) -> DataFrame:
+    """(lang, prefix, next, f): merged stripes of the prefixes of ``size - 1`` words.
+
+    ``known`` is a broadcast ``Known`` of the phrases to count; words are all counted.
+    """
+    entries = _per_slice(texts, lambda lang, plain: _stripes(lang, plain, size, known.value if known else None), STRIPES)
+    return entries.select("lang", F.inline("stripes")).groupBy("lang", "prefix", "next").agg(F.sum("count").alias("f"))
 
 
-def _known(frequent: DataFrame, size: int) -> Known:
-    """Bitmap of the phrases ``prefix next`` of ``size`` words."""
-    rows = frequent.count()
-    width = int(min(BITS, max(15, np.ceil(np.log2(16 * rows + 1)))))
+def frequent_hashes(texts: DataFrame, size: int, parts, least: int) -> DataFrame:
+    """(h): hashes that phrases of known parts (a broadcast ``Known``) have ``least`` times or more together."""
+    counted = _per_slice(texts, lambda lang, plain: _hash_counts(lang, plain, size, parts.value), "h long, n long")
+    return counted.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("h")
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def phrase_hashes(frequent: DataFrame, size: int) -> DataFrame:
+    """(h): hashes of the phrases ``prefix next`` of ``size`` words."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for lang, prefix, word in zip(*(c.to_pylist() for c in batch.columns)):
                 words = [*prefix.encode().split(_BLANK), word.encode()] if prefix else [word.encode()]
-                hashes = _phrase_hashes(lang.encode(), np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64), size)
-                out.append(int(hashes[0] >> np.uint64(64 - width)) + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["p"])
+                hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+                out.append(_phrase_hashes(lang.encode(), hashes, size).view(np.int64)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["h"])
+
+    return arrow_pass(frequent.select("lang", "prefix", "next"), hashed, "h long")
 
-    placed = arrow_pass(frequent.select("lang", "prefix", "next"), places, "p long")
-    # Rows of 4 KB, at most 2 ** (BITS - 15) of them. The built-ins count places and buckets from 1.
-    found = placed.groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+
+def bitmap(hashes: DataFrame, room: int) -> Known:
+    """Bitmap of settled ``hashes`` (h), with ``room`` bits or more for each while BITS allows."""
+    width = int(min(BITS, max(15, np.ceil(np.log2(room * hashes.count() + 1)))))
+    # The built-ins count places and buckets from 1. Rows of 4 KB, at most 2 ** (BITS - 15) of them.
+    place = F.shiftrightunsigned("h", 64 - width) + 1
+    found = hashes.select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")
+    )
     bits = np.zeros((1 << width) // 8, np.uint8)
     for row in found.collect():
         start = (row["bucket"] - 1) * 4096
@@ -194,12 +225,14 @@ def phrases(docs: DataFrame, least: int = LEAST, most_words: int = MOST_WORDS) -
     level = words.filter(F.col("f") >= least)
     levels = [level.withColumn("size", F.lit(1))]
     for size in range(2, most_words + 1):
-        bitmap = _known(level, size - 1)
-        if not bitmap.bits.any():
+        shorter = bitmap(settle(phrase_hashes(level, size - 1)), 16)
+        if not shorter.bits.any():
             break
-        known = spark.sparkContext.broadcast(bitmap)
+        parts = spark.sparkContext.broadcast(shorter)
+        known = spark.sparkContext.broadcast(bitmap(settle(frequent_hashes(texts, size, parts, least)), 1024))
         level = settle(stripes(texts, size, known).filter(F.col("f") >= least))
-        known.unpersist()
+        for used in (parts, known):
+            used.unpersist()
         levels.append(level.withColumn("size", F.lit(size)))
     out = levels[0]
     for part in levels[1:]:
