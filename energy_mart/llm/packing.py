@@ -2,12 +2,13 @@
 
 A document is its token ids and one end id. Whole windows are cut off its front; what remains is a
 rest of 1 to WINDOW - 1 tokens. The rests' lengths form a histogram of at most WINDOW - 1 numbers, which is
-all that reaches the driver. Patterns of two or three lengths (three only among the commonest) that fill a
-window are enumerated, their repeat counts are solved against the histogram by non-negative least
-squares, rounded down, and kept within what is there. Rests are numbered within their length over
-sorted partitions (one shuffle), so each finds its pattern and repeat by its number. Rests that no
-pattern takes are packed greedily, one after another, in steps of CUT tokens; one that meets a
-window's end is cut there. Checksums of cut pieces are joined from those of their stretches.
+all that reaches the driver. Patterns that fill a window are enumerated: two or three lengths (three only among the
+commonest), or a common length many times with one or two others. Their repeat counts are solved against the
+histogram by non-negative least squares, rounded down, and kept within what is there. Rests are numbered within their
+length over sorted partitions (one shuffle), so each finds its pattern and repeat by its number. Rests that no
+pattern takes are packed greedily, end to end on a tape; one that meets the end of a window's part of the tape is cut
+at its last stretch of CUT tokens before it, and a window has room for what the one before it so leaves over.
+Checksums of cut pieces are joined from those of their stretches.
 
 Null or empty text: the end id alone. Repeated rows are packed as often as they stand. Other columns
 are ignored. A text of any length is encoded word by word.
@@ -35,11 +36,14 @@ WINDOW, END_ID = 2048, 1
 #: Tokens between the places where a rest may be cut; each stretch has its checksum.
 CUT = 16
 #: Lengths that may stand in patterns of three, most common first; steps of the solver.
-COMMON, STEPS = 64, 400
+COMMON, STEPS, TRIES = 64, 400, 4
 KNOWN_WORDS = 300_000
 #: Texts encoded together.
 BATCH = 1500
 _GAPS, _SIGNS = re.compile(r"[ \n\t]+"), re.compile("[\x1c-\x1f]")
+#: Lower-case Latin-1 as the tokenizer cuts it where no apostrophe stands: letters, a number, other signs.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+_RUNS = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+")
 
 
 @lru_cache(maxsize=2)
@@ -50,16 +54,6 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class Known(dict):
-    """Word to ids; a word that is not held gives None and is noted."""
-
-    def __init__(self) -> None:
-        self.missing: list[str] = []
-
-    def __missing__(self, word: str) -> None:
-        self.missing.append(word)
-
-
 def _kind(byte: int) -> bytes:
     """Of a Latin-1 character: a stop, another sign, a separator the tokenizer takes for a sign, or none."""
     c = chr(byte)
@@ -78,7 +72,8 @@ def chunks(text: str) -> list[str]:
 
     The tokenizer lower-cases, and neither white space nor the seam between a letter or number
     and a lone full stop or comma is ever inside one of its words. Latin-1 text has one lower case
-    and one normal form, so it is lower-cased and cut there, which leaves fewer distinct stretches.
+    and one normal form, so it is lower-cased and cut there, which leaves fewer distinct stretches; where signs
+    stand together, it is cut at every seam of letters, numbers and signs, unless an apostrophe may start a word.
     """
     try:
         kinds = text.encode("latin-1").translate(_KINDS)
@@ -86,39 +81,45 @@ def chunks(text: str) -> list[str]:
         return _GAPS.split(text) if _SIGNS.search(text) else text.split()
     if b"c" in kinds:  # Python splits at these, the tokenizer does not
         return _GAPS.split(text)
-    if b"pp" in kinds or b"ps" in kinds or b"sp" in kinds or "<|" in text:
+    if "<|" in text:
         return text.split()
+    if b"pp" in kinds or b"ps" in kinds or b"sp" in kinds:
+        return text.lower().split() if "'" in text else _RUNS.findall(text.lower())
     return text.lower().replace(",", " , ").replace(".", " . ").split()
 
 
 class Encoder:
     """Ids of texts as bytes, little-endian unsigned 32 bits, with the end id.
 
-    A process encodes each distinct stretch once, until KNOWN_WORDS are remembered; later ones are
-    encoded for their batch of texts.
+    A process remembers KNOWN_WORDS stretches that it met in two batches of texts; others are encoded
+    for their batch.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
-        self.known = Known()
+        self.known: dict[str, bytes] = {}
+        self.met: set[int] = set()
         self.end = np.array([END_ID], "<u4").tobytes()
 
     def texts(self, texts: list[str | None]) -> list[bytes]:
-        rows = [chunks(t or "") for t in texts]
-        known, missing = self.known, self.known.missing
-        parts, marks = [], [0]
+        rows, known, met = [chunks(t or "") for t in texts], self.known, self.met
+        distinct: set[str] = set()
         for words in rows:
-            parts.append(list(map(known.__getitem__, words)))
-            marks.append(len(missing))
-        if missing:
-            new = self._words(list(set(missing)))
-            missing.clear()
-            if len(known) + len(new) <= KNOWN_WORDS:
-                known.update(new)
-            for i, words in enumerate(rows):
-                if marks[i] < marks[i + 1]:
-                    parts[i] = [new[w] if p is None else p for w, p in zip(words, parts[i])]
-        return [b"".join(p) + self.end for p in parts]
+            distinct.update(words)
+        missing = list(distinct.difference(known))
+        known.update(self._words(missing))
+        out = [b"".join(map(known.__getitem__, words)) + self.end for words in rows]
+        room = KNOWN_WORDS - len(known) + len(missing)
+        if len(met) > 4 * KNOWN_WORDS:
+            met.clear()
+        for word in missing:
+            mark = hash(word)
+            if mark in met and room > 0:
+                room -= 1
+            else:
+                met.add(mark)
+                del known[word]
+        return out
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of new stretches; Latin-1 words of letters are encoded many at a time."""
@@ -170,7 +171,7 @@ def encode(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
 
 
 def patterns(histogram: np.ndarray) -> list[tuple[int, ...]]:
-    """Combinations of two or three occurring lengths that fill a window exactly or nearly."""
+    """Shallow combinations of occurring lengths that fill a window exactly or nearly."""
     window = len(histogram)
     there = np.flatnonzero(histogram)
     found: dict[tuple[int, ...], None] = {}
@@ -184,6 +185,16 @@ def patterns(histogram: np.ndarray) -> list[tuple[int, ...]]:
             fits = there[: np.searchsorted(there, window - a - b, "right")]
             if len(fits) and window - a - b - fits[-1] < CUT:
                 found[tuple(sorted((int(a), int(b), int(fits[-1]))))] = None
+    for a in common.tolist():  # short rests: one length again and again, then what fits beside
+        for times in range(window // a, max(2, window // a - TRIES), -1):
+            pattern, left = [a] * times, window - a * times
+            for _ in range(2):
+                fits = there[: np.searchsorted(there, left, "right")]
+                if left >= CUT and len(fits):
+                    pattern.append(int(fits[-1]))
+                    left -= pattern[-1]
+            if left < CUT:
+                found[tuple(sorted(pattern))] = None
     return list(found)
 
 
@@ -257,11 +268,6 @@ def join_checksums(parts: list[int], words: list[int]) -> int:
     return total
 
 
-def _room(length):
-    """Tokens that a rest takes in a greedy window: whole stretches."""
-    return -(-length // CUT) * CUT
-
-
 def _placed(coded: DataFrame) -> DataFrame:
     """``coded`` settled in order of (rest, doc_id); part, place in it, whole windows before it there."""
     order = ["rest", "doc_id"]
@@ -302,11 +308,10 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     earlier = Window.orderBy("part").rangeBetween(Window.unboundedPreceding, -1)
     took = F.get(F.lit(taken.tolist()).cast("array<bigint>"), F.col("rest"))
     left = F.greatest(F.col("number") + F.col("n") - took, F.lit(0)) - F.greatest(F.col("number") - took, F.lit(0))
-    room = F.ceil(F.col("rest") / CUT) * CUT
     none = F.lit(0).cast("long")
     starts = settle(
         sums.withColumn("number", F.coalesce(F.sum("n").over(within), none))
-        .withColumn("ahead", left * room)
+        .withColumn("ahead", left * F.col("rest"))
         .withColumn("ahead", F.coalesce(F.sum("ahead").over(before), none))
         .withColumn("wholes", F.coalesce(F.sum("wholes").over(earlier), none))
         .select("part", "rest", "number", "first_row", "ahead", "wholes")
@@ -315,6 +320,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     inputs = ["doc_id", "doc_tokens", "whole", "rest", "rest_crc32", "stretches", "row", "wholes_before", "number", "first_row", "ahead", "wholes"]
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     key = lengths * (1 << 40) + firsts
+    # Of a window, the tape gives all but the most that a cut rest can bring along beyond it.
+    tape = window - CUT + 1
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -331,20 +338,21 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
                     sequence, offset = divmod(int(sequences[slot]), window)
                     out.append((doc, start, rest, crc, total, sequence + number - int(firsts[slot]), offset))
                     continue
-                begin = ahead + (number - max(int(taken[rest]), number - (row - first))) * _room(rest)
-                cut = (-begin) % window  # tokens of the rest before the next window begins
+                begin = ahead + (number - max(int(taken[rest]), number - (row - first))) * rest
+                cut = (-begin) % tape  # tokens of the rest before the next window's part begins
                 if not 0 < cut < rest:
-                    out.append((doc, start, rest, crc, total, tail + begin // window, begin % window))
+                    out.append((doc, start, rest, crc, total, tail + begin // tape, begin % tape))
                     continue
                 sizes = [min(CUT, rest - i) for i in range(0, rest, CUT)]
                 k = cut // CUT
                 for lo, hi, where in ((0, k, begin), (k, len(sizes), begin + cut)):
-                    joined = join_checksums(stretches[lo:hi], sizes[lo:hi])
-                    out.append((doc, start + lo * CUT, sum(sizes[lo:hi]), joined, total, tail + where // window, where % window))
+                    if lo < hi:
+                        joined = join_checksums(stretches[lo:hi], sizes[lo:hi])
+                        out.append((doc, start + lo * CUT, sum(sizes[lo:hi]), joined, total, tail + where // tape, where % tape))
             columns = list(zip(*out)) or [()] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[c.split()[0] for c in schema.split(", ")])
 
     pieces = arrow_pass(placed.join(F.broadcast(starts), ["part", "rest"]).select(inputs), rows, schema)
-    # Greedy windows hold whole stretches' room so far; a window's pieces then close up.
+    # Places on the tape so far; a window's pieces then close up.
     so_far = Window.partitionBy("sequence_id").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     return pieces.withColumn("offset", F.coalesce(F.sum("length").over(so_far), F.lit(0)).cast("long"))
