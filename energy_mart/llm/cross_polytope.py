@@ -88,20 +88,30 @@ def _hashed(rows: DataFrame, tables: int, probes: int) -> DataFrame:
 
 
 def _ranked(queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-    """The nearest ids of each query among the entries of one chunk."""
+    """The nearest ids of each query among the entries of one chunk.
+
+    Products of centred vectors give rough distances; all entries that rounding could put among the
+    nearest are then measured exactly, ties included.
+    """
     out: list[tuple[int, int, float]] = []
     if len(queries) and len(entries):
         have = np.stack(entries["embedding"].to_list()).astype(np.float64)
         ask = np.stack(queries["embedding"].to_list()).astype(np.float64)
-        keep = min(len(have), 2 * NEAREST + 6)
-        squares = (have**2).sum(axis=1)
+        ids, asking = entries["ids"].to_list(), queries["query_id"].to_list()
+        near, centre = min(len(have), NEAREST + 1), have.mean(axis=0)
+        middle = have - centre
+        squares = (middle**2).sum(axis=1)
+        far = np.sqrt(squares.max())
         for at in range(0, len(ask), 256):
             part = ask[at : at + 256]
-            rough = squares - 2 * part @ have.T
-            near = np.argpartition(rough, keep - 1, axis=1)[:, :keep]
-            exact = np.sqrt(((have[near] - part[:, None]) ** 2).sum(axis=2))
-            for query, places, far in zip(queries["query_id"].iloc[at : at + 256], near, exact):
-                found = sorted((d, i) for d, p in zip(far.tolist(), places) for i in entries["ids"].iloc[p] if i != query)
+            moved = part - centre
+            rough = squares - 2 * moved @ middle.T
+            doubt = 16 * np.finfo(float).eps * have.shape[1] * far * (far + 2 * np.linalg.norm(moved, axis=1))
+            limit = np.partition(rough, near - 1, axis=1)[:, near - 1] + doubt
+            for k, query in enumerate(asking[at : at + 256]):
+                places = np.flatnonzero(~(rough[k] > limit[k]))
+                exact = np.sqrt(((have[places] - part[k]) ** 2).sum(axis=1))
+                found = sorted((d, i) for d, p in zip(exact.tolist(), places.tolist()) for i in ids[p] if i != query)
                 out += [(query, i, d) for d, i in found[:NEAREST]]
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
