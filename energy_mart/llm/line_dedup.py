@@ -29,7 +29,9 @@ from energy_mart.session import empty_frame
 
 LEAST_DOCUMENTS = 10
 SLOTS, LOAD, KICKS = 4, 0.75, 200
-REFS = "shard int, k1 long, k2 long, refs long"
+#: Changed keys of a shard that one task works on at once, about.
+KEYS_A_SHARD = 2_000_000
+REFS = "shard int, k1 long, k2 long, refs long, generation int"
 FILTERS = "shard int, generation int, slots binary"
 
 
@@ -140,26 +142,29 @@ def _probe(changes: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
 def _refilter(edits: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
     """Filters of one shard without the removed keys, and one more for the added keys."""
     out, shard = [], int((edits if len(edits) else filters)["shard"].iloc[0])
-    gone = edits.loc[~edits["added"].astype(bool), "k1"].to_numpy(np.int64)
+    added = edits["added"].astype(bool)
     for generation, slots in zip(filters["generation"], filters["slots"]):
         held = _load(slots)
-        mine = held.has(gone)
-        held.remove(gone[mine])
-        gone = gone[~mine]
+        held.remove(edits.loc[~added & (edits["generation"] == generation), "k1"].to_numpy(np.int64))
         out.append((shard, int(generation), held.table.tobytes()))
-    new = edits.loc[edits["added"].astype(bool), "k1"].to_numpy(np.int64)
+    new = edits.loc[added]
     if len(new):
-        out.append((shard, max((g for _, g, _ in out), default=-1) + 1, Cuckoo.of(new).table.tobytes()))
+        out.append((shard, int(new["generation"].iloc[0]), Cuckoo.of(new["k1"].to_numpy(np.int64)).table.tobytes()))
     return pd.DataFrame(out, columns=["shard", "generation", "slots"])
 
 
 @dataclass
 class LineIndex:
-    """Counts of keys and the filters of their shards, both settled tables."""
+    """Counts of keys and the filters of their shards, both settled tables.
+
+    Each insertion makes a generation of filters; a key's row names the one that holds its fingerprint, so a
+    deletion takes the fingerprint out there and nowhere else.
+    """
 
     refs: DataFrame
     filters: DataFrame
     shards: int
+    generation: int = 0
 
     @classmethod
     def empty(cls, spark: SparkSession, shards: int | None = None) -> LineIndex:
@@ -182,20 +187,25 @@ class LineIndex:
             by = changes.groupBy("shard").cogroup(self.filters.groupBy("shard"))
             probed = by.applyInPandas(_probe, "k1 long, k2 long, change long, shard int, known int")
         probed = settle(probed)
-        fresh = probed.filter("known < 0 AND change > 0").select("shard", "k1", "k2", F.col("change").alias("refs"), F.lit(True).alias("added"))
+        newest = F.lit(self.generation)
+        fresh = probed.filter("known < 0 AND change > 0").select(
+            "shard", "k1", "k2", F.col("change").alias("refs"), newest.alias("generation"), F.lit(True).alias("added")
+        )
         seen = probed.filter("known >= 0")
         met = (
             self.refs.join(seen.select("k1", "k2", "change"), ["k1", "k2"], "full")
             .select(
                 F.coalesce("shard", shard).alias("shard"), "k1", "k2",
                 (F.coalesce("refs", F.lit(0)) + F.coalesce("change", F.lit(0))).alias("refs"),
+                F.coalesce("generation", newest).alias("generation"),
                 F.when(F.col("refs").isNull(), True).when(F.col("refs") + F.coalesce("change", F.lit(0)) <= 0, False).alias("added"),
             )
         )
         after = settle(met.unionByName(fresh))
-        edits = after.filter("added IS NOT NULL AND (refs > 0 OR NOT added)").select("shard", "k1", "added")
+        edits = after.filter("added IS NOT NULL AND (refs > 0 OR NOT added)").select("shard", "k1", "generation", "added")
         filters = edits.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(_refilter, FILTERS)
-        return LineIndex(after.filter("refs > 0").select("shard", "k1", "k2", "refs"), settle(filters), self.shards)
+        refs = after.filter("refs > 0").select("shard", "k1", "k2", "refs", "generation")
+        return LineIndex(refs, settle(filters), self.shards, self.generation + 1)
 
 
 def drop_lines(docs: DataFrame, keys: DataFrame, index: LineIndex, least: int = LEAST_DOCUMENTS) -> DataFrame:
@@ -234,5 +244,6 @@ def drop_lines(docs: DataFrame, keys: DataFrame, index: LineIndex, least: int =
 def dedup(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """Insert all ``docs`` into a new index and drop their frequent lines."""
     keys = settle(line_keys(docs))
-    index = LineIndex.empty(docs.sparkSession).insert(keys)
+    shards = max(partitions(docs.sparkSession), -(-keys.count() // KEYS_A_SHARD))
+    index = LineIndex.empty(docs.sparkSession, shards).insert(keys)
     return drop_lines(docs, keys, index, least)

@@ -9,18 +9,18 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 SQL = {
     "op1_line_dedup": f"""
-WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-placed AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM cut),
+WITH cut AS (SELECT doc_id, row_number() OVER () AS row, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+placed AS (SELECT doc_id, row, unnest(lines) AS line, unnest(range(len(lines))) AS place FROM cut),
 keyed AS (
   SELECT *, translate(trim(line, {_BLANKS}), '{_UPPER}', '{_LOWER}') AS key FROM placed
 ),
 frequent AS (
-  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10
 ),
 marked AS (SELECT k.*, f.key IS NULL AS stays FROM keyed k LEFT JOIN frequent f ON k.key = f.key)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), '')) AS kept_sha256
-FROM marked GROUP BY doc_id
+FROM marked GROUP BY doc_id, row
 """,
     "op10_ngram_jaccard_join": f"""
 WITH RECURSIVE cut AS (
