@@ -1,7 +1,7 @@
 """A training-data run over ``documents``: each stage works on all that the one before kept.
 
-Rejected documents go; frequent lines go from the rest; of each group of linked near copies the
-one with the smallest id stays; the sources are mixed to their target weights; and what is taken
+Rejected documents go; frequent lines go from the rest; of each group of near copies (five-word shingles,
+a similarity of 0.8 or more) the one with the smallest id stays; the sources are mixed to their target weights; and what is taken
 is packed into windows. ``n_chars`` follows the text.
 """
 
@@ -33,7 +33,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngram_join.one_of_each(docs).select(docs.columns)
+    # Stages on word shingles take five words and a similarity of 0.8.
+    return ngram_join.one_of_each(docs, 5, 80)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
