@@ -192,7 +192,9 @@ def _headers(spark: SparkSession, files: Sequence[str], options: dict) -> dict[s
     hold several files all the same, those not seen yet are read by another job.
     """
     separator, encoding = options.get("sep", ","), options.get("encoding", "UTF-8")
-    known = {_plain_path(spark, f): f for f in files}
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    # Spark's file metadata gives paths as URIs, with signs encoded.
+    known = {_plain_uri(path(f).toUri().toString()): f for f in files}
     found: dict[str, tuple[str, ...]] = {}
 
     def first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,17 +224,17 @@ def _headers(spark: SparkSession, files: Sequence[str], options: dict) -> dict[s
                 spark.conf.set(k, v)
         for row in rows:
             cells = csv.reader(io.StringIO(row["header"].lstrip("\ufeff"), newline=""), delimiter=separator)
-            found[_plain_path(spark, row["file"])] = tuple(next(cells, ()))
+            found[_plain_uri(row["file"])] = tuple(next(cells, ()))
         if not rows:  # the others are empty
             found |= {p: () for p in known if p not in found}
+        elif not found.keys() <= known.keys():
+            raise ValueError(f"files that were not listed: {sorted(found.keys() - known.keys())[:3]}")
     return {known[p]: header for p, header in found.items()}
 
 
-def _plain_path(spark: SparkSession, path: str) -> str:
-    """One way to write a path, given as Hadoop lists it or as Spark's file metadata does."""
-    if "%" not in path:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
-    return re.sub("^([a-z0-9]+):/+", r"\1:/", path)
+def _plain_uri(uri: str) -> str:
+    """One way to write the start of a path: file:/x and file:///x are the same."""
+    return re.sub("^([a-z0-9]+):/+", r"\1:/", uri)
 
 
 def read_csv_files(
