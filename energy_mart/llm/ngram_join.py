@@ -219,13 +219,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 hashes = [shingles(t.as_py(), known, size).tobytes() for t in batch.column(1)[at : at + 500]]
                 yield batch_of({"sig": ([xxhash.xxh3_128_digest(h) for h in hashes], pa.binary()), "hashes": (hashes, pa.binary())})
 
-    found = arrow_pass(chosen, rows, "sig binary, hashes binary")
+    found = _only(arrow_pass(chosen, rows, "sig binary, hashes binary"), wanted)
     return found.join(wanted.select("sig"), "sig", "left_semi").groupBy("sig").agg(F.any_value("hashes").alias("hashes"))
 
 
+def _only(sets: DataFrame, sigs: DataFrame) -> DataFrame:
+    """``sets`` without nearly all that are not in ``sigs`` (sig), before any of them is shuffled."""
+    return sets.filter(in_bitmap(sets.sparkSession, id_bitmap(sigs, "sig"), "sig"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose sets link."""
-    a, b = (sets.select(F.col("sig").alias(s), F.col("hashes").alias(f"set_{s}")) for s in "ab")
+    asked = _only(sets, pairs.select(F.explode(F.array("a", "b")).alias("sig")))
+    a, b = (asked.select(F.col("sig").alias(s), F.col("hashes").alias(f"set_{s}")) for s in "ab")
     both = pairs.select("a", "b").join(a, "a").join(b, "b")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -305,13 +311,17 @@ def _across(lists: DataFrame, groups: DataFrame | None, sets: DataFrame, percent
     asked = probes.groupBy("sig").agg(F.sort_array(F.collect_set("token")).alias("tokens"), *node)
     key = ["lead", "part", "piece"]
     importable(lists.sparkSession)
-    counted = asked.join(spread, "sig").groupBy(*key).cogroup(y.groupBy(*key)).applyInPandas(
+    # Little is read per task and much is done: AQE would put everything into a few tasks.
+    dealt = lambda df: df.repartition(partitions(lists.sparkSession), *key).groupBy(*key)
+    counted = dealt(asked.join(spread, "sig")).cogroup(dealt(y)).applyInPandas(
         lambda a, b: _counted(a, b, percent), "lead long, part long, piece long, sig binary, g binary, xs binary"
     )
     counted = settle(counted)
-    used = spread.join(counted.select(*key).distinct(), key, "left_semi").join(sets, "sig")
-    found = counted.join(sets.withColumnRenamed("hashes", "other"), "sig").withColumnRenamed("other", "hashes")
-    sides = used.groupBy(*key).cogroup(found.groupBy(*key))
+    probing = settle(spread.join(counted.select(*key).distinct(), key, "left_semi"))
+    used = probing.join(_only(sets, probing.select("sig")), "sig")
+    others = _only(sets, counted.select("sig")).withColumnRenamed("hashes", "other")
+    found = counted.join(others, "sig").withColumnRenamed("other", "hashes")
+    sides = dealt(used).cogroup(dealt(found))
     return sides.applyInPandas(lambda a, b: _first_links(a, b, percent), "a binary, b binary")
 
 
@@ -415,9 +425,14 @@ def groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Data
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` (all columns) without the documents that are not their group's smallest id.
+    """One row of each group of ``docs`` (all columns): the smallest id, null last; of equal ids the first row.
 
-    Rows without an id stay: nothing tells them apart.
+    Rows are numbered in one settled copy and grouped by these numbers, in order of (doc_id, place), so
+    rows without an id and rows that share one are told apart too. Texts without words stay.
     """
-    gone = settle(groups(docs, size, percent).filter("doc_id <> component_id").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti")
+    numbered = settle(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = settle(groups(numbered.select(F.col("__row").alias("doc_id"), "text"), size, percent))
+    own = found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "__row"))["__row"].alias("__row")
+    kept = numbered.select("__row", "doc_id").join(own, "__row").groupBy("__group").agg(first).select("__row")
+    return numbered.join(kept, "__row", "left_semi").select(docs.columns)

@@ -14,7 +14,7 @@ from samples import prose
 
 import corpus_pipeline
 from energy_mart.llm import cross_polytope, ngram_join, packing, quality_rules, source_mix, toxicity, url_graph
-from energy_mart.llm.common import components, id_bitmap, in_bitmap
+from energy_mart.llm.common import components, id_bitmap, in_bitmap, settle
 
 LOWER = {k: k + 32 for k in range(65, 91)}
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,7 +86,20 @@ def test_ngram_odd_rows(odd, none):
     assert ngram_join.groups(none).count() == 0
     got = sorted(map(tuple, ngram_join.groups(odd).collect()), key=repr)
     assert got == sorted([(5, 2, 5)] * 2 + [(None, 0, None), (None, 2, 5), (7, 0, 7), (5, 1, 5)], key=repr)
-    assert ngram_join.one_of_each(odd).columns == odd.columns
+    kept = ngram_join.one_of_each(odd)
+    # Of the three equal texts one stays, whatever their ids; texts without words all stay.
+    assert kept.columns == odd.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(
+        [(5, "alpha beta gamma delta epsilon"), (None, None), (7, ""), (5, "zeta eta")], key=repr
+    )
+    assert ngram_join.one_of_each(none).count() == 0
+
+
+def test_one_row_of_copies_without_ids(spark):
+    text = " ".join(prose(random.Random(1), 30))
+    rows = [(None, text)] * 4 + [(9, text), (9, text), (3, "other words here now")]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 9]
 
 
 def test_components_and_bitmap(spark):
@@ -192,7 +205,11 @@ def test_encoder_gives_the_tokenizers_ids(rows, monkeypatch):
     texts = [
         "", " ", None, "It's a\ttest", "a\u0301 \u0301b", "x<|endoftext|>y <|startoftext|>", "ÀÉ  ẞ İ\n\nΣΑΣ", "don't 'S 12345 §§!!",
         "a\u00a0b\u2003c\x1cd\x0be\x85f\u3000g", "a\x1f \x1d", "Word. word, WORD., .word ..., ªº µ. Éa,.", "loweischäft ñÿ. x'll", "a.b,c 1.5,2 x.,y a._ _.b end...", "it's. 'Tis, we'RE.", "ÀÖ<|ENDOFTEXT|>", "½. ²,³ a²b,", "·.a", *(r[1] for r in rows),
+        "theaes,%%% A.** b!!. ²,,³ x--Y..z «É»,,.", "it''s ,, 'S!! don't..", "a__b,, 12,,34 µ!ª",
     ]
+    rng = random.Random(3)
+    texts += ["".join(rng.choice("abÉß12²½.,!%'-_ \n\u00a0\u0085") for _ in range(60)) for _ in range(200)]
+    texts += ["".join(rng.choice("aÉ1.,!% ") for _ in range(60)) for _ in range(200)]
     want = [[*plain.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
     made = packing.Encoder(TOKENIZER)
     for _ in range(2):
@@ -203,6 +220,23 @@ def test_encoder_gives_the_tokenizers_ids(rows, monkeypatch):
     assert len(small.known) <= 20
 
 
+@pytest.mark.parametrize("words", [lambda rng: 16, lambda rng: rng.randrange(20, 46)])
+def test_short_documents_leave_little_padding(spark, words):
+    rng = random.Random(4)
+    texts = {i: " ".join(rng.choice(["the", "of", "and", "a"]) for _ in range(words(rng))) for i in range(5000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert check_pieces(packing.pack(df, TOKENIZER).collect(), texts) < 0.02
+
+
+def test_patterns_take_most_short_rests():
+    histogram = np.zeros(2048, np.int64)
+    histogram[20:46] = np.arange(3000, 400, -100)
+    chosen = packing.patterns(histogram)
+    whole = packing.repeats(histogram, chosen)
+    used = sum(np.bincount(p, minlength=2048) * n for p, n in zip(chosen, whole))
+    assert (used <= histogram).all() and used.sum() > 0.6 * histogram.sum()
+
+
 def test_least_squares_counts_fit_the_histogram():
     rng = np.random.default_rng(2)
     histogram = np.zeros(256, np.int64)
@@ -352,6 +386,25 @@ def test_distrust_climbs_through_domains_without_pages(spark):
     assert all(e in edges and e[::-1] in edges for e in chain) and not any("net" in e for e in edges)
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e8])
+def test_nearest_breaks_ties_by_id_and_survives_offsets(spark, offset):
+    rng = np.random.default_rng(8)
+    axes = np.eye(64)
+    rows = [(i, (offset + v).tolist()) for i, v in enumerate([*axes, *-axes, *rng.normal(size=(60, 64)), np.full(64, 0.5)])]
+    rows += [(500, rows[3][1]), (501, rows[3][1]), (501, rows[3][1])]
+    df = spark.createDataFrame([(*r, 1, "x", 0.5) for r in rows], "vec_id long, embedding array<double>, bucket int, ids string, score double")
+    usable = cross_polytope.usable(df)
+    got = defaultdict(list)
+    # Every bucket of a table is probed, so the answer must be exact.
+    for r in cross_polytope.nearest(usable, usable.filter("vec_id IN (3, 188, 501)"), 1, 1 << 20).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.score, r.vec_id))
+    have = {i: np.array(v) for i, v in rows}
+    for q in (3, 188, 501):
+        want = sorted((float(np.sqrt(((v - have[q]) ** 2).sum())), i) for i, v in have.items() if i != q)[:10]
+        assert got[q] == want
+    assert [i for _, i in got[188]] != sorted(range(100, 110))
+
+
 def test_ranks_match_power_iteration(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c")]
     seeds = [("a", 1.0, 0.0), ("d", 0.5, 1.0)]
@@ -378,6 +431,36 @@ def test_url_graph_of_odd_pages(spark):
     assert got == sorted([(0, "", None, "allow")] * 2 + [(1, "", None, "allow"), (2, "a.a.a.a.a.a.a.a.a.a.", "net/fr/", "block"), (None, "www.example.com", "www.example.com/en/", "allow")], key=repr)
 
 
+def five_word_groups(texts):
+    sets, out = [shingle_set(t, 5) for t in texts], []
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    for i in range(len(texts)):
+        out.append(find(i))
+    return out
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, odd, none):
+    for rows in (none, odd):
+        kept = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            after = settle(stage(spark, kept, ""))
+            assert after.columns == rows.columns, name
+            kept = after
+        assert corpus_pipeline.STAGES[-1][1](spark, kept, "").columns[:3] == ["doc_id", "start", "length"]
+
+
 def test_pipeline_stages(docs, spark, tmp_path):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert len(names) == 5
@@ -398,7 +481,7 @@ def test_pipeline_stages(docs, spark, tmp_path):
             assert [r.doc_id for r in sorted(after)] == [r.doc_id for r in sorted(before)]
         elif name == "n-gram Jaccard join":
             ordered = sorted(before)
-            want, _ = linked_groups([r.text for r in ordered])
+            want = five_word_groups([r.text for r in ordered])
             assert sorted(r.doc_id for r in after) == sorted({ordered[k].doc_id for k in want})
         elif name == "source mix":
             held = after
