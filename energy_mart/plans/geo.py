@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from energy_mart.functions.geo import SRID, with_lon_lat
 from energy_mart.functions.text import zone_label
 from energy_mart.operators import quality
+from energy_mart.session import materialise, spread
 
 PART_BREAK = r"\)\s*\)\s*,\s*\(\s*\("
 RING_BREAK = r"\)\s*,\s*\("
@@ -27,30 +28,32 @@ def _shape(wkt: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, r"\(r\)", "s"), "(?<=s),s", "")
 
 
-def zone_rules(wkt: Column) -> dict[str, Column]:
-    """Why a geometry text cannot be read; the first broken rule counts."""
+def zone_reason(wkt: Column) -> Column:
+    """Why a geometry text cannot be read: the first rule that it breaks, null if none. Later rules are not looked at."""
     shape, point = _shape(wkt), F.upper(F.trim(wkt)).startswith("POINT")
     rings = F.transform(F.regexp_extract_all(wkt, F.lit(r"\(([^()]*)\)"), F.lit(1)), lambda r: F.split(r, ","))
     pair = lambda p: F.transform(F.split(F.trim(p), r"\s+"), lambda n: n.try_cast("double"))
     opened = F.exists(rings, lambda r: pair(F.element_at(r, 1)) != pair(F.element_at(r, -1)))
     few = F.exists(rings, lambda r: F.size(r) < 4)
     # A point has one pair of numbers.
-    found, rules, open_ = {
-        "no geometry": wkt.isNull(),
-        "not a geometry": ~shape.isin(*_SHAPES) | (point & wkt.contains(",")),
-        "a ring that is not closed": ~point & opened,
-        "a ring of fewer than four points": ~point & few,
-    }, {}, F.lit(True)
-    for reason, broken in found.items():
-        broken = F.coalesce(broken, F.lit(False))
-        rules[reason] = open_ & broken
-        open_ = open_ & ~broken
-    return rules
+    return (
+        F.when(wkt.isNull(), "no geometry")
+        .when(~shape.isin(*_SHAPES) | (point & wkt.contains(",")), "not a geometry")
+        .when(~point & opened, "a ring that is not closed")
+        .when(~point & few, "a ring of fewer than four points")
+    )
 
 
 def split_zones(zones: DataFrame, wkt: str = "coordenadas") -> tuple[DataFrame, DataFrame]:
-    """(zones whose whole geometry can be read, the others with their reasons)."""
-    return quality.split_rejects(zones, zone_rules(F.col(wkt)))
+    """(zones whose whole geometry can be read, the others with their reasons).
+
+    Judging a text takes many passes over it, so rows are dealt over all tasks first, as a small file is one
+    task otherwise, and judged once: the reasons are settled, and both sides read them.
+    """
+    reasons = F.array_compact(F.array(zone_reason(F.col(wkt))))
+    marked = materialise(spread(zones).withColumn(quality.REASONS, reasons))
+    good = F.size(quality.REASONS) == 0
+    return marked.filter(good).drop(quality.REASONS), marked.filter(~good)
 
 
 def zone_vertices(zones: DataFrame, key: str = "id_objecto", wkt: str = "coordenadas") -> DataFrame:

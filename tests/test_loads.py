@@ -238,6 +238,13 @@ def test_a_very_long_ring_is_read(spark):
     assert geo.zone_vertices(df).count() == 60_001
 
 
+def test_zones_of_one_file_are_judged_by_all_tasks_and_once(spark, tmp_path):
+    spark.range(2000).selectExpr("CAST(id AS INT) AS id_objecto", f"'POLYGON (({RING}))' AS coordenadas").coalesce(1).write.parquet(str(tmp_path / "z"))
+    accepted, rejected = geo.split_zones(spark.read.parquet(str(tmp_path / "z")))
+    assert accepted.select(F.input_file_name()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "regexp" not in accepted._jdf.queryExecution().toString() + rejected._jdf.queryExecution().toString()
+
+
 # ---- wide correlations --------------------------------------------------------------
 
 @pytest.mark.parametrize("block", [3, 256])
@@ -257,6 +264,7 @@ def test_wide_correlations_equal_the_plain_ones(spark, block):
     assert all(r.corr is None and r.n == 0 for r in wide.wide_correlations(df.limit(0), ["c0", "c1"]).collect())
 
 
+
 # ---- CSV ranges and headers ---------------------------------------------------------
 
 TRICKY = [("1", "a,b", 'say "x"'), ("2", "two\nlines", ""), ("3", "\n\n", "NA"), ("4", '""\n"', "x" * 300), ("5", "é\nñ,\n\",\"", "z"), ("6", None, "end")]
