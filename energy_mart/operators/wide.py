@@ -24,12 +24,28 @@ _SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
 
 
 def _centres(df: DataFrame, names: Sequence[str], block: int) -> dict[str, float]:
-    """Mean of each column, to keep the sums of squares exact; a job per block of columns."""
+    """Mean of each column, to keep the sums of squares exact; a job per block of columns.
+
+    An aggregate of some hundred columns is not compiled, so columns are added up as one array too.
+    """
     out: dict[str, float] = {}
     for start in range(0, len(names), block):
         part = names[start : start + block]
-        row = df.agg(*[F.avg(quoted(c)).alias(f"m{i}") for i, c in enumerate(part)]).first()  # one row
-        out |= {c: row[f"m{i}"] or 0.0 for i, c in enumerate(part)}
+        m = len(part)
+
+        def add(batches: Iterator[pa.RecordBatch], m: int = m) -> Iterator[pa.RecordBatch]:
+            n, total = np.zeros(m), np.zeros(m)
+            for batch in batches:
+                flat = batch.column(0).flatten()
+                n += np.asarray(flat.is_valid()).reshape(-1, m).sum(0)
+                total += np.asarray(flat.fill_null(0.0)).reshape(-1, m).sum(0)
+            columns = [pa.array(np.arange(m, dtype=np.int32)), pa.array(n), pa.array(total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["i", "n", "total"])
+
+        cells = df.select(F.array(*[F.col(quoted(c)) for c in part]).alias("v"))
+        sums = cells.mapInArrow(add, "i int, n double, total double").groupBy("i").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+        found = {r["i"]: r["total"] / r["n"] for r in sums.filter("n > 0").collect()}  # a row per column
+        out |= {c: found.get(i, 0.0) for i, c in enumerate(part)}
     return out
 
 

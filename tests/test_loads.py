@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from test_star import counts, sample
 
 from energy_mart import schemas
+from energy_mart.checks import loads
 from energy_mart.operators import profile, quality, wide
 from energy_mart.plans import geo, jobs, star
 from energy_mart.sources import climate, files, tables
@@ -264,6 +265,20 @@ def test_wide_correlations_equal_the_plain_ones(spark, block):
     assert all(r.corr is None and r.n == 0 for r in wide.wide_correlations(df.limit(0), ["c0", "c1"]).collect())
 
 
+def test_wide_cells_of_one_file_are_made_by_all_tasks(spark, tmp_path, monkeypatch):
+    cells = "id AS p_partkey", "CAST(id AS DOUBLE) AS p_retailprice", "CAST(id % 50 AS INT) AS p_size", "'x' AS p_name"
+    spark.range(3000).selectExpr(*cells).coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(wide, "wide_correlations", lambda df: df.select("c0", F.spark_partition_id().alias("corr")))
+    made = loads.wide_correlations(spark, str(tmp_path))
+    assert made.count() == 3000 and made.select("corr").distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_centres_of_wide_columns(spark):
+    df = spark.range(10, numPartitions=3).selectExpr("IF(id % 2 = 0, 1e6 + id, NULL) AS a", "CAST(NULL AS DOUBLE) AS b", "CAST(id AS DOUBLE) AS c")
+    assert wide._centres(df, ["a", "b", "c"], 2) == {"a": 1e6 + 4, "b": 0.0, "c": 4.5}
+    assert wide._centres(df.limit(0), ["a", "b", "c"], 2) == {"a": 0.0, "b": 0.0, "c": 0.0}
+
+
 
 # ---- CSV ranges and headers ---------------------------------------------------------
 
