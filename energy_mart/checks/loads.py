@@ -228,7 +228,7 @@ def split_records(spark, sf):
     rows = st.table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), "text", F.concat("lang", F.lit(', "'), "source", F.lit('"')).alias("notas")
     )
-    files.write_csv(rows.coalesce(2), folder)
+    files.write_csv(rows, folder)
     before = spark.conf.get(size)
     spark.conf.set(size, "64k")
     try:

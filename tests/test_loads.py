@@ -317,3 +317,13 @@ def test_headers_are_read_by_a_job(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     found = files._layouts(spark, str(tmp_path / "*.csv"), {})
     assert {h: [f.rsplit("/", 1)[1] for f in fs] for h, fs in found.items()} == {("x", "y\nz"): ["a b%.csv"], ("x", "w"): ["c.csv"], (): ["empty.csv"]}
+
+
+def test_texts_are_written_by_as_many_tasks_as_read_them(spark, tmp_path, monkeypatch):
+    cells = "id AS doc_id", "repeat('a, \"b\"\n', 1000) AS text", "'en' AS lang", "'s' AS source"
+    spark.range(60, numPartitions=6).selectExpr(*cells).write.parquet(str(tmp_path / "documents.parquet"))
+    write, tasks = files.write_csv, []
+    monkeypatch.setattr(files, "write_csv", lambda df, path: (tasks.append(df.rdd.getNumPartitions()), write(df, path)))
+    got = loads.split_records(spark, str(tmp_path))
+    assert got.filter("en_rangos").count() == 60 and got.select("texto").distinct().count() == 1
+    assert tasks == [spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions()] and tasks[0] > 2
