@@ -5,6 +5,9 @@ Money sums go through decimals, so both engines agree to the last digit.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from energy_mart import schemas
 from energy_mart.functions import text
 from energy_mart.operators.project import to_model
 from energy_mart.plans import recipes
-from energy_mart.session import empty_frame, materialise
+from energy_mart.session import empty_frame, materialise, shared_dir
 from energy_mart.sources.climate import clean_climate_keys
 
 MONEY = "decimal(18,2)"
@@ -393,7 +396,7 @@ STAGED = ",".join([PRICES, CLIMATE, PLANTS, ZONES, DISTRIBUTION, FUELS])
 # ---- staging frames through the recipes ---------------------------------------------
 
 def staging(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = None):
-    """Staging tables of the stand-ins, stored once; ``only`` leaves the others empty."""
+    """Staging tables of the stand-ins, stored once, side by side; ``only`` leaves the others empty."""
     build = {
         "stg_clima_nasa": lambda: recipes.prepare_climate(
             clean_climate_keys(climate_raw(spark, sf_dir))
@@ -406,10 +409,11 @@ def staging(spark: SparkSession, sf_dir: str, only: tuple[str, ...] | None = Non
         "stg_distribucion": lambda: recipes.prepare_distribution(distribution_raw(spark, sf_dir)),
         "stg_hidrocarburos": lambda: recipes.prepare_fuels(fuels_raw(spark, sf_dir)),
     }
-    out = {}
-    for name, fields in schemas.STAGING.items():
-        if only is None or name in only:
-            out[name] = materialise(to_model(build[name](), fields))
-        else:
-            out[name] = empty_frame(spark, schemas.staging_schema(fields))
-    return out
+    wanted = [name for name in schemas.STAGING if only is None or name in only]
+    shared_dir(spark)  # set once, before the threads ask for it
+    with ThreadPoolExecutor(max(1, len(wanted))) as pool:
+        store = lambda name: materialise(to_model(build[name](), schemas.STAGING[name]))
+        running = {name: pool.submit(inheritable_thread_target(spark)(store), name) for name in wanted}
+        stored = {name: future.result() for name, future in running.items()}
+    empty = lambda fields: empty_frame(spark, schemas.staging_schema(fields))
+    return {name: stored[name] if name in stored else empty(fields) for name, fields in schemas.STAGING.items()}

@@ -492,10 +492,11 @@ class Star:
              lambda: self._dimension("dim_central_electrica", plant_rows(staging, dims["dim_ubicacion"]))),
             *((step, name, lambda n=name, rows=rows: self._fact(n, rows(staging, dims), update_facts))
               for step, name, rows in facts),
+            (13, "dim_zona_concesion", lambda: self._upsert_zones(zone_rows(staging))),
         )
+        # After the facts, whose companies are those of step 2.
         audit += self._together(
             (12, "dim_empresa_zonas", lambda: self._dimension("dim_empresa", zone_company_rows(staging))),
-            (13, "dim_zona_concesion", lambda: self._upsert_zones(zone_rows(staging))),
         )
         table, key, grain = BRIDGE
         links = bridge_rows(self.read("dim_zona_concesion"), self.read("dim_empresa"))

@@ -1,10 +1,12 @@
+from threading import Barrier
+
 import pytest
 from helpers import bag, frame, rows
 from pyspark.sql import functions as F
 from test_star import counts, sample
 
 from energy_mart import schemas
-from energy_mart.checks import loads
+from energy_mart.checks import loads, standins
 from energy_mart.operators import profile, quality, wide
 from energy_mart.plans import geo, jobs, star
 from energy_mart.sources import climate, files, tables
@@ -327,3 +329,10 @@ def test_texts_are_written_by_as_many_tasks_as_read_them(spark, tmp_path, monkey
     got = loads.split_records(spark, str(tmp_path))
     assert got.filter("en_rangos").count() == 60 and got.select("texto").distinct().count() == 1
     assert tasks == [spark.read.parquet(str(tmp_path / "documents.parquet")).rdd.getNumPartitions()] and tasks[0] > 2
+
+
+def test_staging_tables_are_stored_side_by_side(spark, monkeypatch):
+    both, store = Barrier(2, timeout=60), standins.materialise
+    monkeypatch.setattr(standins, "materialise", lambda df: (both.wait(), store(df))[1])
+    staged = standins.staging(spark, "/root/testdata/sf0.001", ("stg_centro", "stg_zonas"))
+    assert list(staged) == list(schemas.STAGING) and staged["stg_zonas"].count() > 0 and staged["stg_clima_nasa"].count() == 0
