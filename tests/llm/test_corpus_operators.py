@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -488,6 +489,22 @@ def test_pipeline_stages(docs, spark, tmp_path):
     assert sum(r.length for r in after) == sum(len(packing._tokenizer(TOKENIZER).encode(r.text, add_special_tokens=False).ids) + 1 for r in held)
 
 
+def test_a_stage_deletes_what_the_one_before_settled(spark, docs, tmp_path):
+    made = lambda: [Path(t._settled_in) for t in corpus_pipeline._LEFT[spark.sparkContext.applicationId, "f"]]
+    (_, first), (_, second) = corpus_pipeline.STAGES[:2]
+    out = first(spark, docs, "f")
+    out.write.parquet(str(tmp_path / "kept"))
+    before = made()
+    assert before and all(p.exists() for p in before)
+    want = sorted(map(tuple, second(spark, spark.read.parquet(str(tmp_path / "kept")), "f").collect()), key=repr)
+    assert not any(p.exists() for p in before)
+    # A stage over rows that are not settled leaves the tables behind them.
+    out = first(spark, docs, "f")
+    before = made()
+    assert sorted(map(tuple, second(spark, out, "f").collect()), key=repr) == want
+    assert all(p.exists() for p in before)
+
+
 @pytest.mark.parametrize("step", [quality_rules.keep, source_mix.mix])
 def test_row_places_do_not_depend_on_the_cores(spark, tmp_path, monkeypatch, step):
     """Files are cut differently in a second scan: the same documents must be kept, and cut at the same places."""
