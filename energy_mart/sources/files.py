@@ -7,7 +7,9 @@ import io
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from energy_mart.functions.numbers import lenient_double
 from energy_mart.functions.text import COMPANY_CODES, company_code
 from energy_mart.operators.project import quoted, require_columns, stack_by_name, trim_names
 from energy_mart.schemas import PLANT_REQUIRED, ZONE_REQUIRED, text_schema
-from energy_mart.session import hadoop_path, materialise
+from energy_mart.session import hadoop_path, materialise, session_with
 
 # Cells that CSV readers of data frames take as missing.
 NA_WORDS = (
@@ -29,6 +31,10 @@ CSV_OPTIONS = {
 }
 _RECORD = "__record"
 SURPLUS = "more cells than columns"
+#: What a task reads at least, of byte ranges that are smaller.
+TASK_BYTES = 16 << 20
+#: No file is as long, and the sum over a million of them is still a number of 64 bits.
+WHOLE_FILE = str(1 << 40)
 
 
 def input_files(spark: SparkSession, path: str) -> list[str]:
@@ -119,12 +125,13 @@ def read_csv_split(
     surplus: str = "fail",
     **options: str,
 ) -> DataFrame:
-    """``read_csv`` for files with quoted line breaks, of which every byte range is read by a task of its own.
+    """``read_csv`` for files with quoted line breaks, which are read by byte ranges, each apart from all others.
 
-    Whether a line begins a record depends on the quotes before it. Each range counts them from its own
-    start, for both answers at once; a running count over the ranges (one row each) then tells which one holds. Lines are written
-    once with these counts. Records of one line are parsed as they are; only lines of longer records are
-    brought together. A quote that is never closed makes the rest of its file one record, as for any reader.
+    Whether a line begins a record depends on the quotes before it. A first pass counts them by range; a running
+    count over the ranges (one row each) then tells whether a range begins within a record, and which one opened it. A second
+    pass cuts each range into records: those that lie within it are settled as they are, and only parts of the others are
+    brought together. Ranges that are small against ``TASK_BYTES`` share tasks, as a task costs more than they do.
+    A quote that is never closed makes the rest of its file one record, as for any reader.
     Rows of a file keep no order. All files must have the same header.
     """
     paths = input_files(spark, path) if isinstance(path, str) else list(path)
@@ -134,49 +141,132 @@ def read_csv_split(
         if len(headers) != 1:
             raise ValueError(f"{len(headers)} headers in {path}")
         columns = headers.pop()
-    reader = spark.read.option("lineSep", "\n").option("encoding", options.get("encoding", "UTF-8"))
-    lines = reader.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("at"), F.regexp_count("value", F.lit('"')).alias("quotes"),
+    pieces = _record_pieces(spark, paths, options.get("encoding", "UTF-8"))
+    parts = pieces.filter("opener IS NOT NULL").groupBy("opener").agg(
+        F.max("header").alias("skip"), F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("parts")
     )
-    in_range = Window.partitionBy("file", "start").orderBy("at")
-    inside = F.coalesce(F.sum("quotes").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    counted = lines.withColumn("inside", inside)
-    so_far = in_range.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    for parity in (0, 1):
-        counted = counted.withColumn(f"n{parity}", F.sum((F.col("inside") == parity).cast("long")).over(so_far))
-    counted = materialise(counted)
-    ranges = counted.groupBy("file", "start").agg(
-        F.sum("quotes").alias("quotes"), F.max("n0").alias("n0"), F.max("n1").alias("n1")
-    )
-    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    parity = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
-    opened = ranges.withColumn("parity", parity).withColumn("opened", F.when(F.col("parity") == 0, F.col("n0")).otherwise(F.col("n1")))
-    known = materialise(opened.select("file", "start", "parity", F.coalesce(F.sum("opened").over(before), F.lit(0)).alias("earlier")))
-    own = F.when(F.col("parity") == 0, F.col("n0")).otherwise(F.col("n1"))
-    placed = counted.join(known, ["file", "start"]).withColumn("record", F.col("earlier") + own)
-    opens, closed = F.col("inside") == F.col("parity"), F.col("quotes") % 2 == 0
-    short = placed.filter(opens & closed).select("file", "record", F.col("value").alias(_RECORD))
-    parts = placed.filter(~(opens & closed)).groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "at", "value"))).alias("parts"))
-    long = parts.select("file", "record", F.array_join(F.transform("parts", lambda p: p.value), "\n").alias(_RECORD))
-    body = short.unionByName(long).filter("record > 1").select("record", F.regexp_replace(_RECORD, r"\r$", "").alias(_RECORD)).filter(F.col(_RECORD) != "")
+    long = parts.select("skip", F.array_join(F.transform("parts", lambda p: p.piece), "\n").alias(_RECORD))
+    records = pieces.select(F.col("opener").isNotNull().alias("skip"), F.col("piece").alias(_RECORD)).unionByName(long)
+    ended = F.when(F.col(_RECORD).contains("\r"), F.regexp_replace(_RECORD, r"\r$", "")).otherwise(F.col(_RECORD))
+    body = records.filter(~F.col("skip")).select(ended.alias(_RECORD)).filter(F.col(_RECORD) != "")
     # A last cell that no record can hold shows where the record ends.
     settings = {k: v for k, v in {**CSV_OPTIONS, **options}.items() if k in ("sep", "escape", "quote")}
     mark, n = F.sha2(_RECORD, 256), len(columns)
     wider = ", ".join(f"c{i} string" for i in range(n + 1))
-    cells = body.withColumn("__mark", mark).withColumn("__cells", F.from_csv(F.concat(_RECORD, F.lit(separator), mark), F.lit(wider), settings))
+    split = F.from_csv(F.concat(_RECORD, F.lit(separator), "__mark"), F.lit(wider), settings)
+    # Tests on what a generator returns stay behind it, so a record is split once and not once for every test of its cells.
+    cells = body.withColumn("__mark", mark).select(F.inline(F.array(F.struct(_RECORD, "__mark", split.alias("__cells")))))
     fits = F.coalesce(F.exists(F.array(*[F.col(f"__cells.c{i}") for i in range(n + 1)]), lambda c: c == F.col("__mark")), F.lit(False))
     if surplus == "reject":
         cells = cells.filter(fits)
     else:
-        # The test names the record's number: else it would be pushed down to single lines.
-        cells = cells.filter(F.when(fits | (F.col("record") < 2), True).otherwise(F.raise_error(F.concat(F.lit(f"{SURPLUS}: "), F.col(_RECORD))).cast("boolean")))
+        cells = cells.filter(F.when(fits, True).otherwise(F.raise_error(F.concat(F.lit(f"{SURPLUS}: "), F.col(_RECORD))).cast("boolean")))
     words = [] if keep_na else [F.lit(w) for w in NA_WORDS]
     value = lambda i: F.col(f"__cells.c{i}")
     given = lambda i: (value(i) != F.col("__mark")) & (~value(i).isin(words) if words else F.lit(True))
     return cells.select(*[F.when(given(i), value(i)).alias(c) for i, c in enumerate(columns)])
 
 
+def _record_pieces(spark: SparkSession, paths: Sequence[str], encoding: str) -> DataFrame:
+    """Settled rows (piece, opener, start, header) of records, without headers that lie within one range.
+
+    A record within one byte range is one piece without an opener. Others have a piece per range, with the
+    number of the range that opens the record; ``header`` marks those that are the first of their file.
+    """
+    # Both passes must see the same ranges, so what these depend on is held in a session of their own.
+    cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or str(spark.sparkContext.defaultParallelism)
+    least = "spark.sql.files.minPartitionNum"
+    own = session_with(spark, {least: spark.conf.get(least, None) or cores})
+    text = own.read.option("lineSep", "\n").option("encoding", encoding).text(list(paths))
+    if own.conf.get("spark.sql.files.maxPartitionNum", None) is None:
+        size = int(text._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        own.conf.set("spark.sql.files.maxPartitionNum", str(max(size // TASK_BYTES, int(cores))))
+    lines = text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    counted = lines.select("file", "start", F.monotonically_increasing_id().alias("at"), quotes.cast("long").alias("quotes"))
+    ranges = counted.groupBy("file", "start").agg(
+        F.sum("quotes").alias("quotes"), F.min("at").alias("range"), F.max("at").alias("last"),
+        F.min(F.when(F.col("quotes") % 2 == 1, F.col("at"))).alias("turn"),
+    )
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    parity = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
+    # Within a record, a line opens another one only if it comes after a line with an odd count.
+    opens = (F.col("parity") == 0) | F.coalesce(F.col("turn") < F.col("last"), F.lit(False))
+    opener = F.last(F.when(opens, F.col("range")), ignorenulls=True).over(before)
+    known = materialise(
+        ranges.withColumn("parity", parity).select("file", "start", "range", "parity", F.coalesce(opener, F.lit(-1)).alias("earlier"))
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] = []  # lines of the record that is not ended
+        at, start, earlier, inside, opened, header = None, 0, -1, 0, False, False
+        whole: list[pa.Array] = []
+        parts: list[tuple[int, int, bool]] = []  # of the pieces that follow ``whole``
+        pieces: list[pa.Array] = []
+
+        def end(closed: bool) -> None:
+            nonlocal held, header
+            if held:
+                lines = pa.concat_arrays(held)
+                if not opened or not closed:
+                    parts.append((at if opened else earlier, start, opened and header))
+                    pieces.append(joined([0, len(lines)], lines))
+                elif not header:
+                    whole.append(joined([0, len(lines)], lines))
+                header = header and not opened
+                held = []
+
+        def joined(bounds: Sequence[int], lines: pa.Array) -> pa.Array:
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), lines), pa.scalar("\n", lines.type))
+
+        def batch_of(kind: pa.DataType) -> pa.RecordBatch:
+            none = sum(map(len, whole))
+            columns = [
+                pa.concat_arrays([pa.array([], kind), *whole, *pieces]),
+                pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array([int(p[0]) for p in parts], pa.int64())]),
+                pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array([int(p[1]) for p in parts], pa.int64())]),
+                pa.concat_arrays([pa.nulls(none, pa.bool_()), pa.array([p[2] for p in parts], pa.bool_())]),
+            ]
+            whole.clear(), parts.clear(), pieces.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["piece", "opener", "start", "header"])
+
+        kind = pa.string()
+        for batch in batches:
+            if not len(batch):
+                continue
+            if batch.column("range").null_count:
+                raise ValueError("the files changed while they were read")
+            lines, (numbers, starts, parities, openers) = batch.column("value"), map(np.asarray, batch.columns[1:])
+            kind, quotes = lines.type, np.asarray(pc.count_substring(lines, '"'))
+            bounds = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(batch)]
+            for a, b in zip(bounds, bounds[1:]):
+                if numbers[a] != at:
+                    end(inside == 0)
+                    at, start, inside, earlier = numbers[a], starts[a], parities[a], openers[a]
+                    opened, header = False, start == 0
+                after = (inside + np.cumsum(quotes[a:b])) % 2
+                opening = a + np.flatnonzero(np.append(inside, after[:-1]) == 0)
+                inside = after[-1]
+                if not len(opening):
+                    held.append(lines[a:b])
+                    continue
+                if opening[0] > a:
+                    held.append(lines[a : opening[0]])
+                end(True)
+                opened = True
+                if len(opening) > 1:
+                    whole.append(joined(opening, lines)[int(header) :])
+                    header = False
+                held = [lines[opening[-1] : b]]
+            yield batch_of(kind)
+        end(inside == 0)
+        yield batch_of(kind)
+
+    marked = lines.join(F.broadcast(known), ["file", "start"], "left").select("value", "range", "start", "parity", "earlier")
+    pieces = materialise(marked.mapInArrow(cut, "piece string, opener long, start long, header boolean"))
+    return spark.read.schema(pieces.schema).parquet(pieces._settled_in)
+
+
 def _layouts(spark: SparkSession, pattern: str, options: dict) -> dict[tuple[str, ...], list[str]]:
     """Header -> its files."""
     found: dict[tuple[str, ...], list[str]] = {}
@@ -188,8 +278,9 @@ def _layouts(spark: SparkSession, pattern: str, options: dict) -> dict[tuple[str
 def _headers(spark: SparkSession, files: Sequence[str], options: dict) -> dict[str, tuple[str, ...]]:
     """Column names of each file, from its first record, read by one Spark job.
 
-    A file begins a partition of its own, whose task stops after the record. Should a partition
-    hold several files all the same, those not seen yet are read by another job.
+    A file is a partition of its own, however small the ranges of other reads; its task stops after the
+    record, and lines are handed to it in small batches. Should a partition hold several files all the
+    same, those not seen yet are read by another job.
     """
     separator, encoding = options.get("sep", ","), options.get("encoding", "UTF-8")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -208,20 +299,18 @@ def _headers(spark: SparkSession, files: Sequence[str], options: dict) -> dict[s
                     yield pa.RecordBatch.from_arrays([pa.array([of]), pa.array([text])], names=["file", "header"])
                     return
 
-    one_each = {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")}
-    before = {k: spark.conf.get(k) for k in one_each}
+    # A file ends a partition if the next one's opening costs all that a partition may hold.
+    one_each = {
+        "spark.sql.files.maxPartitionBytes": WHOLE_FILE, "spark.sql.files.openCostInBytes": WHOLE_FILE,
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    }
+    own = session_with(spark, one_each)
     while len(found) < len(known):
         rest = [f for p, f in known.items() if p not in found]
-        lines = spark.read.option("encoding", encoding).text(rest).select(
+        lines = own.read.option("encoding", encoding).text(rest).select(
             "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
         )
-        for k, v in one_each.items():
-            spark.conf.set(k, v)
-        try:
-            rows = lines.mapInArrow(first_records, "file string, header string").collect()  # one per file
-        finally:
-            for k, v in before.items():
-                spark.conf.set(k, v)
+        rows = lines.mapInArrow(first_records, "file string, header string").collect()  # one per file
         for row in rows:
             cells = csv.reader(io.StringIO(row["header"].lstrip("\ufeff"), newline=""), delimiter=separator)
             found[_plain_uri(row["file"])] = tuple(next(cells, ()))

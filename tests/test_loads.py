@@ -336,3 +336,52 @@ def test_staging_tables_are_stored_side_by_side(spark, monkeypatch):
     monkeypatch.setattr(standins, "materialise", lambda df: (both.wait(), store(df))[1])
     staged = standins.staging(spark, "/root/testdata/sf0.001", ("stg_centro", "stg_zonas"))
     assert list(staged) == list(schemas.STAGING) and staged["stg_zonas"].count() > 0 and staged["stg_clima_nasa"].count() == 0
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    path, size = str(tmp_path / "csv"), "spark.sql.files.maxPartitionBytes"
+    cells = "id", "repeat('a, \"b\"\n', CAST(id % 50 AS int)) || 'z' AS text"
+    files.write_csv(spark.range(1000, numPartitions=2).selectExpr(*cells), path)
+    want = bag(spark.range(1000).selectExpr("CAST(id AS string)", cells[1]))
+    before, context = spark.conf.get(size), spark.sparkContext
+    spark.conf.set(size, "1000")
+    context.setJobGroup("ranges", "")
+    try:
+        ranges = spark.read.text(path).rdd.getNumPartitions()
+        got = files.read_csv_split(spark, path)
+    finally:
+        spark.conf.set(size, before)
+        context.setJobGroup("others", "")
+    stages = [context.statusTracker().getJobInfo(j).stageIds for j in context.statusTracker().getJobIdsForGroup("ranges")]
+    found = [context.statusTracker().getStageInfo(i) for i in {i for ids in stages for i in ids}]
+    # Headers, and each pass over the ranges.
+    assert sum(i.numTasks for i in found if i) < 100 < ranges
+    assert bag(got) == want and spark.conf.get(size) == before
+
+
+@pytest.mark.parametrize("share", [1, 60, 1 << 24])
+@pytest.mark.parametrize("size", ["7", "30", "200"])
+def test_pieces_of_records_and_headers_across_ranges(spark, tmp_path, monkeypatch, size, share):
+    """Headers and records longer than a range, blank lines, a quote that is never closed; the bytes stay as they are."""
+    monkeypatch.setattr(files, "TASK_BYTES", share)
+    (tmp_path / "a.csv").write_bytes(b'"k' + b"\nx" * 20 + b'",v\n1,"a\n\n\xff""\n' + b"y\n" * 30 + b'"\r\n\n2,"z"\r\n3,"\n"\n')
+    (tmp_path / "b.csv").write_bytes(b'k,v\n4,5\n6,7')
+    (tmp_path / "c.csv").write_bytes(b'k,v\n8,"open\n9,10\n11,12\n')
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        got = files._record_pieces(spark, files.input_files(spark, str(tmp_path)), "UTF-8")
+        read = files.read_csv_split(spark, str(tmp_path), ["k", "v"], surplus="reject")
+    finally:
+        spark.conf.set(key, before)
+    pieces = got.withColumn("piece", F.col("piece").cast("binary")).collect()
+    by_opener = {}
+    for r in sorted((r for r in pieces if r["opener"] is not None), key=lambda r: r["start"]):
+        by_opener.setdefault(r["opener"], []).append(r)
+    joined = [b"\n".join(bytes(r["piece"]) for r in rs) for rs in by_opener.values() if not any(r["header"] for r in rs)]
+    records = [bytes(r["piece"]) for r in pieces if r["opener"] is None]
+    want = [b'1,"a\n\n\xff""\n' + b"y\n" * 30 + b'"\r', b'2,"z"\r', b'3,"\n"', b"", b"4,5", b"6,7", b'8,"open\n9,10\n11,12']
+    assert sorted(records + joined) == sorted(want)
+    # The open quote hides where its record ends.
+    assert sorted(r["k"] for r in read.collect()) == ["1", "2", "3", "4", "6"]
